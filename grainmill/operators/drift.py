@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from grainmill.operators.joins import union_frames
-from grainmill.operators.metrics import accuracy, class_performance, confusion_counts
+from grainmill.operators.metrics import class_performance, pair_counts
 
 # Thresholds of the drift report.
 P_VALUE = 0.05
@@ -240,24 +240,31 @@ def feature_drift(
     return found.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < F.lit(p_value))
 
 
+def _roll_up(share: float, *extra: Column) -> list[Column]:
+    n = F.count(F.lit(1))
+    drifted = F.count(F.when(F.col("drifted"), 1))
+    part = drifted / F.nullif(n, F.lit(0))
+    return [
+        n.alias("n_features"),
+        drifted.alias("n_drifted"),
+        part.alias("drift_share"),
+        (part >= F.lit(share)).alias("dataset_drift"),
+        *extra,
+    ]
+
+
 def dataset_drift(per_feature: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
     """Share of drifted features and the overall flag."""
-    rolled = per_feature.agg(
-        F.count(F.lit(1)).alias("n_features"),
-        F.count(F.when(F.col("drifted"), 1)).alias("n_drifted"),
-    )
-    part = F.col("n_drifted") / F.nullif(F.col("n_features"), F.lit(0))
-    return rolled.withColumn("drift_share", part).withColumn("dataset_drift", part >= F.lit(share))
+    return per_feature.agg(*_roll_up(share))
 
 
 def drift_document(per_feature: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
-    """One row: the roll-up plus an array of per-feature structs in feature order."""
-    # One element per feature, so the array is as short as the feature list.
-    listed = per_feature.agg(
-        F.array_sort(F.collect_list(F.struct(*per_feature.columns))).alias("features")
-    )
-    rolled = dataset_drift(per_feature, share).select(F.struct("*").alias("summary"))
-    return rolled.select("summary", listed.scalar().alias("features"))
+    """One row: the roll-up plus an array of per-feature structs in feature order.
+
+    The array has one element per feature, so it is as short as the feature list.
+    """
+    listed = F.array_sort(F.collect_list(F.struct(*per_feature.columns))).alias("features")
+    return per_feature.agg(*_roll_up(share, listed))
 
 
 # -- classification performance ------------------------------------------------
@@ -270,13 +277,9 @@ def performance_drift(
     label: str = "target",
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Accuracy and per-class precision, recall and F1 for both sides."""
-    out = []
-    for side, df in zip(SIDES, (reference, current)):
-        overall = accuracy(df, label, prediction)
-        cells = confusion_counts(df, classes, label, prediction)
-        measured = class_performance(cells).withColumn(
-            "accuracy", overall.select("accuracy").scalar()
-        )
-        out.append(measured.select(F.lit(side).alias("side"), "*"))
-    return union_frames(out)
+    """Accuracy and per-class precision, recall and F1 for both sides; each is read once."""
+    pairs = [
+        pair_counts(df, label, prediction).withColumn("side", F.lit(side))
+        for side, df in zip(SIDES, (reference, current))
+    ]
+    return class_performance(union_frames(pairs), classes, "side")

@@ -10,20 +10,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from grainmill.functions.columns import KEYS, LOOKUP_KEYS
 from grainmill.session import fits_broadcast
 
-HOT_KEYS = 64  # keys reported as hot, so at most this many are replicated
-TRACKED = 4096  # sketch size; every key with over 1 row in 3,072 is tracked
+HOT_SHARE = 512  # a key is hot when it holds over 1/512 of the rows: at most 511 keys are
+TRACKED = 4096  # sketch size; counts are off by at most 1/3072 of the rows
 SALTS = 64  # pieces a hot key is cut into
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], n: int = HOT_KEYS) -> DataFrame:
-    """One row holding an array of at most ``n`` hashes of the most frequent keys.
+def hot_keys(facts: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the keys that hold over 1/512 of the rows, by pigeonhole fewer than 512.
 
     A mergeable frequent-items sketch over the key columns only: each task sends one
-    small sketch, rows are not shuffled. Cold keys in the answer do no harm.
+    small sketch, rows are not shuffled. A false alarm costs a few repeated rows.
     """
     hashed = facts.select(F.xxhash64(*keys).alias("_key"))
-    top = hashed.agg(F.expr(f"approx_top_k(_key, {n}, {TRACKED})").alias("_top"))
-    return top.select(F.transform("_top", lambda t: t["item"]).alias("_hot"))
+    found = hashed.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.expr(f"approx_top_k(_key, {HOT_SHARE}, {TRACKED})").alias("top"),
+    ).first()
+    slack = found["n_rows"] / (0.75 * TRACKED)
+    return [t["item"] for t in found["top"] if (t["count"] + slack) * HOT_SHARE > found["n_rows"]]
 
 
 def salted_join(
@@ -32,14 +36,19 @@ def salted_join(
     keys: Sequence[str],
     how: str = "inner",
     salts: int = SALTS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which rows of frequent keys are spread over ``salts`` tasks.
 
-    Only the hot keys' lookup rows are repeated. The salt depends on a row's content
-    and its partition number, never on row order, so a repeated task repeats it.
+    Hot keys are looked for in ``hot_from``, any cheap frame with the facts' keys, by
+    default the facts. If there are none this is a plain join. Otherwise only the hot
+    keys' lookup rows are repeated. The salt depends on a row's content and its
+    partition number, never on row order, so a repeated task repeats it.
     """
-    hot = hot_keys(facts, keys)
-    is_hot = F.array_contains(hot.scalar(), F.xxhash64(*keys))
+    hot = hot_keys(facts if hot_from is None else hot_from, keys)
+    if not hot:
+        return facts.join(lookup, list(keys), how)
+    is_hot = F.xxhash64(*keys).isin(hot)
     spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
     left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -53,6 +62,7 @@ def key_join(
     keys: Sequence[str],
     how: str = "inner",
     salted: bool | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``keys``, kept once.
 
@@ -62,7 +72,7 @@ def key_join(
     if salted is None:
         salted = not (fits_broadcast(lookup) or (how == "inner" and fits_broadcast(facts)))
     if salted:
-        return salted_join(facts, lookup, keys, how)
+        return salted_join(facts, lookup, keys, how, hot_from=hot_from)
     return facts.join(lookup, list(keys), how)
 
 

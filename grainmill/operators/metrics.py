@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -26,10 +26,7 @@ def confusion_counts(
 ) -> DataFrame:
     """True by predicted class over a stated class list, absent cells as 0."""
     spark = df.sparkSession
-    counted = (
-        df.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    counted = pair_counts(df, label, prediction)
     listed = F.array(*[F.lit(c) for c in classes])
     cells = (
         spark.range(1)
@@ -42,51 +39,71 @@ def confusion_counts(
 def confusion_shares(
     df: DataFrame, classes: Sequence, label: str = "target", prediction: str = "prediction"
 ) -> DataFrame:
-    """Confusion counts over the grand total of the matrix."""
+    """Confusion counts over the grand total of the matrix.
+
+    The window spans the cells, one per pair of listed classes, not the rows.
+    """
     cells = confusion_counts(df, classes, label, prediction)
-    total = cells.agg(F.sum("n_rows").alias("total")).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy(F.lit(0)))
     return cells.select("actual", "predicted", (F.col("n_rows") / F.nullif(total, F.lit(0))).alias("share"))
 
 
-def class_performance(cells: DataFrame) -> DataFrame:
-    """Precision, recall and F1 per class from confusion counts (a few rows).
+def pair_counts(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
+    """Rows per pair of true and predicted class that occurs."""
+    return df.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
 
-    Each cell feeds its row class and its column class, so one grouping serves both.
+def class_performance(pairs: DataFrame, classes: Sequence, by: str) -> DataFrame:
+    """Accuracy and per-class precision, recall and F1 from pair counts, per ``by``.
+
+    Each pair feeds its true and its predicted class, so one grouping of a few rows
+    serves all measures. Listed classes that do not occur are reported with zeros.
     """
-    hit = F.col("actual") == F.col("predicted")
-    parts = F.array(
-        F.struct(
-            F.col("actual").alias("class"),
-            F.when(hit, F.col("n_rows")).otherwise(0).alias("hits"),
-            F.col("n_rows").alias("actual_n"),
-            F.lit(0).cast("bigint").alias("predicted_n"),
-        ),
-        F.struct(
-            F.col("predicted").alias("class"),
-            F.lit(0).cast("bigint").alias("hits"),
-            F.lit(0).cast("bigint").alias("actual_n"),
-            F.col("n_rows").alias("predicted_n"),
-        ),
+    none = F.lit(0).cast("bigint")
+    hit = F.coalesce(F.col("actual") == F.col("predicted"), F.lit(False))
+    hits = F.when(hit, F.col("n_rows")).otherwise(none)
+    per_side = Window.partitionBy(by)
+    totals = pairs.withColumns(
+        {"_hits": hits, "_all": F.sum("n_rows").over(per_side), "_right": F.sum(hits).over(per_side)}
     )
-    summed = (
-        cells.select(F.explode(parts).alias("p"))
-        .groupBy(F.col("p.class").alias("class"))
-        .agg(
-            F.sum("p.hits").alias("hits"),
-            F.sum("p.actual_n").alias("support"),
-            F.sum("p.predicted_n").alias("predicted_n"),
+
+    def part(cls, hits, actual, predicted):
+        return F.struct(
+            cls.alias("class"), hits.alias("hits"), actual.alias("actual"), predicted.alias("predicted")
         )
+
+    n = F.col("n_rows")
+    parts = F.array(
+        part(F.col("actual"), F.col("_hits"), n, none),
+        part(F.col("predicted"), none, none, n),
+        *[part(F.lit(c), none, none, none) for c in classes],
     )
 
     def ratio(top, bottom):
         return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
 
+    summed = (
+        totals.select(by, "_all", "_right", F.explode(parts).alias("p"))
+        .filter(F.col("p.class").isin(*classes))
+        .groupBy(by, F.col("p.class").alias("class"))
+        .agg(
+            F.sum("p.hits").alias("hits"),
+            F.sum("p.actual").alias("support"),
+            F.sum("p.predicted").alias("called"),
+            F.first("_all").alias("_all"),
+            F.first("_right").alias("_right"),
+        )
+    )
     return summed.select(
+        by,
         "class",
         "support",
-        ratio(F.col("hits"), F.col("predicted_n")).alias("precision"),
+        ratio(F.col("hits"), F.col("called")).alias("precision"),
         ratio(F.col("hits"), F.col("support")).alias("recall"),
-        ratio(F.col("hits") * 2, F.col("support") + F.col("predicted_n")).alias("f1"),
+        ratio(F.col("hits") * 2, F.col("support") + F.col("called")).alias("f1"),
+        ratio(F.col("_right"), F.col("_all")).alias("accuracy"),
     )
 
 

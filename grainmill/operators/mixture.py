@@ -8,9 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grainmill.functions.hashing import seeded_normal, seeded_uniform
+from grainmill.operators.sampling import draw_class
 from grainmill.session import materialise
 
 
@@ -44,7 +45,7 @@ def fit_mixtures(
     classes: Sequence,
     components: int = 10,
     iterations: int = 20,
-    restarts: int = 1,
+    restarts: int = 10,
     seed: int = 0,
 ) -> list[Component]:
     """Fit one full-covariance mixture per class by distributed expectation maximisation.
@@ -83,6 +84,16 @@ def fit_mixtures(
     return fitted
 
 
+def request_classes(spark: SparkSession, classes: Sequence, n: int, balanced: bool = True, seed: int = 0) -> DataFrame:
+    """(sequence, target) rows to be filled in: ``n`` of every class, or ``n`` drawn evenly."""
+    if balanced:
+        choice = F.element_at(F.array(*[F.lit(c) for c in classes]), F.pmod("sequence", F.lit(len(classes))).cast("int") + 1)
+        return spark.range(n * len(classes)).toDF("sequence").withColumn("target", choice)
+    return draw_class(
+        spark.range(n).toDF("sequence"), classes, [1.0] * len(classes), ["sequence"], seed, "target"
+    )
+
+
 def sample_mixtures(
     rows: DataFrame,
     components: Sequence[Component],

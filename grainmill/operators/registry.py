@@ -10,8 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from grainmill.sources.versioned import upsert_rows
-
 # Stage and gate names.
 UNSTAGED, STAGING, PRODUCTION = "None", "Staging", "Production"
 PASSED, FAILED = "passed", "failed"
@@ -39,8 +37,9 @@ def gate(measured: DataFrame, threshold: float = MINIMAL_THRESHOLD, metric: str
 
 def promote(versions: DataFrame, chosen: DataFrame, stage: str) -> DataFrame:
     """``versions`` with the chosen (name, version) rows moved to ``stage``."""
-    moved = chosen.select(*versions.columns).withColumn("stage", F.lit(stage))
-    return upsert_rows(versions, moved, ["name", "version"])
+    moved = chosen.select("name", "version", F.lit(stage).alias("_stage"))
+    found = versions.join(moved, ["name", "version"], "left")
+    return found.withColumn("stage", F.coalesce("_stage", "stage")).select(*versions.columns)
 
 
 def promote_to_staging(

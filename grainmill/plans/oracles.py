@@ -173,8 +173,8 @@ def oracle_sql() -> dict[str, str]:
         ' FROM obs a JOIN obs b ON a."Id" = b."Id" AND a.date = b.date AND a.hour = b.hour'
     )
     sql["join_labels_salted"] = (
-        "SELECT o_orderkey, l_quantity, l_tax, l_returnflag, o_orderstatus"
-        " FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+        "SELECT s_suppkey, l_quantity, l_tax, l_returnflag, s_nationkey"
+        " FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"
     )
     sql["newest_date"] = f"WITH {OBS} SELECT max(date) AS newest_date FROM obs"
     sql["drop_newest_day"] = f"WITH {OBS}, {HISTORY} SELECT {keys}, {M_ROUNDED}, target FROM history"

@@ -84,13 +84,12 @@ def join_labels(spark, sf):
 
 
 def join_labels_salted(spark, sf):
-    """A join on a key that repeats on the observation side, through the salted path."""
+    """A join on keys that each hold many rows, through the salted path."""
     facts = inputs.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_tax", "l_returnflag"
+        F.col("l_suppkey").alias("s_suppkey"), "l_quantity", "l_tax", "l_returnflag"
     )
-    orders = inputs.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    joined = joins.join_labels(facts, orders, ["o_orderkey"], salted=True)
-    return joined
+    suppliers = inputs.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    return joins.join_labels(facts, suppliers, ["s_suppkey"], salted=True)
 
 
 def newest_date(spark, sf):
@@ -147,10 +146,10 @@ def train_test_split(spark, sf):
 
 def training_rows(spark, sf) -> DataFrame:
     """Labelled history with looked-up features and a split, raw columns and keys kept out."""
-    history = recency.labelled_history(
-        inputs.observations(spark, sf).select(*OBS_KEYS), inputs.event_labels(spark, sf), OBS_KEYS
-    )
-    found = joins.lookup_features(history, feature_table(spark, sf), Z, OBS_LOOKUP)
+    raw = inputs.observations(spark, sf).select(*OBS_KEYS)
+    history = recency.labelled_history(raw, inputs.event_labels(spark, sf), OBS_KEYS)
+    # Hot keys are looked for in the raw table, not in the joined one.
+    found = joins.lookup_features(history, feature_table(spark, sf), Z, OBS_LOOKUP, hot_from=raw)
     return sampling.train_test_split(found, ["Id"], 0.7, 123)
 
 
@@ -337,7 +336,7 @@ def drift_document(spark, sf):
     """The report written as JSON, parsed back and listed per feature."""
     report = drift.drift_document(_per_feature(spark, sf))
     parsed = documents.from_document(documents.to_document(report), report.schema)
-    listed = parsed.select("summary.dataset_drift", F.explode("features").alias("f"))
+    listed = parsed.select("dataset_drift", F.explode("features").alias("f"))
     return rounded(listed.select("dataset_drift", "f.*"), 6)
 
 
@@ -457,7 +456,7 @@ def mixture_sample(spark, sf):
     """As many generated rows per class as were observed, from fitted mixtures."""
     rows = inputs.lines(spark, sf)
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    fitted = mixture.fit_mixtures(rows, features, "target", LINE_CLASSES, components=2, iterations=5)
+    fitted = mixture.fit_mixtures(rows, features, "target", LINE_CLASSES, components=2, iterations=5, restarts=1)
     return mixture.sample_mixtures(rows.select(*LINE_KEYS, "target"), fitted, "target", features, LINE_KEYS, 3)
 
 

@@ -13,6 +13,8 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from grainmill.session import materialise
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
@@ -81,7 +83,7 @@ class VersionedTable:
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
     def latest(self) -> int | None:
-        """The newest committed version number."""
+        """The newest committed version number, None for a table not yet written."""
         return latest_version(self.log()).first()[0]
 
     def exists(self) -> bool:
@@ -143,11 +145,15 @@ class VersionedTable:
         keys = list(keys) or list(row["keys"])
         if not keys:
             raise ValueError(f"{self.path} has no key")
-        merged = upsert_rows(self._read_parts(row["base"], row["version"], row["schema"]), df, keys)
+        # The batch is computed once and checked alone: its keys and the table's are
+        # unique, so the merged keys are, and the large side needs no check.
+        batch = materialise(df, "batch")
+        require_unique(batch, keys)
+        merged = upsert_rows(self._read_parts(row["base"], row["version"], row["schema"]), batch, keys)
         version = row["version"] + 1
-        return self._write(merged, version, version, "upsert", row["partition_by"], keys)
+        return self._write(merged, version, version, "upsert", row["partition_by"], keys, check=False)
 
-    def _write(self, df, version, base, mode, partition_by, keys) -> int:
+    def _write(self, df, version, base, mode, partition_by, keys, check=True) -> int:
         out = df
         if partition_by:
             # One shuffle whose partitions AQE splits or merges by size: no small
@@ -157,7 +163,7 @@ class VersionedTable:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/_version={version}")
-        if keys:
+        if keys and check:
             # Checked on the written files, so ``df`` is computed once.
             require_unique(self._read_parts(base, version, df.schema.json()), keys)
         row = (version, base, mode, df.schema.json(), list(keys), list(partition_by),
