@@ -82,7 +82,8 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(SERIES_TERMS)), F.lit(0.0), lambda total, k: total + term(k)
     )
-    return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series * 2)))
+    bounded = F.least(F.lit(1.0), F.greatest(F.lit(0.0), series * 2))
+    return F.when(lam < 0.2, 1.0).when(lam.isNotNull(), bounded)
 
 
 def _long(df: DataFrame, features: Sequence[str], splits: dict[str, list[float]] | None) -> DataFrame:
@@ -147,7 +148,7 @@ class _Ranges:
             ends = np.clip([self.low[i], self.high[i]], -FINITE, FINITE)
             points.update(np.linspace(*ends, pieces + 1)[1:].tolist())
         points.discard(self.low.min())
-        return [-np.inf, *sorted(points), np.inf]
+        return [-np.inf, *sorted(p for p in points if np.isfinite(p)), np.inf]
 
 
 def ks_statistics(

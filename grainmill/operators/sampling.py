@@ -135,9 +135,10 @@ def mark_smallest(
         return rows.select(*columns, below.alias(name))
     split = F.coalesce((F.col("_digest") == F.col("cut")) & (F.col("at_cut") < F.col("tied")), F.lit(False))
     clear = rows.filter(~split).select(*columns, below.alias(name))
-    tied = rows.filter(split).select(*columns, "at_cut")
+    tied = rows.filter(split)
     if keys is not None:
-        marked = mark_smallest(tied, F.max("at_cut"), None, seed, [*by, "at_cut"], name, leaf_rows)
+        tied = tied.select(*columns, F.col("at_cut").alias("_take"))
+        marked = mark_smallest(tied, F.max("_take"), None, seed, [*by, "_take"], name, leaf_rows)
     else:
         marked = (
             tied.groupBy(*columns, "at_cut")
