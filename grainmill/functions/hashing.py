@@ -37,7 +37,12 @@ def seeded_uniform(columns: Sequence[str], seed: int) -> Column:
     return seeded_int(columns, seed) / F.lit(float(2**32))
 
 
-def seeded_normal(columns: Sequence[str], seed: int) -> Column:
-    """A standard normal draw (Box and Muller 1958) from two seeded uniforms."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - seeded_uniform(columns, seed)))
-    return radius * F.cos(F.lit(2.0) * F.pi() * seeded_uniform(columns, seed + 1))
+def hashed_uniform(columns: Sequence[str], seed: int) -> Column:
+    """A draw from [0, 1) with 52-bit resolution; cheaper, but Spark's own hash."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(2**52)) / F.lit(float(2**52))
+
+
+def hashed_normal(columns: Sequence[str], seed: int) -> Column:
+    """A standard normal draw (Box and Muller 1958) from two hashed uniforms."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - hashed_uniform(columns, seed)))
+    return radius * F.cos(F.lit(2.0) * F.pi() * hashed_uniform(columns, seed + 1))

@@ -10,9 +10,9 @@ from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grainmill.functions.hashing import seeded_normal, seeded_uniform
+from grainmill.functions.hashing import hashed_normal, hashed_uniform
 from grainmill.operators.sampling import draw_class
-from grainmill.session import materialise
+from grainmill.session import materialise, spread
 
 
 @dataclass(frozen=True)
@@ -54,11 +54,13 @@ def fit_mixtures(
     the best likelihood is kept. A class without rows has no components.
     """
     known = df.select(label, *features).dropna()
-    assembled = materialise(
-        VectorAssembler(inputCols=list(features), outputCol="features")
-        .transform(known)
-        .select(F.col(label).alias("label"), "features"),
-        "mixture",
+    assembled = spread(
+        materialise(
+            VectorAssembler(inputCols=list(features), outputCol="features")
+            .transform(known)
+            .select(F.col(label).alias("label"), "features"),
+            "mixture",
+        )
     )
     fitted = []
     for cls in classes:
@@ -124,8 +126,8 @@ def sample_mixtures(
             )
             tests.append(F.when(here, shape))
     width = len(features)
-    normals = [seeded_normal(keys, seed + 10 + 2 * i).alias(f"_z{i}") for i in range(width)]
-    drawn = rows.select("*", seeded_uniform(keys, seed).alias("_u"), *normals)
+    normals = [hashed_normal(keys, seed + 10 + 2 * i).alias(f"_z{i}") for i in range(width)]
+    drawn = rows.select("*", hashed_uniform(keys, seed).alias("_u"), *normals)
     drawn = drawn.withColumn("_shape", F.coalesce(*tests)).filter(F.col("_shape").isNotNull())
     values = []
     for i, name in enumerate(features):

@@ -14,6 +14,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, functions as F
 
+from grainmill.session import spread
+
 # The default grid, in Spark ML parameter names.
 DEFAULT_GRID = {
     "maxDepth": [3, 10],
@@ -60,7 +62,7 @@ def grid_search(
         for values in product(*grid.values())
     ]
     # Rows are assembled once; the folds then share the vectors.
-    rows = assembler(features).transform(train.filter(F.col(label).isNotNull()))
+    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull())))
     search = CrossValidator(
         estimator=forest,
         estimatorParamMaps=points,
@@ -93,7 +95,7 @@ def fit_regression(
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
     )
-    rows = train.filter(F.col(label).isNotNull())
+    rows = spread(train.filter(F.col(label).isNotNull()))
     return Pipeline(stages=[assembler(features), forest]).fit(rows)
 
 

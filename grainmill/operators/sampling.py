@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,46 +40,43 @@ def _with_cut(df: DataFrame, cuts: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def hash_cutoffs(
-    rows: DataFrame, target: Column, by: Sequence[str] = (), leaf_rows: int = LEAF_ROWS
+    rows: DataFrame,
+    target: Callable[[Column], Column],
+    by: Sequence[str] = (),
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """Per group, the digest of the row at position ``target`` in digest order.
 
-    ``rows`` has the ``by`` columns and a ``_digest`` of 32 hex digits; ``target`` is an
-    aggregate over a group, for example a share of its count. Result: ``by``, ``cut``,
-    ``at_cut`` (rows equal to the cut that are taken) and ``tied`` (rows equal to the
-    cut); no row for a group of which nothing is taken.
+    ``rows`` has the ``by`` columns and a ``_digest`` of 32 hex digits; ``target`` turns
+    a group's row count into a position. Result: ``by``, ``cut``, ``at_cut`` (rows equal
+    to the cut that are taken) and ``tied`` (rows equal to the cut); no row for a group
+    of which nothing is taken.
 
     A radix selection: each round counts rows by the next three digits, keeps the slot
-    that holds the cut, and stops once that slot is small enough for one task.
+    that holds the cut, and stops once that slot is small enough for one task. Counts
+    combine before the shuffle, and 4,096 slots of a group meet in a window.
     """
     by = list(by)
-    cuts = (
-        rows.groupBy(*by)
-        .agg(
-            F.lit("").alias("_prefix"),
-            F.least(target.cast("bigint"), F.count(F.lit(1))).alias("_need"),
-            F.count(F.lit(1)).alias("_inside"),
-        )
-        .filter("_need > 0")
-    )
-    cuts = materialise(cuts, "cuts")
-    upto = Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*by)
+    upto = whole.rowsBetween(Window.unboundedPreceding, 0)
     in_cut = (F.col("_before") < F.col("_need")) & (
         F.col("_need") <= F.col("_before") + F.col("_inside")
     )
-    depth = 0
-    while depth < DIGITS:
-        largest = cuts.agg(F.max("_inside")).first()[0]
-        if largest is None or largest <= leaf_rows:
-            break
-        width = min(STEP, DIGITS - depth)
-        slots = (
-            _with_cut(rows, cuts.drop("_inside"), by)
-            .filter(F.col("_digest").startswith(F.col("_prefix")))
-            .groupBy(*by, "_prefix", "_need", F.substring("_digest", depth + 1, width).alias("_slot"))
-            .agg(F.count(F.lit(1)).alias("_inside"))
-        )
-        # At most 16**STEP rows of a group meet in this window.
+    n = F.count(F.lit(1)).alias("_inside")
+    cuts, depth = None, 0
+    while True:
+        slot = F.substring("_digest", depth + 1, STEP).alias("_slot")
+        if cuts is None:
+            slots = rows.groupBy(*by, slot).agg(n)
+            total = F.sum("_inside").over(whole)
+            slots = slots.withColumns(
+                {"_prefix": F.lit(""), "_need": F.least(target(total).cast("bigint"), total)}
+            )
+        else:
+            inside = _with_cut(rows, cuts.drop("_inside"), by).filter(
+                F.col("_digest").startswith(F.col("_prefix"))
+            )
+            slots = inside.groupBy(*by, "_prefix", "_need", slot).agg(n)
         running = slots.withColumn("_before", F.sum("_inside").over(upto.orderBy("_slot")) - F.col("_inside"))
         cuts = materialise(
             running.filter(in_cut).select(
@@ -90,13 +87,16 @@ def hash_cutoffs(
             ),
             "cuts",
         )
-        depth += width
+        depth += STEP
+        largest = cuts.agg(F.max("_inside")).first()[0]
+        if largest is None or largest <= leaf_rows or depth >= DIGITS:
+            break
     # Equal digests collapse before the window, so copies of a row arrive as one.
     leaf = (
         _with_cut(rows, cuts.drop("_inside"), by)
         .filter(F.col("_digest").startswith(F.col("_prefix")))
         .groupBy(*by, "_need", "_digest")
-        .agg(F.count(F.lit(1)).alias("_inside"))
+        .agg(n)
     )
     ranked = leaf.withColumn("_before", F.sum("_inside").over(upto.orderBy("_digest")) - F.col("_inside"))
     found = ranked.filter(in_cut).select(
@@ -110,7 +110,7 @@ def hash_cutoffs(
 
 def mark_smallest(
     df: DataFrame,
-    target: Column,
+    target: Callable[[Column], Column],
     keys: Sequence[str] | None,
     seed: int,
     by: Sequence[str] = (),
@@ -138,7 +138,7 @@ def mark_smallest(
     tied = rows.filter(split)
     if keys is not None:
         tied = tied.select(*columns, F.col("at_cut").alias("_take"))
-        marked = mark_smallest(tied, F.max("_take"), None, seed, [*by, "_take"], name, leaf_rows)
+        marked = mark_smallest(tied, lambda total: F.col("_take"), None, seed, [*by, "_take"], name, leaf_rows)
     else:
         marked = (
             tied.groupBy(*columns, "at_cut")
@@ -158,7 +158,9 @@ def exact_split(
     leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """Label floor(share * n) rows train and the rest test."""
-    target = F.floor(F.count(F.lit(1)) * F.lit(share))
+    def target(total: Column) -> Column:
+        return F.floor(total * F.lit(share))
+
     marked = mark_smallest(df, target, keys, seed, (), "_chosen", leaf_rows)
     return marked.withColumn(name, F.when(F.col("_chosen"), "train").otherwise("test")).drop("_chosen")
 
@@ -172,7 +174,7 @@ def balanced_sample(
     leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """``n`` rows of every class, or all of a class that has fewer."""
-    marked = mark_smallest(df, F.lit(n), keys, seed, [label], "_chosen", leaf_rows)
+    marked = mark_smallest(df, lambda total: F.lit(n), keys, seed, [label], "_chosen", leaf_rows)
     return marked.filter("_chosen").drop("_chosen")
 
 

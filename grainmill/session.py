@@ -51,6 +51,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/grainmill-{app}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables, once no frame reads them any more."""
+    app = spark.sparkContext.applicationId
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/grainmill-{app}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -61,6 +68,15 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """At least one partition per core, for model fits on a stored table of few files.
+
+    A large table already has more partitions than that and is returned as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's own size estimate for ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

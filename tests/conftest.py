@@ -5,13 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from grainmill.session import build_session
+from grainmill.session import build_session, drop_scratch
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", 8, 4)
     yield session
+    drop_scratch(session)
     session.stop()
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grainmill.functions import columns
-from grainmill.functions.hashing import row_identity, seeded_normal, seeded_uniform
+from grainmill.functions.hashing import hashed_normal, hashed_uniform, row_identity, seeded_uniform
 from grainmill.operators import joins, recency, scaling
 from tests.conftest import rows
 
@@ -29,9 +29,10 @@ def test_identity_tells_nulls_apart(spark):
 
 
 def test_draws_have_the_right_moments(spark):
-    df = spark.range(20000).select(seeded_uniform(["id"], 1).alias("u"), seeded_normal(["id"], 2).alias("n"))
-    m = df.agg(F.avg("u"), F.min("u"), F.max("u"), F.avg("n"), F.stddev_pop("n")).first()
-    assert abs(m[0] - 0.5) < 0.01 and m[1] >= 0 and m[2] < 1
+    for uniform in (seeded_uniform, hashed_uniform):
+        df = spark.range(20000).select(uniform(["id"], 1).alias("u"), hashed_normal(["id"], 2).alias("n"))
+        m = df.agg(F.avg("u"), F.min("u"), F.max("u"), F.avg("n"), F.stddev_pop("n")).first()
+        assert abs(m[0] - 0.5) < 0.01 and m[1] >= 0 and m[2] < 1
     assert abs(m[3]) < 0.03 and abs(m[4] - 1) < 0.03
 
 
