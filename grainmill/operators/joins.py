@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grainmill.functions.columns import KEYS, LOOKUP_KEYS
 from grainmill.session import fits_broadcast
 
 HOT_SHARE = 512  # a key is hot when it holds over 1/512 of the rows: at most 511 keys are
 TRACKED = 4096  # sketch size; counts are off by at most 1/3072 of the rows
-SALTS = 64  # pieces a hot key is cut into
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold over 1/512 of the rows, by pigeonhole fewer than 512.
+def hot_keys(facts: DataFrame, keys: Sequence[str]) -> dict[int, float]:
+    """Share of the rows by hash of each key that holds over 1/512 of them.
+
+    By pigeonhole these are fewer than 512 keys.
 
     A mergeable frequent-items sketch over the key columns only: each task sends one
     small sketch, rows are not shuffled. A false alarm costs a few repeated rows.
@@ -26,8 +28,17 @@ def hot_keys(facts: DataFrame, keys: Sequence[str]) -> list[int]:
         F.count(F.lit(1)).alias("n_rows"),
         F.expr(f"approx_top_k(_key, {HOT_SHARE}, {TRACKED})").alias("top"),
     ).first()
-    slack = found["n_rows"] / (0.75 * TRACKED)
-    return [t["item"] for t in found["top"] if (t["count"] + slack) * HOT_SHARE > found["n_rows"]]
+    n_rows = found["n_rows"]
+    shares = {t["item"]: t["count"] / n_rows + 1 / (0.75 * TRACKED) for t in found["top"]}
+    return {key: share for key, share in shares.items() if share * HOT_SHARE > 1}
+
+
+def salts_for(spark: SparkSession, hot: dict[int, float]) -> int:
+    """Pieces that bring the hottest key down to an average shuffle partition."""
+    conf = spark.conf
+    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    partitions = int(partitions or conf.get("spark.sql.shuffle.partitions"))
+    return max(2, ceil(max(hot.values()) * partitions))
 
 
 def salted_join(
@@ -35,12 +46,12 @@ def salted_join(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join in which rows of frequent keys are spread over ``salts`` tasks.
 
-    Hot keys are looked for in ``hot_from``, any cheap frame with the facts' keys, by
+    By default as many as make a piece no larger than an average partition. Hot keys are looked for in ``hot_from``, any cheap frame with the facts' keys, by
     default the facts. If there are none this is a plain join. Otherwise only the hot
     keys' lookup rows are repeated. The salt depends on a row's content and its
     partition number, never on row order, so a repeated task repeats it.
@@ -48,7 +59,8 @@ def salted_join(
     hot = hot_keys(facts if hot_from is None else hot_from, keys)
     if not hot:
         return facts.join(lookup, list(keys), how)
-    is_hot = F.xxhash64(*keys).isin(hot)
+    salts = salts or salts_for(facts.sparkSession, hot)
+    is_hot = F.xxhash64(*keys).isin(list(hot))
     spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
     left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

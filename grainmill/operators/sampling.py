@@ -12,7 +12,7 @@ from grainmill.session import materialise
 
 LEAF_ROWS = 4_000_000  # rows of one group that a single window task may hold
 STEP = 3  # hex digits fixed per refinement: 4,096 slots per group
-DIGITS = 32  # of one md5
+DEEPEST = 12  # digits after which a slot holds copies of one key and hardly anything else
 
 
 def in_share(keys: Sequence[str], share: float, seed: int) -> Column:
@@ -54,7 +54,9 @@ def hash_cutoffs(
 
     A radix selection: each round counts rows by the next three digits, keeps the slot
     that holds the cut, and stops once that slot is small enough for one task. Counts
-    combine before the shuffle, and 4,096 slots of a group meet in a window.
+    combine before the shuffle, and 4,096 slots of a group meet in a window. Among
+    10^14 different keys about one shares its first twelve digits with another, so a slot
+    still large by then holds copies of one key, which the last step counts as one.
     """
     by = list(by)
     whole = Window.partitionBy(*by)
@@ -89,7 +91,7 @@ def hash_cutoffs(
         )
         depth += STEP
         largest = cuts.agg(F.max("_inside")).first()[0]
-        if largest is None or largest <= leaf_rows or depth >= DIGITS:
+        if largest is None or largest <= leaf_rows or depth >= DEEPEST:
             break
     # Equal digests collapse before the window, so copies of a row arrive as one.
     leaf = (

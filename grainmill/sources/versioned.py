@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from grainmill.session import materialise
+from grainmill.session import fits_broadcast, materialise
 
 LOG_SCHEMA = T.StructType(
     [
@@ -149,17 +149,24 @@ class VersionedTable:
         # unique, so the merged keys are, and the large side needs no check.
         batch = materialise(df, "batch")
         require_unique(batch, keys)
-        merged = upsert_rows(self._read_parts(row["base"], row["version"], row["schema"]), batch, keys)
+        old = self._read_parts(row["base"], row["version"], row["schema"])
+        partition_by = row["partition_by"]
+        if fits_broadcast(batch.select(*keys)):
+            # The old rows are then not shuffled by the join, still lie partition by
+            # partition, and are written as they lie; only the batch is rebalanced.
+            merged = upsert_rows(old, _rebalanced(batch, partition_by), keys)
+        else:
+            merged = _rebalanced(upsert_rows(old, batch, keys), partition_by)
         version = row["version"] + 1
-        return self._write(merged, version, version, "upsert", row["partition_by"], keys, check=False)
+        return self._commit(merged, version, version, "upsert", partition_by, keys)
 
-    def _write(self, df, version, base, mode, partition_by, keys, check=True) -> int:
-        out = df
-        if partition_by:
-            # One shuffle whose partitions AQE splits or merges by size: no small
-            # files, and a date that holds most rows is written by many tasks.
-            out = df.hint("rebalance", *partition_by)
-        writer = out.write.mode("overwrite")
+    def _write(self, df, version, base, mode, partition_by, keys) -> int:
+        return self._commit(
+            _rebalanced(df, partition_by), version, base, mode, partition_by, keys, check=True
+        )
+
+    def _commit(self, df, version, base, mode, partition_by, keys, check=False) -> int:
+        writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/_version={version}")
@@ -188,6 +195,12 @@ class TableStore:
         return "/".join([self.root, *parts])
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """One shuffle whose partitions AQE splits or merges by size: no small files, and a
+    date that holds most rows is written by many tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def _json(text: str) -> dict:
     import json
 

@@ -81,6 +81,9 @@ def test_salted_join_with_a_key_that_holds_a_third(spark, no_broadcast, how):
     hot = joins.hot_keys(facts, ["k"])
     named = spark.createDataFrame([("hot",), (None,)], "k string").select(F.xxhash64("k")).collect()
     assert set(hot) == {r[0] for r in named}
+    assert all(abs(share - 1 / 3) < 0.01 for share in hot.values())
+    assert joins.salts_for(spark, hot) == 2
+    assert joins.salts_for(spark, {1: 0.5}) == 2 and joins.salts_for(spark, {1: 0.9}) == 4
 
 
 def test_salting_spreads_copies_of_one_row(spark, no_broadcast):
@@ -93,7 +96,7 @@ def test_salting_spreads_copies_of_one_row(spark, no_broadcast):
 
 def test_no_hot_key_means_a_plain_join(spark):
     facts = spark.range(5000).withColumnRenamed("id", "k")
-    assert joins.hot_keys(facts, ["k"]) == []
+    assert joins.hot_keys(facts, ["k"]) == {}
     assert "_salt" not in joins.salted_join(facts, facts, ["k"])._jdf.queryExecution().toString()
 
 

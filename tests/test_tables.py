@@ -129,3 +129,11 @@ def test_documents_round_trip(spark):
 def test_scratch_is_under_the_configured_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert materialise(spark.range(3)).count() == 3
+
+
+def test_upsert_of_a_batch_too_large_to_broadcast(spark, table, no_broadcast):
+    old = spark.range(200).selectExpr("cast(id AS string) AS Id", "1 AS hour", "date'2024-01-01' AS date", "1.0D AS z")
+    new = spark.range(100, 300).selectExpr("cast(id AS string) AS Id", "1 AS hour", "date'2024-01-02' AS date", "2.0D AS z")
+    table.create(old, ["Id", "hour"], ["date"])
+    table.upsert(new)
+    assert rows(table.read().groupBy("date", "z").count()) == [(D1, 1.0, 100), (D2, 2.0, 200)]
