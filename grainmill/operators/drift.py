@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from grainmill.operators.joins import union_frames
 from grainmill.operators.metrics import class_performance, pair_counts
+from grainmill.session import materialise
 
 # Thresholds of the drift report.
 P_VALUE = 0.05
@@ -208,8 +209,10 @@ def ks_statistics(
         offsets,
         "feature string, range int, before_reference long, before_current long, all_reference long, all_current long",
     )
-    # Open ranges hold at most ``leaf_rows`` rows each, so however the planner joins
-    # them no task gets more; equal values collapse before they are shuffled for ranking.
+    # Stored, so that the planner knows the size of this list and can broadcast it under
+    # its own limit; rows of settled ranges are then dropped before any shuffle. Open
+    # ranges hold about ``leaf_rows`` rows at most, so a shuffled join is even as well.
+    starts = materialise(starts.coalesce(1), "ranges")
     values = (
         _long(both, features, splits)
         .join(starts, ["feature", "range"])

@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from grainmill.operators.joins import join_labels
+
+DAYS_TRIED = 3
+
 
 def newest_date(df: DataFrame, date: str = "date") -> DataFrame:
     """One row with the largest date; null for an empty table."""
@@ -27,10 +31,11 @@ def newest_shared_date(left: DataFrame, right: DataFrame, keys: Sequence[str], d
     """The newest date on which both sides share a key, or None.
 
     That is the newest date of the inner join, found without running it: the two
-    maxima bound it, and normally a semi-join of that one day's keys confirms it.
+    maxima bound it, and normally a semi-join of that one day's keys confirms it. After
+    a few days without a match one semi-join of all older keys decides.
     """
     bound = None
-    while True:
+    for _ in range(DAYS_TRIED):
         sides = []
         for side in (left, right):
             older = side if bound is None else side.filter(F.col(date) < F.lit(bound))
@@ -45,6 +50,8 @@ def newest_shared_date(left: DataFrame, right: DataFrame, keys: Sequence[str], d
         if not on_day[0].join(on_day[1], list(keys), "left_semi").isEmpty():
             return day
         bound = day
+    older = [s.filter(F.col(date) < F.lit(bound)).select(*keys) for s in (left, right)]
+    return newest_date(older[0].join(older[1], list(keys), "left_semi"), date).first()[0]
 
 
 def labelled_history(
@@ -59,8 +66,6 @@ def labelled_history(
     The date is one of the join keys, so the cut is made on both sides before the
     join: the newest day is neither shuffled nor, where possible, read.
     """
-    from grainmill.operators.joins import join_labels
-
     newest = newest_shared_date(observations, labels, keys, date)
     cut = F.lit(False) if newest is None else F.col(date) < F.lit(newest)
     return join_labels(observations.filter(cut), labels.filter(cut), keys, **options)

@@ -44,8 +44,11 @@ def upsert_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFram
     Only the keys of ``new`` take part in the join: a small batch is broadcast by
     the planner under its own size limit and ``old`` is then not shuffled at all.
     """
-    kept = old.join(new.select(*keys), list(keys), "left_anti").select(*old.columns)
-    return kept.unionByName(new)
+    return _kept(old, new, keys).unionByName(new)
+
+
+def _kept(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return old.join(new.select(*keys), list(keys), "left_anti").select(*old.columns)
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -154,7 +157,7 @@ class VersionedTable:
         if fits_broadcast(batch.select(*keys)):
             # The old rows are then not shuffled by the join, still lie partition by
             # partition, and are written as they lie; only the batch is rebalanced.
-            merged = upsert_rows(old, _rebalanced(batch, partition_by), keys)
+            merged = _kept(old, batch, keys).unionByName(_rebalanced(batch, partition_by))
         else:
             merged = _rebalanced(upsert_rows(old, batch, keys), partition_by)
         version = row["version"] + 1
@@ -191,6 +194,12 @@ class TableStore:
         database, _, table = name.rpartition(".")
         return VersionedTable(self.spark, f"{self.root}/{database or 'default'}.db/{table}")
 
+    def view(self, name: str, version: int | None = None) -> str:
+        """Make a table known to SQL in this session; return the view's name."""
+        view = name.replace(".", "_")
+        self.table(name).read(version).createOrReplaceTempView(view)
+        return view
+
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 

@@ -131,6 +131,11 @@ def test_newest_shared_date_is_the_joins_newest(spark):
     joined = joins.join_labels(left, right)
     assert rows(recency.drop_newest(joined)) == rows(recency.labelled_history(left, right, columns.KEYS))
     assert recency.newest_shared_date(left, lab(spark, [("q", D[0], 1, 0)]), columns.KEYS) is None
+    # no match on the newest four days of both sides
+    left = obs(spark, [(f"l{i}", D[i], 1, 1.0) for i in range(1, 5)] + [("a", D[0], 1, 1.0)])
+    right = lab(spark, [(f"r{i}", D[i], 1, 1) for i in range(1, 5)] + [("a", D[0], 1, 1)])
+    assert recency.newest_shared_date(left, right, columns.KEYS) == D[0]
+    assert recency.newest_shared_date(left.filter("Id <> 'a'"), right, columns.KEYS) is None
 
 
 def test_standardise_by_hand(spark):

@@ -91,6 +91,13 @@ def test_upsert_of_an_empty_batch(spark, table):
     assert table.read().count() == 1
 
 
+def test_an_empty_partitioned_table(spark, table):
+    table.create(frame(spark, []), ["Id", "hour"], ["date"])
+    assert table.read().count() == 0
+    table.upsert(frame(spark, [("x", 1, D1, 1.0)]))
+    assert table.read().count() == 1
+
+
 def test_partitioned_version_is_pruned(spark, table):
     table.create(frame(spark, [("x", 1, D1, 1.0), ("y", 1, D2, 1.0)]), ["Id", "hour"], ["date"])
     plan = table.read().filter("date = '2024-01-01'")._jdf.queryExecution().toString()
@@ -107,6 +114,9 @@ def test_store_names(spark, tmp_path):
     store.table("db.t").overwrite(spark.range(1))
     assert store.table("db.t").path.endswith("/db.db/t")
     assert store.table("t").path.endswith("/default.db/t")
+    store.table("db.t").overwrite(spark.range(5))
+    assert spark.table(store.view("db.t")).count() == 5
+    assert spark.sql(f"SELECT * FROM {store.view('db.t', 1)}").count() == 1
 
 
 def test_catalog_scan_and_preview(spark):
