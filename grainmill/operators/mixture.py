@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,33 +48,36 @@ def fit_mixtures(
     iterations: int = 20,
     restarts: int = 10,
     seed: int = 0,
+    parallelism: int = 4,
 ) -> list[Component]:
     """Fit one full-covariance mixture per class by distributed expectation maximisation.
 
     Each fit is a Spark job over that class's rows; of several restarts the one with
     the best likelihood is kept. A class without rows has no components.
     """
-    known = df.select(label, *features).dropna()
-    assembled = spread(
-        materialise(
-            VectorAssembler(inputCols=list(features), outputCol="features")
-            .transform(known)
-            .select(F.col(label).alias("label"), "features"),
-            "mixture",
-        )
+    known = spread(df.select(label, *features)).dropna()
+    assembled = materialise(
+        VectorAssembler(inputCols=list(features), outputCol="features")
+        .transform(known)
+        .select(F.col(label).alias("label"), "features"),
+        "mixture",
     )
+    per_class = {cls: assembled.filter(F.col("label") == F.lit(cls)) for cls in classes}
+    present = [cls for cls in classes if not per_class[cls].isEmpty()]
+
+    def fit(task):
+        cls, attempt = task
+        model = GaussianMixture(k=components, maxIter=iterations, seed=seed + attempt).fit(per_class[cls])
+        return model.summary.logLikelihood, model
+
+    # Fits are independent Spark jobs, a few of which share the cluster at a time.
+    tasks = [(cls, attempt) for cls in present for attempt in range(restarts)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        results = list(pool.map(fit, tasks))
     fitted = []
-    for cls in classes:
-        rows = assembled.filter(F.col("label") == F.lit(cls))
-        if rows.isEmpty():
-            continue
-        best = None
-        for attempt in range(restarts):
-            model = GaussianMixture(k=components, maxIter=iterations, seed=seed + attempt).fit(rows)
-            likelihood = model.summary.logLikelihood
-            if best is None or likelihood > best[0]:
-                best = (likelihood, model)
-        model = best[1]
+    for cls in present:
+        of_class = [found for task, found in zip(tasks, results) if task[0] == cls]
+        model = max(of_class, key=lambda found: found[0])[1]
         for weight, gaussian in zip(model.weights, model.gaussians):
             fitted.append(
                 Component(
@@ -110,30 +114,33 @@ def sample_mixtures(
     the executors and are the same when a task is repeated.
     """
     by_class: dict = {}
-    for c in components:
-        by_class.setdefault(c.label, []).append(c)
+    for number, c in enumerate(components):
+        by_class.setdefault(c.label, []).append((number, c.weight))
     tests = []
     for cls, parts in by_class.items():
-        total, running = sum(p.weight for p in parts), 0.0
-        for i, part in enumerate(parts):
-            running += part.weight
-            here = F.col(label) == F.lit(cls)
-            if i < len(parts) - 1:
-                here = here & (F.col("_u") < F.lit(running / total))
-            shape = F.struct(
-                F.array(*[F.lit(v) for v in part.mean]).alias("mean"),
-                F.array(*[F.lit(v) for r in part.factor for v in r]).alias("factor"),
-            )
-            tests.append(F.when(here, shape))
+        total, running = sum(weight for _, weight in parts), 0.0
+        here = F.col(label) == F.lit(cls)
+        for number, weight in parts[:-1]:
+            running += weight
+            tests.append(F.when(here & (F.col("_u") < F.lit(running / total)), number))
+        tests.append(F.when(here, parts[-1][0]))
+    # All parameters are two constant arrays, looked up by component number.
     width = len(features)
+    means = F.array(*[F.lit(v) for c in components for v in c.mean])
+    factors = F.array(*[F.lit(v) for c in components for row in c.factor for v in row])
     normals = [hashed_normal(keys, seed + 10 + 2 * i).alias(f"_z{i}") for i in range(width)]
-    drawn = rows.select("*", hashed_uniform(keys, seed).alias("_u"), *normals)
-    drawn = drawn.withColumn("_shape", F.coalesce(*tests)).filter(F.col("_shape").isNotNull())
+    drawn = (
+        rows.withColumn("_u", hashed_uniform(keys, seed))
+        .withColumn("_part", F.coalesce(*tests))
+        .filter(F.col("_part").isNotNull())
+        .select("*", *normals)
+    )
     values = []
     for i, name in enumerate(features):
-        value = F.col("_shape.mean")[i]
+        value = F.get(means, F.col("_part") * width + i)
         for j in range(i + 1):
-            value = value + F.col("_shape.factor")[i * width + j] * F.col(f"_z{j}")
+            place = F.col("_part") * (width * width) + (i * width + j)
+            value = value + F.get(factors, place) * F.col(f"_z{j}")
         values.append(value.alias(name))
     kept = [c for c in rows.columns if c not in set(features)]
     return drawn.select(*values, *kept)

@@ -27,7 +27,7 @@ from grainmill.plans.inputs import (
     OBS_LOOKUP,
     OBS_NAMES,
 )
-from grainmill.session import materialise, scratch_path
+from grainmill.session import materialise, scratch_path, spread
 from grainmill.sources import documents, scans, versioned
 
 MID = "2024-01-16"
@@ -417,7 +417,7 @@ def apply_stored_scaler(spark, sf):
 
 def _split_lines(spark, sf):
     rows = sampling.train_test_split(inputs.signal_lines(spark, sf), LINE_KEYS, 0.7, 123)
-    stored = materialise(rows, "lines")
+    stored = materialise(spread(rows), "lines")
     return stored.filter("split = 'train'"), stored.filter("split = 'test'")
 
 
