@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grainmill.llm import bpe, sharding, simhash
+from grainmill.llm import bpe, quality, secrets, sharding, simhash
 from grainmill.llm.text import table
+from grainmill.session import materialise
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SHARDS = 40
@@ -23,6 +24,24 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    stats = materialise(quality.measured(docs).drop("text"), "quality-stats")
+    judged = quality.judge(stats)
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "distance")
+
+
+def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    base, every = F.col("base_spans"), F.col("secret_spans")
+    return secrets.scan(docs).select(
+        "doc_id",
+        *[secrets.count_of(base, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.render(base), 256).alias("base_sha256"),
+        secrets.render(every).alias("spans"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -32,7 +51,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op9_simhash, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op7_secret_scans, op9_simhash, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
