@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grainmill.llm import bpe, quality, secrets, sharding, simhash
+from grainmill.llm import bpe, quality, secrets, sharding, simhash, suffix_dedup
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
@@ -42,6 +42,19 @@ def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    removed, kept = F.col("removed_spans"), F.col("kept_bytes")
+    n_removed = F.aggregate(removed, F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        (F.octet_length(kept) + n_removed).cast("long").alias("n_bytes"),
+        n_removed.alias("n_removed"),
+        F.size(removed).cast("long").alias("n_spans"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -51,7 +64,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op7_secret_scans, op9_simhash, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
