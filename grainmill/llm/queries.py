@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grainmill.llm import bpe, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup
+from grainmill.llm import bpe, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
@@ -48,6 +48,23 @@ def op5_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
+    docs = docs.select("doc_id", "text", "lang", (fold == 1).alias("held_out"))
+    labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
+    labelled = docs.where(~F.col("held_out")).join(labels, "doc_id")
+    net, thresholds = toxicity.train(labelled, "text", "label", "doc_id", "lang")
+    scored = docs.select("doc_id", "held_out", "lang", toxicity.score(F.col("text"), net).alias("score"))
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "score",
+        (F.col("score") >= toxicity.AT).cast("int").alias("predicted"),
+        toxicity.flagged(F.col("lang"), F.col("score"), thresholds).alias("flagged"),
+    )
+
+
 def op7_secret_scans(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     base, every = F.col("base_spans"), F.col("secret_spans")
@@ -81,7 +98,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op5_kneser_ney, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op5_kneser_ney, op6_toxicity, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
