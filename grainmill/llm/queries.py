@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grainmill.llm import bpe, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity
+from grainmill.llm import bpe, decontaminate, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
@@ -24,6 +24,10 @@ def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     stats = materialise(quality.measured(docs).drop("text"), "quality-stats")
@@ -98,7 +102,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op3_quality_rules, op5_kneser_ney, op6_toxicity, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_quality_rules, op5_kneser_ney, op6_toxicity, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
