@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grainmill.llm import bpe, decontaminate, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity
+from grainmill.llm import bpe, decontaminate, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity, unigram_counts
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+UNIGRAM_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 40
 
 
@@ -35,6 +36,11 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "distance")
 
 
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return unigram_counts.count_tokens(docs, UNIGRAM_PIECES).select("doc_id", "n_tokens", "token_score")
+
+
 def op5_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7))
@@ -102,7 +108,7 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_quality_rules, op5_kneser_ney, op6_toxicity, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_quality_rules, op4_token_counts, op5_kneser_ney, op6_toxicity, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
