@@ -281,9 +281,12 @@ def leaks(
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without those that ``leaks`` finds in the benchmark."""
-    found = materialise(leaks(docs, benchmark, key, text, **options).select(key).distinct(), "leaks")
-    name = fresh(docs, "leak")
-    found = found.withColumnRenamed(key, name)
-    return docs.join(found, docs[key].cast("long").eqNullSafe(found[name]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without those that ``leaks`` finds in the benchmark.
+
+    Documents are told apart by a hash of their text, so ids may be missing or repeated.
+    """
+    name = fresh(docs, "text_hash")
+    keyed = docs.withColumn(name, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    found = materialise(leaks(keyed, benchmark, name, text, **options).select(name).distinct(), "leaks")
+    return keyed.join(found, name, "left_anti").select(*docs.columns)

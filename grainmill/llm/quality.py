@@ -228,3 +228,11 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source", cut: flo
     )
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut)
     return scored.withColumn("kept", kept).select(*columns, "distance", "kept")
+
+
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cut: float = CUT) -> DataFrame:
+    """The rows of ``docs`` that the base rules and ``judge`` keep, with their columns as they are."""
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    stats = materialise(measured(packed).drop("text"), "quality-rows")
+    kept = judge(stats, cut=cut).where("kept")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

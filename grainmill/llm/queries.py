@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from grainmill.llm import bpe, decontaminate, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity, unigram_counts
 from grainmill.llm.text import table
 from grainmill.session import materialise
@@ -107,9 +108,23 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign(table(spark, sf, "documents"), SHARDS)
 
 
+REGISTERED = (
+    op1_byte_bpe,
+    op2_decontamination,
+    op3_quality_rules,
+    op4_token_counts,
+    op5_kneser_ney,
+    op6_toxicity,
+    op7_secret_scans,
+    op8_suffix_dedup,
+    op9_simhash,
+    op10_sharding,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_decontamination, op3_quality_rules, op4_token_counts, op5_kneser_ney, op6_toxicity, op7_secret_scans, op8_suffix_dedup, op9_simhash, op10_sharding)}
+    return {f.__name__: f for f in REGISTERED} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}

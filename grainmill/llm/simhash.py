@@ -255,6 +255,16 @@ def links(fps: DataFrame, k: int = MAX_BITS, node_limit: int = NODE_LIMIT) -> Da
     return ordered.select(*keys, "side", "depth", "bits", "fp").mapInPandas(_join_runs(k, RUN), "a long, b long")
 
 
+def grouped(scored: DataFrame, max_bits: int, node_limit: int) -> DataFrame:
+    """(fp, group, component_id) of stored (id, fp) rows: the group's least fingerprint and least id."""
+    nodes = materialise(scored.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    found = components(links(nodes.select("fp"), max_bits, node_limit))
+    found = found.select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    placed = nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("group", "fp").alias("group"))
+    least = placed.groupBy("group").agg(F.min("least").alias("component_id"))
+    return materialise(placed.join(least, "group").select("fp", "group", "component_id"), "named")
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -273,12 +283,34 @@ def near_duplicates(
     """
     scored = docs.select(F.col(key).alias("id"), fingerprints(F.coalesce(F.col(text), F.lit("")), shingle).alias("fp"))
     scored = materialise(scored, "fingerprints")
-    nodes = materialise(scored.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    found = components(links(nodes.select("fp"), max_bits, node_limit))
-    found = found.select(F.col("node").alias("fp"), F.col("component").alias("group"))
-    placed = nodes.join(found, "fp", "left").select("fp", "least", F.coalesce("group", "fp").alias("group"))
-    least = placed.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = materialise(placed.join(least, "group").select("fp", "component_id"), "named")
+    named = grouped(scored, max_bits, node_limit)
     return scored.join(named, "fp").select(
         F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    node_limit: int = NODE_LIMIT,
+) -> DataFrame:
+    """``docs`` with one row of each group of ``near_duplicates``: the one of the smallest key.
+
+    Of several rows with that key one stays; null keys come last. Rows are stored with a number
+    first, so that the row chosen is the row kept.
+    """
+    scored = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col(key).alias("id"),
+        fingerprints(F.coalesce(F.col(text), F.lit("")), shingle).alias("fp"),
+        F.monotonically_increasing_id().alias("uid"),
+    )
+    scored = materialise(scored, "numbered")
+    named = grouped(scored.select("id", "fp"), max_bits, node_limit)
+    chosen = scored.select("id", "fp", "uid").join(named, "fp").groupBy("group")
+    chosen = chosen.agg(F.min(F.struct(F.col("id").isNull(), "id", "uid")).alias("least")).select("least.uid")
+    kept = scored.join(chosen, "uid", "left_semi")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
