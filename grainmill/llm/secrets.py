@@ -23,8 +23,10 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]+"
 MIN_RUN = 20  # characters of a run that the models look at
+MIN_SAMPLE = 6  # characters of a labelled sample
 SAMPLE_DOCS = 20_000  # documents whose runs are the labelled samples, about
 MADE = 2_000  # random strings made for each of three alphabets
+PRIOR = 5.0
 THRESHOLD = 12.0  # log-likelihood ratio of a secret, natural logarithm
 
 
@@ -68,7 +70,7 @@ def labelled_samples(docs: DataFrame, text: str) -> DataFrame:
     """(label, word) rows: 1 for random strings, 0 for ordinary identifiers.
 
     Runs within texts are labelled by the base patterns: what they find is random, other runs of
-    ``MIN_RUN`` or more letters, digits and joiners are ordinary. About ``SAMPLE_DOCS`` documents
+    ``MIN_SAMPLE`` or more letters, digits and joiners are ordinary. About ``SAMPLE_DOCS`` documents
     are looked at, chosen by a hash of their text. Random strings of three alphabets are added,
     so that there is something to learn from where the sample holds no secret.
     """
@@ -87,7 +89,7 @@ def labelled_samples(docs: DataFrame, text: str) -> DataFrame:
             F.concat(
                 F.transform(assigned, lambda w: F.struct(F.lit(1).alias("label"), w.alias("word"))),
                 F.transform(
-                    F.filter(runs, lambda w: F.length(w) >= MIN_RUN),
+                    F.filter(runs, lambda w: F.length(w) >= MIN_SAMPLE),
                     lambda w: F.struct(w.rlike("^(AKIA[A-Z0-9]{16,}|[0-9a-f]{24,})$").cast("int").alias("label"), w.alias("word")),
                 ),
             )
@@ -100,14 +102,15 @@ def labelled_samples(docs: DataFrame, text: str) -> DataFrame:
             F.array(digest, F.rtrim(F.lit("="), F.base64(F.unhex(digest))), F.upper(F.conv(F.substring(digest, 1, 15), 16, 36)))
         ).alias("word"),
     )
-    return rows.where(F.length("word") >= 6).unionByName(made)
+    return rows.where(F.length("word") >= MIN_SAMPLE).unionByName(made)
 
 
 def pair_weights(docs: DataFrame, text: str = "text") -> list[float]:
     """Log-likelihood ratio of every character pair of ``ALPHABET``, row by row.
 
-    Each model gives a character's probability after the one before it, with half a count added
-    to every pair. Pairs of an ordinary word are counted once per word found.
+    Each model gives a character's probability after the one before it: its share of what came
+    after that one, with ``PRIOR`` counts dealt out by how often characters come anywhere. So a
+    character that a model has hardly seen is as unlikely after one that it has never seen.
     """
     n = len(ALPHABET)
     pairs = labelled_samples(docs, text).select(
@@ -120,12 +123,14 @@ def pair_weights(docs: DataFrame, text: str = "text") -> list[float]:
     )
     counts = pairs.groupBy("label", "pair").count().where(F.length("pair") == 2).collect()  # at most 2 n^2 rows
     table = {(label, pair): c for label, pair, c in counts}
-    out = []
-    for a in ALPHABET:
-        rows = [[table.get((label, a + b), 0) + 0.5 for b in ALPHABET] for label in (1, 0)]
-        total = [sum(row) for row in rows]
-        out += [math.log(rows[0][j] / total[0]) - math.log(rows[1][j] / total[1]) for j in range(n)]
-    return out
+    models = []
+    for label in (1, 0):
+        rows = [[table.get((label, a + b), 0) for b in ALPHABET] for a in ALPHABET]
+        alone = [sum(row[j] for row in rows) + 0.5 for j in range(n)]
+        share = [x / sum(alone) for x in alone]
+        models.append([[(c + PRIOR * p) / (sum(row) + PRIOR) for c, p in zip(row, share)] for row in rows])
+    random, ordinary = models
+    return [math.log(p) - math.log(q) for rs, qs in zip(random, ordinary) for p, q in zip(rs, qs)]
 
 
 def log_ratio(word: Column, weights: list[float]) -> Column:
