@@ -113,15 +113,10 @@ def pair_weights(docs: DataFrame, text: str = "text") -> list[float]:
     character that a model has hardly seen is as unlikely after one that it has never seen.
     """
     n = len(ALPHABET)
-    pairs = labelled_samples(docs, text).select(
-        "label",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.col("word").substr(i, F.lit(2))
-            )
-        ).alias("pair"),
-    )
-    counts = pairs.groupBy("label", "pair").count().where(F.length("pair") == 2).collect()  # at most 2 n^2 rows
+    chars = labelled_samples(docs, text).select("label", F.split("word", "").alias("c"))
+    ahead = F.zip_with("c", F.slice("c", F.lit(2), F.size("c")), lambda x, y: F.concat(x, y))
+    pairs = chars.select("label", F.explode(ahead).alias("pair"))
+    counts = pairs.groupBy("label", "pair").count().where("pair IS NOT NULL").collect()  # at most 2 n^2 rows
     table = {(label, pair): c for label, pair, c in counts}
     models = []
     for label in (1, 0):

@@ -1,0 +1,100 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from edges import frame, rows, words
+from pyspark.sql import functions as F
+
+from grainmill.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    text = text or ""
+    found = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
+    n = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if n[w] > 1 for j in (i, i + 1, i + 2)}
+    failed = len(found) < 50 or 100 * len(covered) > 50 * len(found)
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(found), sum(map(len, found)), symbols, dup, len(covered), failed
+
+
+TEXTS = [
+    "a b c a b c",
+    "a a a a",
+    "a b a b a b x y z",
+    "\x0b\x0c lead\x1cin g b   # * $%&|<> tail \n",
+    "line\nline\n \n \nline \nother\r\nother\r\n",
+    words(1, 60) + " " + words(1, 60),
+    words(1, 60) + " " + words(2, 59),
+    "É" * 10,
+]
+
+
+def test_base_counts(spark):
+    data = [(i, t) for i, t in enumerate([*TEXTS, *[r[1] for r in rows()]])]
+    got = quality.measured(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    for r in got:
+        assert tuple(r[c] for c in (*quality.BASE, "base_failed")) == plain(data[r.doc_id][1]), r.doc_id
+
+
+def clean_and_junk(n=400):
+    clean = [(i, words(i, 80 + i % 60), "en", f"s{i % 2}") for i in range(n)]
+    junk = [(n + i, " ".join(w + "###" for w in words(n + i, 90).split()), "en", "s0") for i in range(8)]
+    shout = [(n + 10 + i, words(n + 10 + i, 90).upper() + "!!", "en", "s1") for i in range(8)]
+    few = [(n + 20 + i, words(n + 20 + i, 90), "xx", None) for i in range(3)]
+    return clean, junk + shout, few
+
+
+def test_far_documents_go_and_others_stay(spark):
+    clean, junk, few = clean_and_junk()
+    docs = spark.createDataFrame(clean + junk + few, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in quality.keep_good(docs).collect()}
+    assert kept == {r[0] for r in clean + few}
+
+
+def test_estimate_is_the_minimum_determinant_one(spark):
+    """The final estimate is a fixed point: mean and covariance of its own nearest share."""
+    clean, junk, _ = clean_and_junk()
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
+    stats = quality.measured(docs).withColumn("group", F.lit("g")).cache()
+    made = quality.estimates(stats, "group").first()
+    x = np.array([[r[f"stat_{a}"] for a in quality.STATS] for r in stats.where("NOT base_failed").collect()])
+    centre = np.array([made[f"c_{a}"] for a in quality.STATS])
+    w = np.zeros((5, 5))
+    for i in range(5):
+        for j in range(i + 1):
+            w[i, j] = made[f"w_{i}_{j}"]
+    d2 = (((x - centre) @ w.T) ** 2).sum(axis=1)
+    near = x[d2 <= np.quantile(d2, quality.H, method="inverted_cdf")]
+    floors = np.diag([f**2 for f in quality.FLOORS.values()])
+    assert np.allclose(near.mean(axis=0), centre, atol=2e-3)
+    assert np.allclose(np.cov(near.T, bias=True) + floors, np.linalg.inv(w.T @ w), atol=2e-3)
+    stats.unpersist()
+
+
+def test_edge_rows(spark):
+    docs = frame(spark)
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    expect = [r for r in rows() if not plain(r[1])[-1]]
+    assert sorted(map(str, kept.collect())) == sorted(map(str, frame(spark, expect).collect()))
+
+
+def test_empty_table(spark):
+    assert quality.keep_good(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("n", [20, 200])
+def test_equal_documents_have_no_outliers(spark, n):
+    data = [(i, words(3, 80), "en", "s") for i in range(n)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    assert quality.keep_good(docs).count() == n
