@@ -27,8 +27,8 @@ from grainmill.llm.text import flat, mixed, slices, word_hashes
 from grainmill.session import scratch_path
 
 BUCKET_BYTES = 16 << 20  # of text for each range of hashes
-RUN_TOKENS = 1 << 22  # tokens counted together in a task
-SCORE_BYTES = 4 << 20  # of text looked up together
+RUN_TOKENS = 3 << 20  # tokens counted together in a task
+SCORE_BYTES = 2 << 20  # of text looked up together
 END, BEGIN = (int(x) for x in mixed(np.arange(1, 3, dtype=np.uint64)))  # stand for no word
 COUNTS = ("count", "after", "total", "n1", "n2", "n3")  # of a word: itself, words before it, pairs it begins
 

@@ -44,9 +44,9 @@ def docs_with_leaks():
     leaked = {100: put(100, ITEMS[0]), 101: put(101, ITEMS[1].upper()), 102: put(102, edited(ITEMS[2], 0.2, 1))}
     leaked[103] = put(103, ITEMS[3][: len(ITEMS[3]) * 2 // 3])
     leaked[104] = ITEMS[4]
-    leaked |= {200 + i: put(200 + i, ITEMS[5]) for i in range(150)}  # a passage that most documents share
+    leaked |= {1000 + i: put(1000 + i, ITEMS[5]) for i in range(150)}  # a passage that most documents share
     data = list(enumerate(clean)) + list(leaked.items()) + [(300, ITEMS[6][:40]), (301, None), (302, "")]
-    return data, {(100, 0), (101, 1), (102, 2), (103, 3), (104, 4)} | {(200 + i, 5) for i in range(150)}
+    return data, {(100, 0), (101, 1), (102, 2), (103, 3), (104, 4)} | {(1000 + i, 5) for i in range(150)}
 
 
 def test_copies_and_edited_copies_are_found_and_nothing_else(spark):
