@@ -18,8 +18,14 @@ def _joined(columns: Sequence[str]) -> list[Column]:
 
 
 def row_identity(columns: Sequence[str]) -> Column:
-    """A replay-safe row id: the md5 of the identifying columns."""
-    return F.md5(F.concat_ws("-", *_joined(columns)))
+    """A replay-safe row id: the md5 of the identifying columns.
+
+    Each value is preceded by its length, so that different rows never make one text; a null
+    has no length.
+    """
+    texts = [F.col(c).cast("string") for c in columns]
+    sized = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts]
+    return F.md5(F.concat(*sized))
 
 
 def seeded_digest(columns: Sequence[str], seed: int) -> Column:

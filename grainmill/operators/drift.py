@@ -17,10 +17,8 @@ P_VALUE = 0.05
 DRIFT_SHARE = 0.5
 SERIES_TERMS = 100
 
-LEAF_ROWS = 4_000_000  # rows of one value range that a single window task may hold
-RANGES = 1024  # pieces per feature in one refinement
-ROUNDS = 30
-FINITE = 1e300  # stands for infinity when a range is cut
+LEAF_ROWS = 4_000_000  # rows of one value range that a single window task may hold, about
+MOST_RANGES = 20_000  # of one feature; beyond 40 billion rows ranges grow, and their windows spill
 
 SIDES = ("reference", "current")
 
@@ -87,17 +85,14 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, 1.0).when(lam.isNotNull(), bounded)
 
 
-def _long(df: DataFrame, features: Sequence[str], splits: dict[str, list[float]] | None) -> DataFrame:
-    """One row per (feature, value, side), with the value's range number if asked."""
-    if splits:
-        ranged = Bucketizer(
-            inputCols=list(features),
-            outputCols=[f"_range_{f}" for f in features],
-            splitsArray=[splits[f] for f in features],
-            handleInvalid="keep",
-        ).transform(df)
-    else:
-        ranged = df.withColumns({f"_range_{f}": F.lit(0) for f in features})
+def _long(df: DataFrame, features: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
+    """One row per (feature, range of the value, value, side)."""
+    ranged = Bucketizer(
+        inputCols=list(features),
+        outputCols=[f"_range_{f}" for f in features],
+        splitsArray=[splits[f] for f in features],
+        handleInvalid="keep",
+    ).transform(df)
     cells = F.array(
         *[
             F.struct(
@@ -119,119 +114,88 @@ def _side_counts() -> list[Column]:
     return [F.count(F.when(F.col("side") == s, 1)).alias(f"n_{s}") for s in SIDES]
 
 
-class _Ranges:
-    """Value ranges of one feature with their counts, in value order."""
-
-    def __init__(self, rows):
-        rows = sorted(rows, key=lambda r: r["range"])
-        self.number = np.array([r["range"] for r in rows], dtype=int)
-        self.low = np.array([r["low"] for r in rows], dtype=float)
-        self.high = np.array([r["high"] for r in rows], dtype=float)
-        self.counts = np.array([[r["n_reference"], r["n_current"]] for r in rows], dtype=float)
-        self.totals = self.counts.sum(axis=0)
-        ends = np.cumsum(self.counts, axis=0)
-        self.before = ends - self.counts
-        with np.errstate(invalid="ignore", divide="ignore"):
-            end, start = ends / self.totals, self.before / self.totals
-        self.known = float(np.abs(end[:, 0] - end[:, 1]).max())
-        # Both shares only grow inside a range, which bounds the gap in its interior.
-        self.bound = np.maximum(end[:, 0] - start[:, 1], end[:, 1] - start[:, 0])
-        self.open = (self.high > self.low) & (self.bound > self.known)
-
-    def refined(self, leaf_rows: int, ranges: int) -> list[float] | None:
-        """Split points after cutting every open range that is too large, else None."""
-        large = self.open & (self.counts.sum(axis=1) > leaf_rows)
-        if not large.any():
-            return None
-        points = set(self.low.tolist())
-        for i in np.flatnonzero(large):
-            pieces = int(min(ranges, max(2, np.ceil(4 * self.counts[i].sum() / leaf_rows))))
-            ends = np.clip([self.low[i], self.high[i]], -FINITE, FINITE)
-            points.update(np.linspace(*ends, pieces + 1)[1:].tolist())
-        points.discard(self.low.min())
-        return [-np.inf, *sorted(p for p in points if np.isfinite(p)), np.inf]
+def _splits(both: DataFrame, features: Sequence[str], leaf_rows: int) -> dict[str, list[float]]:
+    """Quantiles of every feature that cut it into ranges of at most about half ``leaf_rows`` rows.
+
+    One pass makes mergeable sketches of all features; the driver sees the split points only.
+    """
+    pieces = min(MOST_RANGES, 2 * both.count() // leaf_rows + 1)
+    shares = [i / pieces for i in range(1, pieces)] or [0.5]
+    row = both.agg(*[F.percentile_approx(f, shares, 10 * pieces).alias(f) for f in features]).first()
+    return {
+        f: [-np.inf, *sorted({float(x) for x in row[f] or [] if np.isfinite(x)} or {0.0}), np.inf] for f in features
+    }
+
+
+def _range_table(counted: DataFrame) -> DataFrame:
+    """Per value range: the rows before it and in all, the largest gap at any range end of the
+    feature (``known``), and whether a larger one may lie inside the range (``open``).
+
+    Both shares only grow inside a range, which bounds the gap there.
+    """
+    ahead = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("feature")
+    first, last = SIDES
+    columns = {f"before_{s}": F.coalesce(F.sum(f"n_{s}").over(ahead), F.lit(0)) for s in SIDES}
+    columns |= {f"all_{s}": F.sum(f"n_{s}").over(whole) for s in SIDES}
+    table = counted.withColumns(columns)
+    table = table.withColumns(
+        {f"end_{s}": F.try_divide(F.col(f"before_{s}") + F.col(f"n_{s}"), F.col(f"all_{s}")) for s in SIDES}
+        | {f"start_{s}": F.try_divide(f"before_{s}", f"all_{s}") for s in SIDES}
+    )
+    table = table.withColumn("known", F.max(F.abs(F.col(f"end_{first}") - F.col(f"end_{last}"))).over(whole))
+    bound = F.greatest(F.col(f"end_{first}") - F.col(f"start_{last}"), F.col(f"end_{last}") - F.col(f"start_{first}"))
+    open_ = (F.col("high") > F.col("low")) & (bound > F.col("known"))
+    return table.select("feature", "range", *columns, "known", F.coalesce(open_, F.lit(False)).alias("open"))
 
 
 def ks_statistics(
-    reference: DataFrame,
-    current: DataFrame,
-    features: Sequence[str],
-    leaf_rows: int = LEAF_ROWS,
-    ranges: int = RANGES,
+    reference: DataFrame, current: DataFrame, features: Sequence[str], leaf_rows: int = LEAF_ROWS
 ) -> DataFrame:
     """Exact largest gap between the two empirical distributions of every feature.
 
     Columns: feature, n_reference, n_current, statistic (null when a side is empty).
 
-    Counts per value range give the gap at every range end, and a bound on the gap
-    inside. Ranges whose bound cannot beat the best known gap are settled without
-    sorting a row; large open ones are cut further, and only the rest is ranked, by
-    windows within a range plus the counts before it. The driver sees range counts:
-    about 4 * rows / leaf_rows of them.
+    Quantiles cut every feature into ranges, whatever its values' spread. Counts per range, put in
+    order on the executors, give the gap at every range end and a bound on the gap inside.
+    Ranges whose bound cannot beat the best known gap are settled without moving a row; the
+    others' values are counted and ranked within their range. That is four passes over the
+    tables at most, and no range holds many more than ``leaf_rows`` different values.
     """
     features = list(features)
     both = _measures(reference, features, SIDES[0]).unionByName(_measures(current, features, SIDES[1]))
-    splits = None
-    for attempt in range(ROUNDS):
-        counted = (
-            _long(both, features, splits)
-            .groupBy("feature", "range")
-            .agg(*_side_counts(), F.min("value").alias("low"), F.max("value").alias("high"))
-            .collect()
-        )
-        found = {f: [r for r in counted if r["feature"] == f] for f in features}
-        state = {f: _Ranges(rows) for f, rows in found.items() if rows}
-        cut = {f: s.refined(leaf_rows, ranges) for f, s in state.items()}
-        if attempt == ROUNDS - 1 or not any(cut.values()):
-            break
-        previous = splits or {}
-        splits = {
-            f: cut.get(f) or previous.get(f) or [-np.inf, 0.0, np.inf] for f in features
-        }
-    spark = both.sparkSession
-    settled, offsets = [], []
-    for f in features:
-        if f not in state:
-            settled.append((f, 0, 0, None))
-            continue
-        s = state[f]
-        n, m = (int(t) for t in s.totals)
-        settled.append((f, n, m, s.known if n and m else None))
-        if n and m:
-            offsets += [
-                (f, int(s.number[i]), int(s.before[i, 0]), int(s.before[i, 1]), n, m)
-                for i in np.flatnonzero(s.open)
-            ]
-    answer = spark.createDataFrame(settled, "feature string, n_reference long, n_current long, known double")
-    if not offsets:
-        return answer.withColumnRenamed("known", "statistic")
-    starts = spark.createDataFrame(
-        offsets,
-        "feature string, range int, before_reference long, before_current long, all_reference long, all_current long",
+    splits = _splits(both, features, leaf_rows)
+    counted = (
+        _long(both, features, splits)
+        .groupBy("feature", "range")
+        .agg(*_side_counts(), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    # Stored, so that the planner knows the size of this list and can broadcast it under
-    # its own limit; rows of settled ranges are then dropped before any shuffle. Open
-    # ranges hold about ``leaf_rows`` rows at most, so a shuffled join is even as well.
-    starts = materialise(starts.coalesce(1), "ranges")
+    # Stored, so that the planner knows the size of this table and can broadcast it under its own limit.
+    ranges = materialise(_range_table(counted), "ranges")
+    totals = ranges.groupBy("feature").agg(
+        *[F.max(f"all_{s}").alias(f"n_{s}") for s in SIDES], F.max("known").alias("known")
+    )
+    opened = ranges.where("open").select("feature", "range", *[f"{k}_{s}" for k in ("before", "all") for s in SIDES])
     values = (
         _long(both, features, splits)
-        .join(starts, ["feature", "range"])
-        .groupBy(*starts.columns, "value")
+        .join(opened, ["feature", "range"])
+        .groupBy(*opened.columns, "value")
         .agg(*_side_counts())
     )
-    upto = (
-        Window.partitionBy("feature", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    shares = [
-        (F.sum(f"n_{s}").over(upto) + F.col(f"before_{s}")) / F.col(f"all_{s}") for s in SIDES
-    ]
+    upto = Window.partitionBy("feature", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    shares = [(F.sum(f"n_{s}").over(upto) + F.col(f"before_{s}")) / F.col(f"all_{s}") for s in SIDES]
     gaps = (
         values.select("feature", F.abs(shares[0] - shares[1]).alias("gap"))
         .groupBy("feature")
         .agg(F.max("gap").alias("gap"))
     )
-    return answer.join(gaps, "feature", "left").select(
-        "feature", "n_reference", "n_current", F.greatest("known", "gap").alias("statistic")
+    named = both.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    answer = named.join(totals, "feature", "left").join(gaps, "feature", "left")
+    both_sides = (F.col("n_reference") > 0) & (F.col("n_current") > 0)
+    return answer.select(
+        "feature",
+        *[F.coalesce(f"n_{s}", F.lit(0)).cast("bigint").alias(f"n_{s}") for s in SIDES],
+        F.when(both_sides, F.greatest("known", "gap")).alias("statistic"),
     )
 
 

@@ -6,39 +6,53 @@ from collections.abc import Sequence
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from grainmill.functions.columns import KEYS, LOOKUP_KEYS
 from grainmill.session import fits_broadcast
 
-HOT_SHARE = 512  # a key is hot when it holds over 1/512 of the rows: at most 511 keys are
-TRACKED = 4096  # sketch size; counts are off by at most 1/3072 of the rows
+MOST_HOT = 8192  # keys looked for at most: two for each shuffle partition, in any case
+TRACKED = 8  # sketch entries for each key looked for; counts are off by at most 1/(6 * keys) of the rows
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str]) -> dict[int, float]:
-    """Share of the rows by hash of each key that holds over 1/512 of them.
+def _partitions(spark: SparkSession) -> int:
+    conf = spark.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or conf.get("spark.sql.shuffle.partitions"))
+
+
+def key_hash(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A hash of the keys that is equal on both sides whenever the join calls them equal.
+
+    A hash depends on the type, while the join compares values: integers of any width are
+    hashed as the widest. Other keys must have one type on both sides, or there is no hash.
+    """
+    out = []
+    for key in keys:
+        kinds = [df.schema[key].dataType for df in (facts, lookup)]
+        if all(isinstance(k, T.IntegralType) for k in kinds):
+            out.append(F.col(key).cast("bigint"))
+        elif kinds[0] == kinds[1]:
+            out.append(F.col(key))
+        else:
+            return None
+    return F.xxhash64(*out)
 
-    By pigeonhole these are fewer than 512 keys.
+
+def hot_keys(facts: DataFrame, key: Column, limit: int) -> dict[int, float]:
+    """Share of the rows by key hash, of each that holds over 1/limit of them: fewer than ``limit``.
 
     A mergeable frequent-items sketch over the key columns only: each task sends one
     small sketch, rows are not shuffled. A false alarm costs a few repeated rows.
     """
-    hashed = facts.select(F.xxhash64(*keys).alias("_key"))
-    found = hashed.agg(
+    tracked = TRACKED * limit
+    found = facts.select(key.alias("_key")).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.expr(f"approx_top_k(_key, {HOT_SHARE}, {TRACKED})").alias("top"),
+        F.expr(f"approx_top_k(_key, {limit}, {tracked})").alias("top"),
     ).first()
     n_rows = found["n_rows"]
-    shares = {t["item"]: t["count"] / n_rows + 1 / (0.75 * TRACKED) for t in found["top"]}
-    return {key: share for key, share in shares.items() if share * HOT_SHARE > 1}
-
-
-def salts_for(spark: SparkSession, hot: dict[int, float]) -> int:
-    """Pieces that bring the hottest key down to an average shuffle partition."""
-    conf = spark.conf
-    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    partitions = int(partitions or conf.get("spark.sql.shuffle.partitions"))
-    return max(2, ceil(max(hot.values()) * partitions))
+    shares = {t["item"]: t["count"] / n_rows + 1 / (0.75 * tracked) for t in found["top"]}
+    return {k: share for k, share in shares.items() if share * limit > 1}
 
 
 def salted_join(
@@ -49,22 +63,31 @@ def salted_join(
     salts: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join in which rows of frequent keys are spread over ``salts`` tasks.
-
-    By default as many as make a piece no larger than an average partition. Hot keys are looked for in ``hot_from``, any cheap frame with the facts' keys, by
-    default the facts. If there are none this is a plain join. Otherwise only the hot
-    keys' lookup rows are repeated. The salt depends on a row's content and its
-    partition number, never on row order, so a repeated task repeats it.
+    """Equi-join in which rows of frequent keys are spread over several tasks.
+
+    A key is hot if it fills a good part of an average shuffle partition, and is cut into pieces
+    no larger than half of one, or into ``salts``. Hot keys are looked for in ``hot_from``, any
+    cheap frame with the facts' keys, by default the facts. If there are none, or the sides'
+    key types differ in more than the width of integers, this is a plain join, whose skewed
+    partitions Spark splits. Otherwise only the hot keys' lookup rows are repeated. The salt
+    depends on a row's content and its partition number, never on row order, so a repeated
+    task repeats it.
     """
-    hot = hot_keys(facts if hot_from is None else hot_from, keys)
+    key = key_hash(facts, lookup, keys)
+    partitions = _partitions(facts.sparkSession)
+    hot = {} if key is None else hot_keys(facts if hot_from is None else hot_from, key, min(MOST_HOT, max(512, 2 * partitions)))
     if not hot:
         return facts.join(lookup, list(keys), how)
-    salts = salts or salts_for(facts.sparkSession, hot)
-    is_hot = F.xxhash64(*keys).isin(list(hot))
-    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.withColumn("_salt", F.explode(copies))
+    by_pieces: dict[int, list[int]] = {}
+    for hashed, share in hot.items():
+        pieces = salts or max(2, 1 << ceil(2 * share * partitions).bit_length())
+        by_pieces.setdefault(pieces, []).append(hashed)
+    pieces = F.lit(1)
+    for n, hashes in sorted(by_pieces.items()):
+        pieces = F.when(key.isin(hashes), F.lit(n)).otherwise(pieces)
+    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), pieces).cast("int")
+    left = facts.withColumn("_salt", spread)
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 

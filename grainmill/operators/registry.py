@@ -74,13 +74,14 @@ def resolve_tags(
 ) -> DataFrame:
     """Newest version of each model with its run's tags as columns.
 
-    The wanted keys are filtered before grouping, and one grouping both takes the last
-    value and turns keys into columns.
+    Tags of other runs and keys are left out before grouping, and one grouping both takes the
+    last value and turns keys into columns.
     """
+    newest = newest_models(versions)
     order = F.col(order) if isinstance(order, str) else order
     last = [
         F.max(F.when(F.col("key") == k, F.struct(order.alias("at"), "value")))["value"].alias(k)
         for k in keys
     ]
-    by_run = tags.filter(F.col("key").isin(*keys)).groupBy("run_id").agg(*last)
-    return newest_models(versions).join(by_run, "run_id", "left")
+    wanted = tags.filter(F.col("key").isin(*keys)).join(newest.select("run_id"), "run_id", "left_semi")
+    return newest.join(wanted.groupBy("run_id").agg(*last), "run_id", "left")

@@ -159,9 +159,10 @@ def oracle_sql() -> dict[str, str]:
         'SELECT value AS m_value, user_id AS m_user, event_id AS "Id", CAST(ts AS DATE) AS date,'
         " CAST(hour(ts) AS INTEGER) AS hour FROM events"
     )
-    identity = ", ".join(f"CAST({k} AS VARCHAR)" for k in LINE_KEYS)
+    sized = "CASE WHEN {0} IS NULL THEN '~' ELSE length(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+    identity = ", ".join(sized.format(k) for k in LINE_KEYS)
     sql["row_identity"] = (
-        f"WITH {LINES} SELECT md5(concat_ws('-', {identity})) AS \"Id\", {', '.join(LINE_FEATURES)} FROM lines"
+        f"WITH {LINES} SELECT md5(concat({identity})) AS \"Id\", {', '.join(LINE_FEATURES)} FROM lines"
     )
     sql["preview_top_n"] = f"WITH {LINES} SELECT * FROM lines ORDER BY {LINE_LIST} LIMIT 20"
     sql["flag_newest"] = (
@@ -176,6 +177,10 @@ def oracle_sql() -> dict[str, str]:
         "SELECT s_suppkey, l_quantity, l_tax, l_returnflag, s_nationkey"
         " FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"
     )
+    sql["join_labels_typed"] = (
+        "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, l_quantity, l_tax, l_returnflag, s_nationkey"
+        " FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"
+    )
     sql["newest_date"] = f"WITH {OBS} SELECT max(date) AS newest_date FROM obs"
     sql["drop_newest_day"] = f"WITH {OBS}, {HISTORY} SELECT {keys}, {M_ROUNDED}, target FROM history"
     sql["drop_newest"] = f"WITH {OBS}, {HISTORY} SELECT {keys}, {M_ROUNDED} FROM history"
@@ -217,7 +222,7 @@ def oracle_sql() -> dict[str, str]:
     sql["read_as_of"] = f"WITH {OBS} SELECT {keys}, m_value FROM obs WHERE date < DATE '2024-01-16'"
     sql["overwrite_version"] = f"WITH {OBS} SELECT date, count(*) AS n_rows FROM obs GROUP BY date"
     sql["latest_version"] = (
-        "SELECT o_custkey, max(o_orderkey) AS latest_version FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey"
+        "SELECT o_custkey, max(o_orderkey) AS latest_version FROM orders GROUP BY o_custkey"
     )
     sql["predictions"] = f"WITH {SCORED_LINES} SELECT * FROM scored"
     right = "CASE WHEN target = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"

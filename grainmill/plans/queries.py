@@ -92,6 +92,15 @@ def join_labels_salted(spark, sf):
     return joins.join_labels(facts, suppliers, ["s_suppkey"], salted=True)
 
 
+def join_labels_typed(spark, sf):
+    """The salted path with keys of different integer types."""
+    facts = inputs.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("int").alias("s_suppkey"), "l_quantity", "l_tax", "l_returnflag"
+    )
+    suppliers = inputs.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    return joins.join_labels(facts, suppliers, ["s_suppkey"], salted=True)
+
+
 def newest_date(spark, sf):
     return recency.newest_date(inputs.observations(spark, sf))
 
@@ -233,7 +242,7 @@ def overwrite_version(spark, sf):
 
 
 def latest_version(spark, sf):
-    log = inputs.table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P")
+    log = inputs.table(spark, sf, "orders")
     return versioned.latest_version(log, "o_orderkey", ["o_custkey"])
 
 
@@ -316,7 +325,7 @@ def _drift_sides(spark, sf):
 
 def _per_feature(spark, sf):
     reference, current = _drift_sides(spark, sf)
-    return drift.feature_drift(reference, current, DRIFT_FEATURES, leaf_rows=DRIFT_LEAF, ranges=64)
+    return drift.feature_drift(reference, current, DRIFT_FEATURES, leaf_rows=DRIFT_LEAF)
 
 
 def drift_ks(spark, sf):
@@ -467,6 +476,7 @@ REGISTERED = [
     flag_newest,
     join_labels,
     join_labels_salted,
+    join_labels_typed,
     newest_date,
     drop_newest_day,
     drop_newest,

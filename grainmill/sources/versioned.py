@@ -126,10 +126,7 @@ class VersionedTable:
         row = self._commit_row()
         if row is None:
             return self.overwrite(df)
-        current = T.StructType.fromJson(_json(row["schema"]))
-        if {(f.name, f.dataType) for f in current} != {(f.name, f.dataType) for f in df.schema}:
-            raise ValueError(f"batch schema {df.schema.simpleString()} is not {current.simpleString()}")
-        df = df.select(*current.fieldNames())
+        df = _as_stored(df, row["schema"])
         return self._write(
             df, row["version"] + 1, row["base"], "append", row["partition_by"], row["keys"]
         )
@@ -148,6 +145,7 @@ class VersionedTable:
         keys = list(keys) or list(row["keys"])
         if not keys:
             raise ValueError(f"{self.path} has no key")
+        df = _as_stored(df, row["schema"])
         # The batch is computed once and checked alone: its keys and the table's are
         # unique, so the merged keys are, and the large side needs no check.
         batch = materialise(df, "batch")
@@ -210,6 +208,14 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _as_stored(df: DataFrame, schema: str) -> DataFrame:
+    """A batch in the table's column order; names and types must be the table's."""
+    current = T.StructType.fromJson(_json(schema))
+    if {(f.name, f.dataType) for f in current} != {(f.name, f.dataType) for f in df.schema}:
+        raise ValueError(f"batch schema {df.schema.simpleString()} is not {current.simpleString()}")
+    return df.select(*current.fieldNames())
+
+
 def _json(text: str) -> dict:
     import json
 

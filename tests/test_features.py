@@ -24,8 +24,9 @@ def test_rename_stamp_identity(spark):
 
 
 def test_identity_tells_nulls_apart(spark):
-    df = spark.createDataFrame([("a", None), (None, "a")], "x string, y string")
-    assert df.select(row_identity(["x", "y"])).distinct().count() == 2
+    data = [("a", None), (None, "a"), ("~", "a"), ("a-b", "c"), ("a", "b-c"), ("1:a", "b"), ("1", "a1:b"), ("", None), (None, "")]
+    df = spark.createDataFrame(data, "x string, y string")
+    assert df.select(row_identity(["x", "y"])).distinct().count() == len(data)
 
 
 def test_draws_have_the_right_moments(spark):
@@ -78,12 +79,27 @@ def test_salted_join_with_a_key_that_holds_a_third(spark, no_broadcast, how):
     plain = facts.join(lookup, ["k"], how)
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(map(key, salted.collect())) == sorted(map(key, plain.collect()))
-    hot = joins.hot_keys(facts, ["k"])
+    hot = joins.hot_keys(facts, F.xxhash64("k"), 512)
     named = spark.createDataFrame([("hot",), (None,)], "k string").select(F.xxhash64("k")).collect()
     assert set(hot) == {r[0] for r in named}
     assert all(abs(share - 1 / 3) < 0.01 for share in hot.values())
-    assert joins.salts_for(spark, hot) == 2
-    assert joins.salts_for(spark, {1: 0.5}) == 2 and joins.salts_for(spark, {1: 0.9}) == 4
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("kinds", ["int bigint", "bigint smallint", "string int", "decimal(10,2) decimal(12,4)", "date timestamp"])
+@pytest.mark.parametrize("salted", [True, None])
+def test_keys_of_different_types_lose_no_rows(spark, no_broadcast, how, kinds, salted):
+    left, right = kinds.split()
+    value = "date_add(date'2024-01-01', {0})" if left == "date" else "{0}"
+    fact = value.format("int(CASE WHEN id % 2 = 0 THEN 7 ELSE id % 90 END)")
+    facts = spark.range(6000).selectExpr(f"CAST({fact} AS {left}) AS k", "id AS v")
+    lookup = spark.range(60).selectExpr(f"CAST({value.format('int(id)')} AS {right}) AS k", "id AS w")
+    got = joins.key_join(facts, lookup, ["k"], how, salted=salted)
+    plain = facts.join(lookup, ["k"], how)
+    assert got.schema == plain.schema
+    assert sorted((r.v, str(r.k), str(r.w)) for r in got.collect()) == sorted((r.v, str(r.k), str(r.w)) for r in plain.collect())
+    if kinds == "int bigint":
+        assert "_salt" in got._jdf.queryExecution().toString()
 
 
 def test_salting_spreads_copies_of_one_row(spark, no_broadcast):
@@ -96,7 +112,7 @@ def test_salting_spreads_copies_of_one_row(spark, no_broadcast):
 
 def test_no_hot_key_means_a_plain_join(spark):
     facts = spark.range(5000).withColumnRenamed("id", "k")
-    assert joins.hot_keys(facts, ["k"]) == {}
+    assert joins.hot_keys(facts, F.xxhash64("k"), 512) == {}
     assert "_salt" not in joins.salted_join(facts, facts, ["k"])._jdf.queryExecution().toString()
 
 

@@ -91,6 +91,7 @@ SAMPLES = {
     "wide": (np.concatenate([RNG.normal(0, 1, 899), [1e308]]), np.concatenate([RNG.normal(0, 1, 699), [-1e308]])),
     "infinite": (np.concatenate([RNG.normal(0, 1, 899), [np.inf]]), np.concatenate([RNG.normal(0, 1, 699), [-np.inf]])),
     "constant": (np.full(50, 2.0), np.full(40, 2.0)),
+    "600 decades": (10.0 ** RNG.uniform(-300, 300, 2000), 10.0 ** RNG.uniform(-300, 299, 2000)),
     "disjoint": (RNG.random(300), RNG.random(200) + 5),
 }
 
@@ -99,11 +100,19 @@ SAMPLES = {
 def test_ks_statistic_is_exact_at_every_leaf_size(spark, name):
     a, b = SAMPLES[name]
     for leaf in (20, 100_000):
-        row = drift.ks_statistics(column(spark, a), column(spark, b), ["x"], leaf_rows=leaf, ranges=16).first()
+        row = drift.ks_statistics(column(spark, a), column(spark, b), ["x"], leaf_rows=leaf).first()
         assert (row.n_reference, row.n_current) == (len(a), len(b))
         assert row.statistic == pytest.approx(brute_ks(a, b), abs=1e-12)
 
 
+def test_no_value_range_holds_many_more_rows_than_a_leaf(spark):
+    a, b = SAMPLES["600 decades"]
+    both = drift._measures(column(spark, a), ["x"], "reference").unionByName(drift._measures(column(spark, b), ["x"], "current"))
+    splits = drift._splits(both, ["x"], 100)
+    sizes = drift._long(both, ["x"], splits).groupBy("range").count().collect()
+    assert max(r["count"] for r in sizes) <= 100
+
+
 def test_ks_of_a_table_with_itself_is_zero(spark):
     df = column(spark, SAMPLES["shifted"][0])
     row = drift.feature_drift(df, df, ["x"], leaf_rows=50).first()
@@ -122,7 +131,7 @@ def test_several_features_at_once(spark):
     a, b = SAMPLES["shifted"]
     left = spark.createDataFrame([(float(v), 1.0, float(i)) for i, v in enumerate(a)], "x double, c double, i double")
     right = spark.createDataFrame([(float(v), 1.0, float(i)) for i, v in enumerate(b)], "x double, c double, i double")
-    got = {r.feature: r.statistic for r in drift.ks_statistics(left, right, ["x", "c", "i"], leaf_rows=60, ranges=8).collect()}
+    got = {r.feature: r.statistic for r in drift.ks_statistics(left, right, ["x", "c", "i"], leaf_rows=60).collect()}
     assert got["x"] == pytest.approx(brute_ks(a, b)) and got["c"] == 0.0
     assert got["i"] == pytest.approx(brute_ks(np.arange(len(a)), np.arange(len(b))))
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from grainmill.session import materialise, scratch_path, shared_dir
 from grainmill.sources import documents, scans
@@ -85,6 +86,15 @@ def test_keys_are_checked(spark, table, bad):
     assert table.latest() == 1
 
 
+def test_upsert_needs_the_stored_types(spark, table):
+    table.create(frame(spark, [("x", 1, D1, 1.0)]), ["Id", "hour"])
+    for column, kind in (("hour", "bigint"), ("hour", "string")):
+        batch = frame(spark, [("x", 1, D1, 2.0)]).withColumn(column, F.col(column).cast(kind))
+        with pytest.raises(ValueError):
+            table.upsert(batch)
+    assert table.latest() == 1
+
+
 def test_upsert_of_an_empty_batch(spark, table):
     table.create(frame(spark, [("x", 1, D1, 1.0)]), ["Id", "hour"], ["date"])
     table.upsert(frame(spark, []))
