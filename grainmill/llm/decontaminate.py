@@ -27,7 +27,7 @@ MIN_SEEDS = 3  # an item with fewer rare n-grams uses its rarest others too
 PAD = 64  # words of a passage before its first seed and after its last
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
-FILTER_BITS = 27  # of the set of seeds that tasks test words against: 16 MB, whatever the benchmark's size
+FILTER_BITS = 25  # of the set of seeds that tasks test words against: 4 MB, whatever the benchmark's size
 CELLS = 1 << 20  # of alignments computed side by side
 
 
