@@ -318,7 +318,8 @@ def repeated_intervals(docs: DataFrame, length: int, shard_contexts: int) -> Dat
         _anchor_rows(length), "uid long, at long, n int, anchor long, context long"
     )
     rows = materialise(rows, "contexts")
-    common = rows.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Stored, so that the join reads both sides anew and a hot anchor's rows can be split.
+    common = materialise(rows.groupBy("anchor").count().where("count > 1").select("anchor"), "common-anchors")
     members = materialise(rows.join(common, "anchor", "left_semi"), "repeated-anchors")
     kinds = members.groupBy("anchor", "context", "n").agg(
         F.count("*").alias("copies"), F.min(F.struct("uid", "at")).alias("first")
