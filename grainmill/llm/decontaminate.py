@@ -101,6 +101,7 @@ def seeds(items: DataFrame, texts: DataFrame) -> DataFrame:
     marks = spark.sparkContext.broadcast(set_of(words.select("word")))
     counts = texts.mapInArrow(_counted(marks), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialise(counts, "benchmark-words")
+    marks.unpersist()
     total = counts.where("word IS NULL").select("n").first()
     log_p = F.log10((F.coalesce("n", F.lit(0)) + 1) / ((total[0] if total else 0) + 1))
     scored = words.join(counts.where("word IS NOT NULL"), "word", "left").select("item", "at", log_p.alias("log_p"))
@@ -254,6 +255,7 @@ def leaks(
     marks = docs.sparkSession.sparkContext.broadcast(set_of(seed.select("gram")))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     found = materialise(rows.mapInArrow(_passages(marks), PASSAGE), "passages")
+    marks.unpersist()
     passage = found.select("*", F.xxhash64("doc", "first", "words").alias("passage"))
     pairs = (
         passage.select("passage", F.explode("hits").alias("gram"))
