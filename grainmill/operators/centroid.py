@@ -27,7 +27,7 @@ class NearestCentroid:
             distances.append(F.struct(sum(squared[1:], squared[0]).alias("d"), F.lit(label).alias("c")))
         known = F.lit(True)
         for f in self.features:
-            known = known & F.col(f).isNotNull()
+            known = known & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
         nearest = F.least(*distances) if len(distances) > 1 else distances[0]
         return df.withColumn(name, F.when(known, nearest["c"]))
 
@@ -37,7 +37,7 @@ def fit_centroids(df: DataFrame, features: Sequence[str], label: str) -> Nearest
     rows = (
         df.filter(F.col(label).isNotNull())
         .groupBy(label)
-        .agg(*[F.avg(f).alias(f) for f in features])
+        .agg(*[F.avg(F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double"))).alias(f) for f in features])
         .orderBy(label)
         .limit(MAX_CLASSES + 1)
         .collect()

@@ -50,13 +50,17 @@ def grid_search(
     folds: int = 5,
     seed: int = 21,
     parallelism: int = 4,
+    fold_by: Sequence[str] = (),
+    max_bins: int = 64,
 ) -> CrossValidatorModel:
     """Cross-validated random forest, best accuracy wins.
 
-    ``train`` should come from a written table: the fold draw follows row order within
-    a partition, which a file scan repeats exactly and a recomputed shuffle may not.
+    With key columns ``fold_by`` a row's fold follows from a hash of its key, however the rows
+    lie. Without them ``train`` should come from a written table: the draw then follows row
+    order within a partition, which a file scan repeats exactly and a recomputed shuffle may
+    not. ``max_bins`` bounds the cuts looked at for each feature.
     """
-    forest = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed)
+    forest = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, maxBins=max_bins)
     points = [
         {forest.getParam(name): value for name, value in zip(grid, values)}
         for values in product(*grid.values())
@@ -71,7 +75,11 @@ def grid_search(
         seed=seed,
         parallelism=parallelism,
     )
-    return search.fit(rows.select("features", F.col(label).cast("double").alias(label)))
+    columns = ["features", F.col(label).cast("double").alias(label)]
+    if fold_by:
+        search.setFoldCol("fold")
+        columns.append(F.pmod(F.xxhash64(F.lit(seed), *fold_by), F.lit(folds)).cast("int").alias("fold"))
+    return search.fit(rows.select(*columns))
 
 
 def grid_report(search: CrossValidatorModel) -> list[dict]:
@@ -89,21 +97,29 @@ def scoring_model(features: Sequence[str], fitted) -> PipelineModel:
 
 
 def fit_regression(
-    train: DataFrame, features: Sequence[str], label: str, trees: int = 20, depth: int = 5, seed: int = 21
+    train: DataFrame,
+    features: Sequence[str],
+    label: str,
+    trees: int = 20,
+    depth: int = 5,
+    seed: int = 21,
+    max_bins: int = 64,
+    subset: str = "auto",
 ) -> PipelineModel:
     """Random forest regression; scale the features first with stored moments."""
     forest = RandomForestRegressor(
-        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
-    )
+        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins,
+        featureSubsetStrategy=subset,
+    )
     rows = spread(train.filter(F.col(label).isNotNull()))
     return Pipeline(stages=[assembler(features), forest]).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], as_type: str = "int") -> DataFrame:
-    """Add ``prediction`` (and class probabilities); null where a feature is missing."""
+    """Add ``prediction`` (and class probabilities); null where a feature is missing, NaN included."""
     known = F.lit(True)
     for f in features:
-        known = known & F.col(f).isNotNull()
+        known = known & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
     scored = model.transform(df)
     out = scored.withColumn("prediction", F.when(known, F.col("prediction").cast(as_type)))
     if "probability" in scored.columns:

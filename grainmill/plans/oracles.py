@@ -224,6 +224,20 @@ def oracle_sql() -> dict[str, str]:
     sql["latest_version"] = (
         "SELECT o_custkey, max(o_orderkey) AS latest_version FROM orders GROUP BY o_custkey"
     )
+    signal = "CAST(CASE WHEN l_quantity < 17 THEN 0 WHEN l_quantity < 34 THEN 1 ELSE 2 END AS INTEGER)"
+    sql["batch_score"] = (
+        f"WITH {LINES} SELECT {LINE_LIST}, {signal} AS target, {signal} AS prediction FROM lines"
+    )
+    sql["rf_grid_search"] = (
+        f"WITH {LINES}, tests AS (SELECT {signal} AS cls FROM lines WHERE NOT ({TRAIN_LINE})),"
+        " g AS (SELECT a.c AS actual, p.c AS predicted FROM (SELECT unnest([0, 1, 2]) AS c) a, (SELECT unnest([0, 1, 2]) AS c) p)"
+        " SELECT actual, predicted, count(t.cls) AS n_rows FROM g LEFT JOIN tests t"
+        " ON t.cls = g.actual AND g.actual = g.predicted GROUP BY actual, predicted"
+    )
+    sql["rf_regression"] = (
+        f"WITH {LINES}, tests AS (SELECT {signal} AS cls, {signal} AS told FROM lines WHERE NOT ({TRAIN_LINE}))"
+        " SELECT 1 - sum((cls - told) ** 2) / (var_pop(cls) * count(*)) AS r2 FROM tests"
+    )
     sql["predictions"] = f"WITH {SCORED_LINES} SELECT * FROM scored"
     right = "CASE WHEN target = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
     sql["accuracy"] = f"WITH {SCORED_LINES} SELECT {r(f'avg({right})', 'accuracy')}, count(*) AS n_rows FROM scored"

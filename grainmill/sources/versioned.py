@@ -70,9 +70,11 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
 class VersionedTable:
     """A parquet table whose past versions stay readable."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None):
+        """``name``: under which the newest version is found in the session's catalog."""
         self.spark = spark
         self.path = path.rstrip("/")
+        self.name = name
 
     # -- versions -------------------------------------------------------------
 
@@ -178,8 +180,44 @@ class VersionedTable:
                datetime.now(timezone.utc))
         log_row = self.spark.createDataFrame([row], LOG_SCHEMA)
         log_row.coalesce(1).write.mode("append").parquet(f"{self.path}/_commits")
+        if self.name:
+            self.publish()
         return version
 
+    def fold(self) -> int:
+        """Make one version of a chain of appends; what is read stays the same."""
+        row = self._commit_row()
+        if row is None:
+            raise LookupError(f"{self.path} does not exist")
+        if row["base"] == row["version"]:
+            return row["version"]
+        return self.overwrite(self.read(), row["partition_by"], row["keys"])
+
+    def publish(self) -> None:
+        """Let ``spark.table(name)`` read the newest version, in every session of this catalog.
+
+        The name is a view over the version's folders, replaced after each commit; the database
+        is made if it is absent.
+        """
+        row = self._commit_row()
+        database, _, table = self.name.rpartition(".")
+        schema = T.StructType.fromJson(_json(row["schema"]))
+        casts = [f"CAST({{0}} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema]
+        parts = []
+        for version in range(row["base"], row["version"] + 1):
+            folder = f"{self.path}/_version={version}"
+            try:
+                self.spark.read.parquet(folder)
+            except AnalysisException:
+                continue  # a batch without rows left no file
+            listed = ", ".join(c.format(f"`{f.name}`") for c, f in zip(casts, schema))
+            parts.append(f"SELECT {listed} FROM parquet.`{folder}`")
+        none = "SELECT " + ", ".join(c.format("NULL") for c in casts) + " WHERE false"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database or 'default'}`")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW `{database or 'default'}`.`{table}` AS " + (" UNION ALL ".join(parts) or none)
+        )
+
 
 class TableStore:
     """``database.table`` names mapped to versioned tables under one root."""
@@ -190,7 +228,7 @@ class TableStore:
 
     def table(self, name: str) -> VersionedTable:
         database, _, table = name.rpartition(".")
-        return VersionedTable(self.spark, f"{self.root}/{database or 'default'}.db/{table}")
+        return VersionedTable(self.spark, f"{self.root}/{database or 'default'}.db/{table}", name)
 
     def view(self, name: str, version: int | None = None) -> str:
         """Make a table known to SQL in this session; return the view's name."""

@@ -157,3 +157,23 @@ def test_upsert_of_a_batch_too_large_to_broadcast(spark, table, no_broadcast):
     table.create(old, ["Id", "hour"], ["date"])
     table.upsert(new)
     assert rows(table.read().groupBy("date", "z").count()) == [(D1, 1.0, 100), (D2, 2.0, 200)]
+
+
+def test_tables_are_found_by_name(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    table = store.table("shelf.goods")
+    other = spark.newSession()
+    table.overwrite(frame(spark, [("a", 1, D1, 1.0)]), ["date"])
+    assert rows(other.table("shelf.goods")) == [("a", 1, D1, 1.0)]
+    table.append(frame(spark, [("b", 2, D2, 2.0)]))
+    table.append(frame(spark, []))
+    assert rows(other.table("shelf.goods")) == [("a", 1, D1, 1.0), ("b", 2, D2, 2.0)]
+    before = rows(table.read())
+    assert table.fold() == 4 and table.fold() == 4
+    assert rows(table.read()) == before == rows(other.table("shelf.goods"))
+    table.overwrite(spark.range(2))
+    assert rows(other.table("shelf.goods")) == [(0,), (1,)]
+    store.table("plain").overwrite(spark.range(1))
+    assert rows(other.table("default.plain")) == [(0,)]
+    for name in ("shelf.goods", "default.plain"):
+        spark.sql(f"DROP VIEW {name}")
