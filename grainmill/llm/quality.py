@@ -109,11 +109,13 @@ def _grouped(stats: DataFrame, group: str) -> DataFrame:
     small = F.col("count") < MIN_GROUP
     sizes = sizes.withColumn("own", F.when(small, None).otherwise(F.to_json(F.struct("g_lang", "g_source"))))
     pool = sizes.where("own IS NULL").groupBy("g_lang").agg((F.sum("count") < MIN_GROUP).alias("few"))
+    # Stored, so that the planner knows how small it is: a hot source is then not shuffled to one task.
     named = sizes.join(pool, "g_lang", "left").select(
         "g_lang",
         "g_source",
         F.coalesce("own", F.when(F.col("few"), "all").otherwise(F.to_json(F.struct("g_lang")))).alias(group),
     )
+    named = materialise(named, "quality-groups")
     return stats.join(named, ["g_lang", "g_source"], "left").drop("g_lang", "g_source")
 
 
@@ -183,6 +185,7 @@ def estimates(stats: DataFrame, group: str) -> DataFrame:
     """(group, centre c_*, factor w_*, scale) of each group of ``stats``, from rows not base_failed."""
     used = stats.where(~F.col("base_failed") & F.col(group).isNotNull()).select(group, *[f"stat_{a}" for a in STATS])
     start = used.groupBy(group).agg(*[F.percentile_approx(f"stat_{a}", 0.5, ACCURACY).alias(f"c_{a}") for a in STATS])
+    start = materialise(start, "quality-medians")
     spread = used.join(start, group).groupBy(group).agg(
         *[F.percentile_approx(F.abs(_x(a) - F.col(f"c_{a}")), 0.5, ACCURACY).alias(f"d_{a}") for a in STATS]
     )
