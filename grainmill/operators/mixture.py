@@ -90,13 +90,42 @@ def fit_mixtures(
     return fitted
 
 
-def request_classes(spark: SparkSession, classes: Sequence, n: int, balanced: bool = True, seed: int = 0) -> DataFrame:
-    """(sequence, target) rows to be filled in: ``n`` of every class, or ``n`` drawn evenly."""
+def moments(spark: SparkSession, components: Sequence[Component], features: Sequence[str]) -> DataFrame:
+    """Mean of each feature and covariance of each pair, as each class's mixture has them.
+
+    After any step of expectation maximisation these are the data's own.
+    """
+    rows = []
+    for label in dict.fromkeys(c.label for c in components):
+        own = [c for c in components if c.label == label]
+        weights, means = np.array([c.weight for c in own]), np.array([c.mean for c in own])
+        factors = np.array([c.factor for c in own])
+        mean = weights @ means
+        second = np.einsum("c,cik,cjk->ij", weights, factors, factors) + np.einsum("c,ci,cj->ij", weights, means, means)
+        spread_ = second - np.outer(mean, mean)
+        rows += [(label, f, None, float(m)) for f, m in zip(features, mean)]
+        rows += [(label, features[i], features[j], float(spread_[i, j])) for i in range(len(features)) for j in range(i + 1)]
+    return spark.createDataFrame(rows, "target int, feature string, other string, value double")
+
+
+def request_classes(
+    spark: SparkSession,
+    classes: Sequence,
+    n: int,
+    balanced: bool = True,
+    seed: int = 0,
+    weights: Sequence[float] | None = None,
+) -> DataFrame:
+    """(sequence, target) rows to be filled in: ``n`` of every class, or ``n`` drawn.
+
+    Classes are drawn evenly or by ``weights``; one class alone is a list of one.
+    """
+    balanced = balanced and weights is None
     if balanced:
         choice = F.element_at(F.array(*[F.lit(c) for c in classes]), F.pmod("sequence", F.lit(len(classes))).cast("int") + 1)
         return spark.range(n * len(classes)).toDF("sequence").withColumn("target", choice)
     return draw_class(
-        spark.range(n).toDF("sequence"), classes, [1.0] * len(classes), ["sequence"], seed, "target"
+        spark.range(n).toDF("sequence"), classes, list(weights or [1.0] * len(classes)), ["sequence"], seed, "target"
     )
 
 

@@ -238,6 +238,18 @@ def oracle_sql() -> dict[str, str]:
         f"WITH {LINES}, tests AS (SELECT {signal} AS cls, {signal} AS told FROM lines WHERE NOT ({TRAIN_LINE}))"
         " SELECT 1 - sum((cls - told) ** 2) / (var_pop(cls) * count(*)) AS r2 FROM tests"
     )
+    zed = {f: f.replace("l_", "z_") for f in LINE_FEATURES}
+    scores = ", ".join(f"({f} - avg({f}) OVER ()) / stddev_pop({f}) OVER () AS {z_}" for f, z_ in zed.items())
+    names = list(zed.values())
+    parts = [f"SELECT target, '{a}' AS feature, NULL::VARCHAR AS other, {r(f'avg({a})', 'value', 3)} FROM scores GROUP BY target" for a in names]
+    parts += [
+        f"SELECT target, '{a}' AS feature, '{b}' AS other, {r(f'covar_pop({a}, {b})', 'value', 3)} FROM scores GROUP BY target"
+        for i, a in enumerate(names)
+        for b in names[: i + 1]
+    ]
+    sql["mixture_moments"] = (
+        f"WITH {LINES}, scores AS (SELECT target, {scores} FROM lines WHERE target IS NOT NULL) " + " UNION ALL ".join(parts)
+    )
     sql["predictions"] = f"WITH {SCORED_LINES} SELECT * FROM scored"
     right = "CASE WHEN target = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
     sql["accuracy"] = f"WITH {SCORED_LINES} SELECT {r(f'avg({right})', 'accuracy')}, count(*) AS n_rows FROM scored"
@@ -311,8 +323,8 @@ LEFT JOIN last_tags b ON b.run_id = n.run_id AND b.key = 'test_dataset_version'"
     )
     u = f"{seeded_int(['\"Id\"'], 5)} / 4294967296.0::DOUBLE"
     sql["weighted_draw"] = (
-        f'WITH {OBS} SELECT "Id", CASE WHEN {u} < 1.0::DOUBLE / 3 THEN 0 WHEN {u} < 2.0::DOUBLE / 3 THEN 1'
-        " ELSE 2 END AS drawn FROM obs"
+        f'WITH {OBS} SELECT "Id", CASE WHEN {u} < 0.25::DOUBLE THEN 0 WHEN {u} < 0.875::DOUBLE THEN 2'
+        " ELSE 3 END AS drawn FROM obs"
     )
     fit_id = in_share(['"Id"'], 0.75, 0)
     sql["apply_stored_scaler"] = (

@@ -413,7 +413,7 @@ def exact_split(spark, sf):
 
 def weighted_draw(spark, sf):
     rows = inputs.observations(spark, sf).select("Id")
-    return sampling.draw_class(rows, [0, 1, 2], [1.0, 1.0, 1.0], ["Id"], 5)
+    return sampling.draw_class(rows, [0, 1, 2, 3], [1.0, 0.0, 2.5, 0.5], ["Id"], 5)
 
 
 def apply_stored_scaler(spark, sf):
@@ -465,6 +465,16 @@ def batch_score(spark, sf):
     return scored.select(*LINE_KEYS, "target", "prediction")
 
 
+def mixture_moments(spark, sf):
+    """Mean and covariance of the mixture fitted to each class, over standardised features."""
+    rows = inputs.lines(spark, sf)
+    names = {f: f.replace("l_", "z_") for f in LINE_FEATURES}
+    moments = materialise(scaling.fit_moments(rows, list(names)), "moments")
+    scaled = scaling.apply_moments(rows, moments, names, ["target"])
+    fitted = mixture.fit_mixtures(scaled, list(names.values()), "target", LINE_CLASSES)
+    return rounded(mixture.moments(spark, fitted, list(names.values())), 3)
+
+
 def mixture_sample(spark, sf):
     """As many generated rows per class as were observed, from fitted mixtures."""
     rows = inputs.lines(spark, sf)
@@ -527,6 +537,7 @@ REGISTERED = [
     rf_grid_search,
     rf_regression,
     batch_score,
+    mixture_moments,
     mixture_sample,
 ]
 
