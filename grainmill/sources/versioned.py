@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from grainmill.session import fits_broadcast, materialise
+from grainmill.session import fits_broadcast
 
 LOG_SCHEMA = T.StructType(
     [
@@ -38,16 +38,12 @@ def latest_version(log: DataFrame, version: str = "version", by: Sequence[str] =
     return log.groupBy(*by).agg(newest) if by else log.agg(newest)
 
 
-def upsert_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``old`` with rows of ``new`` replacing equal keys and the rest added.
+def _kept(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``old`` whose key ``new`` lacks.
 
     Only the keys of ``new`` take part in the join: a small batch is broadcast by
     the planner under its own size limit and ``old`` is then not shuffled at all.
     """
-    return _kept(old, new, keys).unionByName(new)
-
-
-def _kept(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return old.join(new.select(*keys), list(keys), "left_anti").select(*old.columns)
 
 
@@ -148,34 +144,38 @@ class VersionedTable:
         if not keys:
             raise ValueError(f"{self.path} has no key")
         df = _as_stored(df, row["schema"])
-        # The batch is computed once and checked alone: its keys and the table's are
-        # unique, so the merged keys are, and the large side needs no check.
-        batch = materialise(df, "batch")
+        version, partition_by = row["version"] + 1, row["partition_by"]
+        # The batch goes straight to the new version's folder and is checked there: its keys and
+        # the table's are unique, so the merged keys are, and the large side needs no check.
+        self._write_files(_rebalanced(df, partition_by), version, partition_by)
+        batch = self._read_parts(version, version, row["schema"])
         require_unique(batch, keys)
-        old = self._read_parts(row["base"], row["version"], row["schema"])
-        partition_by = row["partition_by"]
-        if fits_broadcast(batch.select(*keys)):
-            # The old rows are then not shuffled by the join, still lie partition by
-            # partition, and are written as they lie; only the batch is rebalanced.
-            merged = _kept(old, batch, keys).unionByName(_rebalanced(batch, partition_by))
-        else:
-            merged = _rebalanced(upsert_rows(old, batch, keys), partition_by)
-        version = row["version"] + 1
-        return self._commit(merged, version, version, "upsert", partition_by, keys)
+        kept = _kept(self._read_parts(row["base"], row["version"], row["schema"]), batch, keys)
+        if not fits_broadcast(batch.select(*keys)):
+            # Else the old rows are not shuffled by the join and still lie partition by partition.
+            kept = _rebalanced(kept, partition_by)
+        self._write_files(kept, version, partition_by, "append")
+        return self._log(df, version, version, "upsert", partition_by, keys)
 
     def _write(self, df, version, base, mode, partition_by, keys) -> int:
         return self._commit(
             _rebalanced(df, partition_by), version, base, mode, partition_by, keys, check=True
         )
 
-    def _commit(self, df, version, base, mode, partition_by, keys, check=False) -> int:
-        writer = df.write.mode("overwrite")
+    def _write_files(self, df, version, partition_by, mode="overwrite") -> None:
+        writer = df.write.mode(mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/_version={version}")
+
+    def _commit(self, df, version, base, mode, partition_by, keys, check=False) -> int:
+        self._write_files(df, version, partition_by)
         if keys and check:
             # Checked on the written files, so ``df`` is computed once.
             require_unique(self._read_parts(base, version, df.schema.json()), keys)
+        return self._log(df, version, base, mode, partition_by, keys)
+
+    def _log(self, df, version, base, mode, partition_by, keys) -> int:
         row = (version, base, mode, df.schema.json(), list(keys), list(partition_by),
                datetime.now(timezone.utc))
         log_row = self.spark.createDataFrame([row], LOG_SCHEMA)
