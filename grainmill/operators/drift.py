@@ -245,9 +245,16 @@ def performance_drift(
     label: str = "target",
     prediction: str = "prediction",
 ) -> DataFrame:
-    """Accuracy and per-class precision, recall and F1 for both sides; each is read once."""
-    pairs = [
-        pair_counts(df, label, prediction).withColumn("side", F.lit(side))
-        for side, df in zip(SIDES, (reference, current))
-    ]
+    """Accuracy and per-class precision, recall and F1 for both sides; each is read once.
+
+    A side without rows is reported with zeros.
+    """
+    pairs = []
+    for side, df in zip(SIDES, (reference, current)):
+        found = pair_counts(df, label, prediction)
+        none = df.sparkSession.range(1).select(
+            *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in ("actual", "predicted")],
+            F.lit(0).cast("bigint").alias("n_rows"),
+        )
+        pairs.append(found.unionByName(none).withColumn("side", F.lit(side)))
     return class_performance(union_frames(pairs), classes, "side")

@@ -60,6 +60,13 @@ def test_performance_by_hand(spark):
     assert (absent.support, absent.precision, absent.recall, absent.f1) == (0, 0.0, 0.0, 0.0)
 
 
+def test_a_side_without_rows_is_reported(spark):
+    out = drift.performance_drift(scored(spark, PAIRS), scored(spark, PAIRS).where("false"), [0, 1])
+    empty = [r for r in out.collect() if r.side == "current"]
+    assert {r["class"] for r in empty} == {0, 1}
+    assert all((r.support, r.precision, r.recall, r.f1, r.accuracy) == (0, 0.0, 0.0, 0.0, 0.0) for r in empty)
+
+
 def test_nearest_centroid(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0), (2.0, 0.0, 0), (10.0, 0.0, 1), (1.0, 5.0, None)], "x double, y double, c int")
     model = centroid.fit_centroids(df, ["x", "y"], "c")
