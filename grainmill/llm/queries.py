@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from grainmill.llm import bpe, decontaminate, kneser_ney, quality, secrets, sharding, simhash, suffix_dedup, toxicity, unigram_counts
+from grainmill.llm import bpe, decontaminate, kneser_ney, oracles, quality, secrets, sharding, simhash, suffix_dedup, toxicity, unigram_counts
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
@@ -127,4 +127,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    """SQL where SQL can express a query; the others are tested against brute force."""
+    sql = {"op10_sharding": oracles.sharding(SHARDS)}
+    return sql if corpus_pipeline.ORACLE_SQL is None else sql | {"pipeline": corpus_pipeline.ORACLE_SQL}

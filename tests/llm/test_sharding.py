@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from edges import frame, rows
 
-from grainmill.llm import sharding
+from grainmill.llm import queries, sharding
+from tools.check import compare, connect
 
 
 def plain_jump(key, shards):
@@ -60,3 +61,9 @@ def test_empty_table(spark):
     assert sharding.assign(frame(spark, []), 40).collect() == []
     with pytest.raises(ValueError):
         sharding.assign(frame(spark), 0)
+
+
+def test_query_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    sql = queries.oracle_sql()["op10_sharding"]
+    assert compare(queries.op10_sharding(spark, folder), connect(folder), sql) == ""
