@@ -1,10 +1,12 @@
 """Benchmark decontamination: rare n-grams join documents to test items, alignment scores them.
 
 An n-gram of a test item is rare if its words' frequencies in the corpus let it be expected by
-chance less than once in ``1 / RARE`` words, however often it was really copied, and few items
-have it. Documents are searched for these seeds; the words around neighbouring seeds form a
-passage, and the passage is aligned with each item whose seed it holds (Smith-Waterman over
-words), which finds edited and partly paraphrased copies too.
+chance less than once in ``1 / RARE`` words, however often it was really copied and however many
+items have it. Documents are searched for these seeds; the words around a seed, as far as an
+alignment of its item can reach, form a passage, and the passage is aligned with each item whose
+seed it holds (Smith-Waterman over words), which finds edited and partly paraphrased copies too.
+Items of equal words are aligned once. Seeds that the same items have are one class, so a text
+that many items share joins its passages to them once and not once for each of its seeds.
 
 Words are compared lower-cased (A-Z) by 64-bit hashes.
 """
@@ -22,12 +24,12 @@ from grainmill.session import materialise
 
 N = 3  # words of a seed
 RARE = 1e-8
-MANY_ITEMS = 20  # an n-gram of more items is not rare
 MIN_SEEDS = 3  # an item with fewer rare n-grams uses its rarest others too
-PAD = 64  # words of a passage before its first seed and after its last
+STRETCH = 16  # n-grams of an item, the rarest of which is a seed whether rare or not
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 FILTER_BITS = 25  # of the set of seeds that tasks test words against: 4 MB, whatever the benchmark's size
+REACH_BITS = 18  # of the tables of how far the seeds' items reach: 2 MB
 CELLS = 1 << 20  # of alignments computed side by side
 
 
@@ -67,6 +69,27 @@ def set_of(values: DataFrame) -> np.ndarray:
     return marks
 
 
+def _slot(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64((1 << REACH_BITS) - 1)).astype(np.int64)
+
+
+def reach_of(seed: DataFrame) -> np.ndarray:
+    """Most words before and after each seed, by the low bits of its hash; made like ``set_of``."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = np.zeros((2, 1 << REACH_BITS), np.uint32)
+        for batch in batches:
+            at = _slot(batch.column(0).to_numpy().view(np.uint64))
+            for k in (0, 1):
+                np.maximum.at(far[k], at, batch.column(k + 1).to_numpy().astype(np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array([far.tobytes()])], names=["far"])
+
+    far = np.zeros(2 << REACH_BITS, np.uint32)
+    for row in seed.select("gram", "before", "after").coalesce(4).mapInArrow(part, "far binary").toLocalIterator():
+        far = np.maximum(far, np.frombuffer(row[0], np.uint32))
+    return far.reshape(2, -1)
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words, at = word_hashes(*flat(batch.column(1)))
@@ -94,8 +117,13 @@ def _counted(marks):
     return count
 
 
-def seeds(items: DataFrame, texts: DataFrame) -> DataFrame:
-    """(gram, item) of the rare n-grams of ``items`` (item, words, grams), given the corpus' texts."""
+def seeds(items: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(gram, item, before, after) of the seeds of ``items`` (item, words, grams), given the corpus' texts.
+
+    These are the rare n-grams, the rarest of every ``STRETCH`` and the ``MIN_SEEDS`` rarest.
+    An alignment through a seed that scores ``similarity`` reaches at most ``before`` words of a
+    document before it and ``after`` words behind it: each word it skips costs ``GAP``.
+    """
     spark = items.sparkSession
     words = items.select("item", F.posexplode("words").alias("at", "word"))
     marks = spark.sparkContext.broadcast(set_of(words.select("word")))
@@ -107,19 +135,34 @@ def seeds(items: DataFrame, texts: DataFrame) -> DataFrame:
     scored = words.join(counts.where("word IS NOT NULL"), "word", "left").select("item", "at", log_p.alias("log_p"))
     ahead = Window.partitionBy("item").orderBy("at").rowsBetween(0, N - 1)
     scored = scored.withColumn("log_p", F.sum("log_p").over(ahead))
-    gram = items.select("item", F.posexplode("grams").alias("at", "gram")).join(scored, ["item", "at"])
-    shared = gram.groupBy("gram").agg(F.countDistinct("item").alias("items"))
-    rarest = Window.partitionBy("item").orderBy(F.col("items") > MANY_ITEMS, "log_p", "items", "gram", "at")
-    ranked = gram.join(shared, "gram").withColumn("rank", F.row_number().over(rarest))
-    rare = (F.col("items") <= MANY_ITEMS) & (F.col("log_p") < float(np.log10(RARE)))
-    return materialise(ranked.where(rare | (F.col("rank") <= MIN_SEEDS)).select("gram", "item").distinct(), "seeds")
+    gram = items.select("item", F.size("words").alias("size"), F.posexplode("grams").alias("at", "gram"))
+    gram = gram.join(scored, ["item", "at"])
+    rarest = Window.partitionBy("item").orderBy("log_p", "gram", "at")
+    local = Window.partitionBy("item", F.floor(F.col("at") / STRETCH)).orderBy("log_p", "gram", "at")
+    ranked = gram.withColumns({"rank": F.row_number().over(rarest), "local": F.row_number().over(local)})
+    wanted = (F.col("log_p") < float(np.log10(RARE))) | (F.col("rank") <= MIN_SEEDS) | (F.col("local") == 1)
+    skipped = F.ceil(F.col("size") * (max(0.0, 1 - similarity) / -GAP))
+    chosen = ranked.where(wanted).groupBy("gram", "item").agg(
+        F.max(F.col("at") + skipped).alias("before"), F.max(F.col("size") - N - F.col("at") + skipped).alias("after")
+    )
+    return materialise(chosen, "seeds")
+
+
+def seed_classes(seed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram, class) and (class, row) of ``seed`` (gram, item): seeds of the same items are one class."""
+    mark = lambda n: F.bit_xor(F.xxhash64("item", F.lit(n)))
+    held = seed.groupBy("gram").agg(mark(0).alias("a"), mark(1).alias("b"), F.count("*").alias("items"))
+    named = Window.partitionBy("a", "b", "items")
+    held = materialise(held.select("gram", F.min("gram").over(named).alias("class")), "seed-classes")
+    first = held.where(F.col("gram") == F.col("class"))
+    return held, first.join(seed, "gram").select("class", F.col("item").alias("row"))
 
 
 PASSAGE = "doc long, first long, words binary, hits array<long>"
 
 
-def _passages(marks):
-    """Rows of the words around seeds that lie within ``PAD`` words of each other."""
+def _passages(marks, far):
+    """Rows of the words around seeds, as far as the seeds reach; what overlaps is one row."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,13 +175,15 @@ def _passages(marks):
                 doc = np.searchsorted(at, hit, "right") - 1
                 inside = hit + N <= at[doc + 1]
                 hit, doc = hit[inside], doc[inside]
+                before, after = far.value[:, _slot(gram[hit])].astype(np.int64)
+                start, end = np.maximum(at[doc], hit - before), np.minimum(at[doc + 1], hit + N + after)
+                order = np.argsort(start, kind="stable")
+                hit, doc, start, end = hit[order], doc[order], start[order], np.maximum.accumulate(end[order])
                 new = np.ones(len(hit), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (np.diff(hit) > PAD)
+                new[1:] = start[1:] >= end[:-1]
                 edge = np.flatnonzero(new)
                 for lo, hi in zip(edge, np.append(edge[1:], len(hit))):
-                    d = int(doc[lo])
-                    first = max(int(at[d]), int(hit[lo]) - PAD)
-                    last = min(int(at[d + 1]), int(hit[hi - 1]) + N + PAD)
+                    d, first, last = int(doc[lo]), int(start[lo]), int(end[hi - 1])
                     key = keys[row + d].as_py()
                     out.append((key, first - int(at[d]), words[first:last].tobytes(), np.unique(gram[hit[lo:hi]]).view(np.int64)))
                 row += len(part)
@@ -189,7 +234,9 @@ def _align_rows(threshold: float):
         for batch in batches:
             item = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column("packed")]
             text = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column("words")]
-            order = sorted(range(len(item)), key=lambda i: (len(text[i]), len(item[i])))
+            # An item word matches once at most, so its words in the passage bound the score.
+            able = [i for i in range(len(item)) if np.isin(item[i], text[i]).sum() >= threshold * len(item[i]) - 1e-6]
+            order = sorted(able, key=lambda i: (len(text[i]), len(item[i])))
             keep, score, start, stop = [], [], [], []
             at = 0
             while at < len(order):
@@ -214,13 +261,13 @@ def _align_rows(threshold: float):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc").take(pa.array(keep, pa.int64())),
-                    batch.column("item").take(pa.array(keep, pa.int64())),
+                    batch.column("row").take(pa.array(keep, pa.int64())),
                     batch.column("seeds").take(pa.array(keep, pa.int64())),
                     pa.array(score, pa.float64()),
                     pa.array(first + np.array(start, np.int64)),
                     pa.array(first + np.array(stop, np.int64)),
                 ],
-                names=["doc", "item", "seeds", "similarity", "first_word", "end_word"],
+                names=["doc", "row", "seeds", "similarity", "first_word", "end_word"],
             )
 
     return work
@@ -245,31 +292,39 @@ def leaks(
     columns are ignored; an empty table on either side gives no rows.
     """
     named = benchmark.select(F.col(item).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
-    items = named.mapInArrow(
+    named = named.mapInArrow(
         _word_rows, "item long, packed binary, words array<long>, grams array<long>"
-    ).withColumn("row", F.xxhash64("item", "packed"))
-    items = materialise(items.dropDuplicates(["row"]), "benchmark")
+    ).withColumn("row", F.xxhash64("packed"))
+    named = materialise(named, "benchmark")
+    items = materialise(named.drop("item").dropDuplicates(["row"]), "benchmark-texts")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
     inner = items.select(F.col("row").alias("item"), "words", "grams")
-    seed = seeds(inner, texts)
-    marks = docs.sparkSession.sparkContext.broadcast(set_of(seed.select("gram")))
+    seed = seeds(inner, texts, similarity)
+    spread = docs.sparkSession.sparkContext.broadcast
+    marks, far = spread(set_of(seed.select("gram"))), spread(reach_of(seed))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    found = materialise(rows.mapInArrow(_passages(marks), PASSAGE), "passages")
+    found = materialise(rows.mapInArrow(_passages(marks, far), PASSAGE), "passages")
     marks.unpersist()
-    passage = found.select("*", F.xxhash64("doc", "first", "words").alias("passage"))
+    far.unpersist()
+    passage = found.withColumn("passage", F.xxhash64("doc", "first", "words")).dropDuplicates(["passage"])
+    class_of, members = seed_classes(seed)
     pairs = (
         passage.select("passage", F.explode("hits").alias("gram"))
-        .join(seed.withColumnRenamed("item", "row"), "gram")
+        .join(class_of, "gram")
+        .groupBy("passage", "class")
+        .agg(F.count("*").alias("n"))
+        .join(members, "class")
         .groupBy("passage", "row")
-        .agg(F.countDistinct("gram").alias("seeds"))
+        .agg(F.sum("n").alias("seeds"))
     )
-    pairs = pairs.join(passage.select("passage", "doc", "first", "words").dropDuplicates(["passage"]), "passage")
-    pairs = pairs.join(items.select("row", "item", "packed"), "row")
+    pairs = pairs.join(passage.select("passage", "doc", "first", "words"), "passage")
+    pairs = pairs.join(items.select("row", "packed"), "row")
     # Batches of about as many rows for every task, however the joins dealt them.
-    aligned = pairs.select("doc", "item", "seeds", "first", "words", "packed").mapInArrow(
+    aligned = pairs.select("doc", "row", "seeds", "first", "words", "packed").mapInArrow(
         _align_rows(similarity),
-        "doc long, item long, seeds long, similarity double, first_word long, end_word long",
+        "doc long, row long, seeds long, similarity double, first_word long, end_word long",
     )
+    aligned = aligned.join(named.select("row", "item").distinct(), "row")
     best = aligned.groupBy("doc", "item").agg(
         F.max(F.struct("similarity", (-F.col("first_word")).alias("early"), "end_word", "seeds")).alias("b")
     )

@@ -94,3 +94,30 @@ def test_seeds_are_rare_and_every_item_has_some(spark):
     found = decontaminate.leaks(docs, items).collect()
     assert {r.item_id for r in found} == {0} and len(found) == 30
     assert decontaminate.in_set(decontaminate.bit_set(np.array([word_hash(b"x")], np.uint64)), np.array([word_hash(b"x")], np.uint64))[0]
+
+
+def test_a_text_that_many_items_share_is_found_for_all_of_them(spark):
+    text = words(5000, 300)
+    items = [(i, f"{text} {words(5100 + i, 15)}") for i in range(25)] + [(100 + i, words(5200, 40)) for i in range(25)]
+    put = lambda i, passage: f"{words(i, 400)} {passage} {words(i + 1, 400)}"
+    data = [(0, put(0, text)), (1, put(2, items[7][1])), (2, words(8, 900)), (3, put(4, items[30][1]))]
+    found = decontaminate.leaks(
+        spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    own = {(1, 7): 1.0}
+    expect = {(d, i): own.get((d, i), 300 / 315) for d in (0, 1) for i in range(25)} | {(3, 100 + i): 1.0 for i in range(25)}
+    got = {(r.doc_id, r.item_id): r.similarity for r in found}
+    assert got.keys() == expect.keys()
+    # Words that the items' own ends share with a document by chance may add a little.
+    assert all(expect[pair] - 1e-6 <= got[pair] <= expect[pair] + 0.02 for pair in got)
+    assert {(r.first_word, r.end_word) for r in found if r.similarity == 1} == {(400, 715), (400, 440)}
+
+
+def test_a_passage_reaches_over_its_whole_item(spark):
+    common = " ".join(["alpha beta gamma delta"] * 60)
+    item = f"{common} one rare end"
+    data = [(i, common) for i in range(30)] + [(99, f"{words(1, 200)} {item} {words(2, 200)}")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
+    got = {r.doc_id: (r.similarity, r.first_word, r.end_word) for r in found}
+    assert got[99] == (1.0, 200, 443) and len(got) == 31
