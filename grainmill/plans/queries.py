@@ -480,7 +480,7 @@ def mixture_sample(spark, sf):
     """As many generated rows per class as were observed, from fitted mixtures."""
     rows = inputs.lines(spark, sf)
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    fitted = mixture.fit_mixtures(rows, features, "target", LINE_CLASSES, components=2, iterations=5, restarts=1)
+    fitted = mixture.fit_mixtures(rows, features, "target", LINE_CLASSES)
     return mixture.sample_mixtures(rows.select(*LINE_KEYS, "target"), fitted, "target", features, LINE_KEYS, 3)
 
 

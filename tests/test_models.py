@@ -1,8 +1,11 @@
+import inspect
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from grainmill.operators import mixture, modeling, registry
-from grainmill.plans import jobs
+from grainmill.plans import inputs, jobs, queries
 from grainmill.session import materialise
 from tests.conftest import rows
 
@@ -101,6 +104,44 @@ def test_mixture_sample_follows_its_class(spark):
     assert rows(again) == rows(sample)
 
 
+def test_mixture_sample_fits_with_the_defaults(spark, monkeypatch):
+    fit, signature, calls = mixture.fit_mixtures, inspect.signature(mixture.fit_mixtures), []
+    small = {"components": 2, "iterations": 1, "restarts": 1}
+
+    def spy(*args, **options):
+        bound = signature.bind(*args, **options)
+        bound.apply_defaults()
+        calls.append({k: bound.arguments[k] for k in small})
+        return fit(*args, **options | small)
+
+    monkeypatch.setattr(mixture, "fit_mixtures", spy)
+    folder = "/root/testdata/sf0.001"
+    drawn = queries.mixture_sample(spark, folder)
+    assert calls == [{"components": 10, "iterations": 20, "restarts": 10}]
+    assert drawn.count() == inputs.lines(spark, folder).count()
+
+
+def test_rows_are_drawn_from_the_stated_components(spark):
+    """Shares, means and covariances of what hashed uniforms draw, beside those stated."""
+    stated = [
+        mixture.Component(0, 0.2, (-1000.0, 5.0), ((2.0, 0.0), (1.0, 3.0))),
+        mixture.Component(0, 0.5, (0.0, -5.0), ((1.0, 0.0), (-2.0, 0.5))),
+        mixture.Component(0, 0.3, (1000.0, 0.0), ((4.0, 0.0), (0.0, 1.0))),
+        mixture.Component(1, 1.0, (7.0, 7.0), ((1.0, 0.0), (0.5, 1.0))),
+    ]
+    wanted = mixture.request_classes(spark, [0, 1], 20_000)
+    sample = mixture.sample_mixtures(wanted, stated, "target", ["x", "y"], ["sequence"], 3).toPandas()
+    assert sample.groupby("target").size().tolist() == [20_000, 20_000]
+    for c in stated:
+        own = sample[sample.target == c.label]
+        part = own[abs(own.x - c.mean[0]) < 500][["x", "y"]].to_numpy()
+        factor = np.array(c.factor)
+        sd = np.sqrt((factor**2).sum(axis=1))
+        assert len(part) / 20_000 == pytest.approx(c.weight, abs=0.015)
+        assert (abs(part.mean(axis=0) - c.mean) < 5 * sd / len(part) ** 0.5).all()
+        assert (abs(np.cov(part.T) - factor @ factor.T) < 0.1 * np.outer(sd, sd)).all()
+
+
 def test_drawn_classes(spark):
     drawn = mixture.request_classes(spark, [0, 1, 2], 3000, balanced=False)
     assert drawn.count() == 3000 and all(abs(r["count"] - 1000) < 120 for r in drawn.groupBy("target").count().collect())
