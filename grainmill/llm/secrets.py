@@ -22,7 +22,8 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]+"
-MIN_RUN = 20  # characters of a run that the models look at
+MIN_RUN = 10  # characters of a run that the models look at; what they miss and find falsely is in the README
+LONG_RUN = RUN[:-1] + f"{{{MIN_RUN},}}"  # the same matches as RUN of MIN_RUN or more
 MIN_SAMPLE = 6  # characters of a labelled sample
 SAMPLE_DOCS = 20_000  # documents whose runs are the labelled samples, about
 MADE = 2_000  # random strings made for each of three alphabets
@@ -171,9 +172,7 @@ def scan(docs: DataFrame, text: str = "text", weights: list[float] | None = None
     found = docs.withColumns({f"secret_{k}": s for k, s in base_spans(value).items()})
     base = [_tagged(k, F.col(f"secret_{k}")) for k in KINDS[:3]]
     found = found.withColumn("base_spans", F.array_sort(F.concat(*base)))
-    likely = located(
-        value, RUN, lambda hit, v: (F.length(hit) >= MIN_RUN) & (log_ratio(hit, weights) >= THRESHOLD)
-    )
+    likely = located(value, LONG_RUN, lambda hit, v: log_ratio(hit, weights) >= THRESHOLD)
     found = found.withColumn("secret_markov", _when(value, RUN[:-1] + f"{{{MIN_RUN}}}", likely))
     clear = F.filter(
         F.col("secret_markov"),

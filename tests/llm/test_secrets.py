@@ -57,6 +57,14 @@ def test_models_add_random_strings_only(spark, weights):
         assert found == [HIDDEN[r.doc_id // len(PLAIN)]]
 
 
+def test_short_random_strings_are_found(spark, weights):
+    short = ["f9Kq2ZtR7mWx4BvL", "7Xz0Lk9vT2", "Q4w8Zr1Kp6Ty"]
+    assert [len(s) for s in short] == [16, secrets.MIN_RUN, 12]
+    texts = [f"key '{s}' or {p}, not internationally" for s in short for p in PLAIN]
+    for r in secrets.scan(docs(spark, texts), weights=weights).collect():
+        assert [texts[r.doc_id][s.start : s.end] for s in r.secret_spans] == [short[r.doc_id // len(PLAIN)]]
+
+
 def test_log_ratio_is_the_sum_of_pair_weights(spark, weights):
     n = len(secrets.ALPHABET)
     word = HIDDEN[0]
