@@ -42,3 +42,43 @@ WITH RECURSIVE chars AS (
 SELECT s.doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY s.doc_id) - 1 AS slot, grown_shard
 FROM sums s JOIN places p ON s.doc_id IS NOT DISTINCT FROM p.doc_id"""
+
+
+def divergence(min_df: int = 10, top: int = 10) -> str:
+    share = "CAST(1 + (1000000000::HUGEINT * ({0} + 2)) // ({1} + 2 * {2}) AS BIGINT)"
+    gap = "CAST(((p - q)::HUGEINT * (p - q)) // (p + q) AS BIGINT)"
+    rank = "CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS INTEGER) AS rank"
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS uid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS runs
+  FROM documents
+), words AS (
+  SELECT uid, lang, source, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT uid, lang, source, unnest(runs) AS run FROM docs)
+), vocab AS (
+  SELECT lang, term, count(*) AS l FROM words GROUP BY lang, term HAVING count(DISTINCT uid) >= {min_df}
+), langs AS (SELECT lang, sum(l) AS n, count(*) AS v FROM vocab GROUP BY lang
+), counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN vocab USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source
+), dense AS (
+  SELECT s.lang, s.source, v.term, coalesce(c.n, 0) AS n, {share.format("coalesce(c.n, 0)", "s.n", "l.v")} AS p,
+    {share.format("v.l", "l.n", "l.v")} AS q
+  FROM sizes s JOIN vocab v ON v.lang = s.lang JOIN langs l ON l.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = v.term
+), gaps AS (
+  SELECT lang, source, item, sum({gap}) AS value
+  FROM (SELECT a.lang, a.source, b.source AS item, a.p, b.p AS q FROM dense a JOIN dense b
+        ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source)
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(g.value, 0) AS BIGINT) AS value
+  FROM sizes a JOIN sizes b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source
+), terms AS (SELECT lang, source, term AS item, {gap} AS value FROM dense WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value, {rank} FROM pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, {rank} FROM terms) WHERE rank <= {top}"""
