@@ -82,3 +82,47 @@ WITH docs AS (
 SELECT lang, source, 'pair' AS part, item, value, {rank} FROM pairs
 UNION ALL
 SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, {rank} FROM terms) WHERE rank <= {top}"""
+
+
+def spelling(min_length: int = 7, min_count: int = 2, ratio: int = 10, spare: int = 31) -> str:
+    digit = "instr('0123456789ABCDEF', h[2 * i + {0}]) - 1"
+    octet = f"CAST(({digit.format(1)}) * 16 + {digit.format(2)} AS BIGINT)"
+    step = f"xor(c >> 8, {crc_table()}[(xor(c, x) & 255) + 1])"
+    ones = "4294967295::BIGINT"
+    upper = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'"
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, {upper}, lower({upper})) AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= {min_length} GROUP BY ALL
+), chars AS (
+  SELECT run, n, string_split(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '') AS h FROM runs
+), bytes AS (
+  SELECT run, n, list_transform(range(len(h) // 2), lambda i: {octet}) AS b FROM chars
+), sums AS (
+  SELECT run, n, xor(list_reduce(b, lambda c, x: {step}, {ones}), {ones}) AS crc FROM bytes
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN crc % {spare} = 0 THEN substr(run, 1, CAST(crc % length(run) AS BIGINT)) || substr(run, CAST(crc % length(run) AS BIGINT) + 2)
+           ELSE run END AS word, n FROM sums)
+  GROUP BY word HAVING length(word) >= {min_length} AND sum(n) >= {min_count}
+), places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words
+), holes AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM places
+), shorter AS MATERIALIZED (
+  SELECT DISTINCT h.word AS one, w.word AS two FROM holes h JOIN words w ON w.word = h.a || h.b
+), near AS (
+  SELECT x.word AS one, y.word AS two FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION ALL SELECT one, two FROM shorter UNION ALL SELECT two, one FROM shorter
+), best AS (
+  SELECT one AS word, count(*) AS n_near, first(two ORDER BY w.n DESC, encode(two)) AS form, max(w.n) AS form_n
+  FROM near JOIN words w ON w.word = two GROUP BY one
+), chosen AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= {ratio} * w.n THEN b.form END AS form,
+    CASE WHEN b.form_n >= {ratio} * w.n THEN b.form_n END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+), chain(word, place) AS (
+  SELECT word, word FROM chosen
+  UNION ALL SELECT c.word, x.form FROM chain c JOIN chosen x ON x.word = c.place WHERE x.form IS NOT NULL
+)
+SELECT x.word, x.form, r.place AS root, x.n, CAST(x.n_near AS BIGINT) AS n_near, x.form_n
+FROM chosen x JOIN chain r ON r.word = x.word JOIN chosen e ON e.word = r.place AND e.form IS NULL"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from grainmill.llm import bpe, decontaminate, divergence, kneser_ney, oracles, quality, secrets, sharding, simhash, suffix_dedup, toxicity, unigram_counts
+from grainmill.llm import bpe, decontaminate, divergence, kneser_ney, oracles, quality, secrets, sharding, simhash, spelling, suffix_dedup, toxicity, unigram_counts
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
@@ -108,6 +108,10 @@ def op10_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.assign(table(spark, sf, "documents"), SHARDS)
 
 
+def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(table(spark, sf, "documents")))
+
+
 def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
 
@@ -123,6 +127,7 @@ REGISTERED = (
     op8_suffix_dedup,
     op9_simhash,
     op10_sharding,
+    op11_spelling,
     op13_divergence,
 )
 
@@ -135,6 +140,7 @@ def oracle_sql() -> dict[str, str]:
     """SQL where SQL can express a query; the others are tested against brute force."""
     sql = {
         "op10_sharding": oracles.sharding(SHARDS),
+        "op11_spelling": oracles.spelling(spelling.MIN_LENGTH, spelling.MIN_COUNT, spelling.RATIO, spelling.SPARE),
         "op13_divergence": oracles.divergence(divergence.MIN_DF, divergence.TOP),
     }
     return sql if corpus_pipeline.ORACLE_SQL is None else sql | {"pipeline": corpus_pipeline.ORACLE_SQL}

@@ -70,8 +70,7 @@ def test_ties_come_in_the_order_of_utf8(spark):
     assert [r.item for r in got.collect()] == ["a", "b", "～", "😀"]
 
 
-def test_a_hot_source_in_small_slices(spark, monkeypatch):
-    monkeypatch.setattr(divergence, "SLICE", 64)
+def test_a_hot_source(spark):
     data = [(f"w{i % 7} common words w{i % 3}x", "en", "hot" if i % 3 else f"s{i % 11}") for i in range(200)]
     df = spark.createDataFrame(data, "text string, lang string, source string").repartition(3)
     check(df, data, 4)
