@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from grainmill.llm import bpe, decontaminate, divergence, kneser_ney, oracles, quality, secrets, sharding, simhash, spelling, suffix_dedup, toxicity, unigram_counts
+from grainmill.llm import bpe, decontaminate, divergence, kneser_ney, oracles, packing, quality, secrets, sharding, simhash, spelling, suffix_dedup, toxicity, unigram_counts
 from grainmill.llm.text import table
 from grainmill.session import materialise
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 UNIGRAM_PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_LEVEL_JSON = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 40
+MAX_TOKENS = 1024
+MAX_SEGMENTS = 64
+END_ID = 0
 
 
 def op1_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,6 +116,23 @@ def op11_spelling(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(spelling.count_words(table(spark, sf, "documents")))
 
 
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    rows = docs.select("doc_id", packing.token_ids(F.col("text"), BYTE_LEVEL_JSON, END_ID).alias("ids"))
+    rows = rows.withColumn("doc_tokens", (F.octet_length("ids") / 4).cast("long"))
+    # All tokens of a document bear loss.
+    pieces = packing.pack(rows, MAX_TOKENS, MAX_SEGMENTS, MAX_TOKENS, keep=["doc_id", "doc_tokens"], powers=True)
+    return pieces.select(
+        "doc_id",
+        F.col("piece_start").alias("start"),
+        (F.octet_length("piece_ids") / 4).cast("long").alias("length"),
+        F.crc32("piece_ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        F.col("sequence_offset").alias("offset"),
+    )
+
+
 def op13_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
 
@@ -128,6 +149,7 @@ REGISTERED = (
     op9_simhash,
     op10_sharding,
     op11_spelling,
+    op12_packing,
     op13_divergence,
 )
 
