@@ -6,7 +6,7 @@ executor is lost produces the same values.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -48,7 +48,9 @@ def hashed_uniform(columns: Sequence[str], seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(2**52)) / F.lit(float(2**52))
 
 
-def hashed_normal(columns: Sequence[str], seed: int) -> Column:
+def hashed_normal(
+    columns: Sequence[str], seed: int, uniform: Callable[[Sequence[str], int], Column] = hashed_uniform
+) -> Column:
     """A standard normal draw (Box and Muller 1958) from two hashed uniforms."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - hashed_uniform(columns, seed)))
-    return radius * F.cos(F.lit(2.0) * F.pi() * hashed_uniform(columns, seed + 1))
+    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - uniform(columns, seed)))
+    return radius * F.cos(F.lit(2.0) * F.pi() * uniform(columns, seed + 1))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,10 @@ SETTINGS = {
 }
 
 
+_LOCAL: dict[str, str] = {}  # the folder of a local application that names none
+_SCOPES: list[str] = []  # folders of the jobs under way
+
+
 def build_session(app: str, cores: str | int = "*", partitions: int | None = None) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -40,22 +46,41 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="grainmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="grainmill-")
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, grouped by application for later removal."""
+    """A fresh path in the shared folder, grouped by application and job for later removal."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/grainmill-{app}/{label}-{uuid.uuid4().hex}"
+    return "/".join([f"{shared_dir(spark)}/grainmill-{app}", *_SCOPES[-1:], f"{label}-{uuid.uuid4().hex}"])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Remove this application's scratch tables, once no frame reads them any more."""
-    app = spark.sparkContext.applicationId
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/grainmill-{app}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, f"{shared_dir(spark)}/grainmill-{spark.sparkContext.applicationId}")
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Within it scratch tables go to a folder of their own, which is removed at the end.
+
+    For jobs that leave only stored tables behind: no frame made within may be read afterwards.
+    """
+    scope = f"job-{uuid.uuid4().hex}"
+    _SCOPES.append(scope)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(scope)
+        _delete(spark, f"{shared_dir(spark)}/grainmill-{spark.sparkContext.applicationId}/{scope}")
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -69,12 +94,14 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """At least one partition per core, for model fits on a stored table of few files.
+    """At least one partition per core, for passes of fits over a small table of few files.
 
-    A large table already has more partitions than that and is returned as it is.
+    A table that the planner takes for larger than one scan split per core is returned as it is.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    spark = table.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return table if estimated_bytes(table) >= cores * split else table.repartition(cores)
 
 
 def estimated_bytes(df: DataFrame) -> int:
