@@ -55,6 +55,31 @@ def hot_keys(facts: DataFrame, key: Column, limit: int) -> dict[int, float]:
     return {k: share for k, share in shares.items() if share * limit > 1}
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Whether Spark can hash values of a type: not maps, nor what holds them."""
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema if _hashable(f.dataType)])
+
+
+def _pieces(key: Column, shares: dict[int, float], partitions: int, salts: int | None) -> Column:
+    """Into how many pieces each key is cut: none is larger than half an average shuffle partition."""
+    by_pieces: dict[int, list[int]] = {}
+    for hashed, share in shares.items():
+        by_pieces.setdefault(salts or max(2, 1 << ceil(2 * share * partitions).bit_length()), []).append(hashed)
+    pieces = F.lit(1)
+    for n, hashes in sorted(by_pieces.items()):
+        pieces = F.when(key.isin(hashes), F.lit(n)).otherwise(pieces)
+    return pieces
+
+
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -66,29 +91,35 @@ def salted_join(
     """Equi-join in which rows of frequent keys are spread over several tasks.
 
     A key is hot if it fills a good part of an average shuffle partition, and is cut into pieces
-    no larger than half of one, or into ``salts``. Hot keys are looked for in ``hot_from``, any
-    cheap frame with the facts' keys, by default the facts. If there are none, or the sides'
-    key types differ in more than the width of integers, this is a plain join, whose skewed
-    partitions Spark splits. Otherwise only the hot keys' lookup rows are repeated. The salt
-    depends on a row's content and its partition number, never on row order, so a repeated
-    task repeats it.
+    no larger than half of one, or into ``salts``. Hot keys of the facts are looked for in ``hot_from``,
+    any cheap frame with their keys, by default the facts. In an inner join the lookup's hot keys are
+    cut too: each piece of one side meets each piece of the other in a task of its own, a grid of
+    tasks for a key that is hot on both sides. In other joins a lookup row that is repeated must stay whole.
+    If no key is hot, or the sides' key types differ in more than the width of integers, this is a
+    plain join, whose skewed partitions Spark splits. The salts depend on a row's content and its
+    partition number, never on row order, so a repeated task repeats them.
     """
     key = key_hash(facts, lookup, keys)
+    if key is None:
+        return facts.join(lookup, list(keys), how)
     partitions = _partitions(facts.sparkSession)
-    hot = {} if key is None else hot_keys(facts if hot_from is None else hot_from, key, min(MOST_HOT, max(512, 2 * partitions)))
-    if not hot:
+    limit = min(MOST_HOT, max(512, 2 * partitions))
+    hot = hot_keys(facts if hot_from is None else hot_from, key, limit)
+    hot_lookup = hot_keys(lookup, key, limit) if how == "inner" else {}
+    if not hot and not hot_lookup:
         return facts.join(lookup, list(keys), how)
-    by_pieces: dict[int, list[int]] = {}
-    for hashed, share in hot.items():
-        pieces = salts or max(2, 1 << ceil(2 * share * partitions).bit_length())
-        by_pieces.setdefault(pieces, []).append(hashed)
-    pieces = F.lit(1)
-    for n, hashes in sorted(by_pieces.items()):
-        pieces = F.when(key.isin(hashes), F.lit(n)).otherwise(pieces)
-    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), pieces).cast("int")
-    left = facts.withColumn("_salt", spread)
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    left, right, salted = facts, lookup, list(keys)
+    for name, shares, cut, whole in (("_salt", hot, "left", "right"), ("_cell", hot_lookup, "right", "left")):
+        if not shares:
+            continue
+        pieces = _pieces(key, shares, partitions, salts)
+        sides = {"left": left, "right": right}
+        place = F.pmod(row_hash({"left": facts, "right": lookup}[cut]) + F.spark_partition_id(), pieces).cast("int")
+        sides[cut] = sides[cut].withColumn(name, place)
+        sides[whole] = sides[whole].withColumn(name, F.explode(F.sequence(F.lit(0), pieces - 1)))
+        left, right = sides["left"], sides["right"]
+        salted.append(name)
+    return left.join(right, salted, how).drop("_salt", "_cell")
 
 
 def key_join(
@@ -139,7 +170,7 @@ def count_missing(rows: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def join_late_labels(scored: DataFrame, labels: DataFrame, keys: Sequence[str] = tuple(LOOKUP_KEYS), **options) -> DataFrame:
-    """Scored rows whose label has arrived, matched without the date."""
+    """Scored rows whose label has arrived, matched without the date; keys may be hot on both sides."""
     repeated = [c for c in labels.columns if c in scored.columns and c not in keys]
     return key_join(scored, labels.drop(*repeated), keys, "inner", **options)
 
