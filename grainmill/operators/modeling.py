@@ -82,6 +82,26 @@ def grid_search(
     return search.fit(rows.select(*columns))
 
 
+def fit_forest(
+    train: DataFrame,
+    features: Sequence[str],
+    label: str,
+    trees: int = 30,
+    depth: int = 10,
+    impurity: str = "gini",
+    subset: str = "auto",
+    seed: int = 21,
+    max_bins: int = 64,
+) -> PipelineModel:
+    """One random forest without a search, ready for scoring; rows that lack a feature or label are left out."""
+    forest = RandomForestClassifier(
+        featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, impurity=impurity,
+        featureSubsetStrategy=subset, seed=seed, maxBins=max_bins,
+    )
+    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull())))
+    return scoring_model(features, forest.fit(rows.select("features", F.col(label).cast("double").alias(label))))
+
+
 def grid_report(search: CrossValidatorModel) -> list[dict]:
     """One record per grid point: its parameters and mean accuracy."""
     return [
