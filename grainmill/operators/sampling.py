@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -191,3 +192,39 @@ def draw_class(
         tests.append(F.when(F.col("_u") < F.lit(running / total), F.lit(label)))
     drawn = F.coalesce(*tests[:-1], F.lit(classes[-1]))
     return df.withColumn("_u", seeded_uniform(keys, seed)).withColumn(name, drawn).drop("_u")
+
+
+def alias_table(weights: Sequence[float]) -> tuple[list[float], list[int]]:
+    """Per class the share of its own slot that it keeps, and the class that has the rest (Vose 1991).
+
+    Slots are equally likely, so a draw is one slot and one comparison, however many classes there are.
+    """
+    total, n = float(sum(weights)), len(weights)
+    if not n or total <= 0 or min(weights) < 0:
+        raise ValueError("weights must not be negative and need a positive sum")
+    share, other = [w * n / total for w in weights], list(range(n))
+    small, large = [i for i in range(n) if share[i] < 1], [i for i in range(n) if share[i] >= 1]
+    while small and large:
+        i, j = small.pop(), large[-1]
+        other[i] = j
+        share[j] -= 1 - share[i]
+        if share[j] < 1:
+            small.append(large.pop())
+    for i in [*small, *large]:  # what is left differs from 1 by rounding only; a class of no weight keeps nothing
+        share[i] = 1.0 if weights[i] else 0.0
+        other[i] = i if weights[i] else max(range(n), key=weights.__getitem__)
+    return share, other
+
+
+def draw_of_many(df: DataFrame, weights: Sequence[float], keys: Sequence[str], seed: int, name: str = "drawn") -> DataFrame:
+    """Give each row the number of a class drawn by weight, in constant time per row.
+
+    The table of the classes enters as two constant arrays, so it is meant for up to some 100,000.
+    """
+    share, other = alias_table(weights)
+    slots = F.col("_u") * F.lit(float(len(share)))
+    slot = F.least(F.floor(slots).cast("int"), F.lit(len(share) - 1))
+    kept = F.from_json(F.lit(json.dumps(share)), "array<double>")
+    rest = F.from_json(F.lit(json.dumps(other)), "array<int>")
+    drawn = F.when(slots - slot < F.get(kept, slot), slot).otherwise(F.get(rest, slot))
+    return df.withColumn("_u", seeded_uniform(keys, seed)).withColumn(name, drawn).drop("_u")

@@ -43,6 +43,47 @@ def tidy_moments(moments: DataFrame, columns: Sequence[str]) -> DataFrame:
     return moments.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
+def moment_states(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, n, mean, m2) of every column: m2 is the sum of squared differences from the mean.
+
+    States of batches are kept and merged, so that a growing table is not read again.
+    """
+    n = F.col("n")
+    tidy = tidy_moments(fit_moments(df, columns), columns)
+    return tidy.select("feature", "n", "mean", (F.col("sd") * F.col("sd") * n).alias("m2"))
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One (feature, n, mean, m2) of several per feature, as if their rows had been read together.
+
+    m2 adds up from the states' own and from how far their means lie from the common one (Chan,
+    Golub and LeVeque 1979), so nothing large is subtracted. States without rows say nothing.
+    """
+    some = states.where("n > 0")
+    whole = some.groupBy("feature").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("whole"))
+    off = F.col("mean") - F.col("whole")
+    merged = some.join(whole, "feature").groupBy("feature").agg(
+        F.sum("n").alias("n"),
+        F.first("whole").alias("mean"),
+        F.sum(F.col("m2") + F.col("n") * off * off).alias("m2"),
+    )
+    none = states.select("feature").distinct()
+    return none.join(merged, "feature", "left").select("feature", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "mean", "m2")
+
+
+def moments_of_states(states: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Merged states as the one row that ``apply_moments`` takes."""
+    merged, aggregates = merge_states(states), []
+    for c in columns:
+        own = F.col("feature") == c
+        aggregates += [
+            F.coalesce(F.max(F.when(own, F.col("n"))), F.lit(0)).cast("bigint").alias(f"{c}_n"),
+            F.max(F.when(own, F.col("mean"))).alias(f"{c}_mean"),
+            F.max(F.when(own, F.sqrt(F.col("m2") / F.col("n")))).alias(f"{c}_sd"),
+        ]
+    return merged.agg(*aggregates)
+
+
 def apply_moments(
     df: DataFrame, moments: DataFrame, names: Mapping[str, str], keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -172,3 +172,32 @@ def test_moments_are_of_the_population_and_reusable(spark):
     assert (feature, n, mean) == ("x", 5, 3.0) and math.isclose(sd, math.sqrt(2))
     z = scaling.apply_moments(spark.createDataFrame([(3.0 + math.sqrt(2),)], "x double"), moments, {"x": "z"})
     assert math.isclose(z.first().z, 1.0)
+
+
+@pytest.mark.parametrize("salts", [None, 3])
+def test_a_key_hot_on_both_sides_is_joined_as_a_grid(spark, no_broadcast, salts):
+    left = spark.range(0, 3_000, 1, 6).selectExpr("if(id % 3 = 0, 0, id % 500) AS k", "id AS a", "map('m', id) AS m")
+    right = spark.range(0, 600, 1, 4).selectExpr("if(id % 3 = 0, 0, id % 400) AS k", "id AS b", "map('n', id) AS n")
+    joined = joins.salted_join(left, right, ["k"], salts=salts)
+    assert "_cell" in joined._jdf.queryExecution().analyzed().toString()
+    assert joined.columns == ["k", "a", "m", "b", "n"]
+    wanted = left.join(right, "k").select("a", "b")
+    assert rows(joined.select("a", "b")) == rows(wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r.n for r in joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(sizes) < 0.6 * sum(sizes)  # of four partitions; without the grid one would hold nearly all
+
+
+def test_states_merge_to_the_moments_of_all_rows(spark):
+    df = spark.range(1_000).selectExpr("id", "1e9 + id * id AS a", "if(id < 400, null, rand(3)) AS b", "cast(null AS double) AS c")
+    names = ["a", "b", "c"]
+    parts = [scaling.moment_states(df.where(f"id % 4 = {i}"), names) for i in range(4)]
+    parts.append(scaling.moment_states(df.limit(0), names))
+    merged = scaling.moments_of_states(joins.union_frames(parts), names).first().asDict()
+    whole = scaling.fit_moments(df, names).first().asDict()
+    assert set(merged) == set(whole)
+    for name, value in whole.items():
+        assert merged[name] is None if value is None else merged[name] == pytest.approx(value, rel=1e-9)

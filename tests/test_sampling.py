@@ -84,3 +84,25 @@ def test_weighted_draw(spark):
     only = sampling.draw_class(df, [0, 1, 2], [0.0, 1.0, 0.0], ["id"], 9)
     assert [r.drawn for r in only.select("drawn").distinct().collect()] == [1]
     assert sampling.draw_class(df, [7], [1.0], ["id"], 9).filter(F.col("drawn") == 7).count() == 20000
+
+
+def test_alias_table_gives_each_class_its_share():
+    for weights in ([1.0], [0.0, 3.0], [1.0, 2.0, 3.0, 0.0, 94.0], [float(i * i % 97) for i in range(10_000)], [1e-9, 1.0, 1e9]):
+        share, other = sampling.alias_table(weights)
+        got = [0.0] * len(weights)
+        for i, (kept, rest) in enumerate(zip(share, other)):
+            got[i] += kept / len(weights)
+            got[rest] += (1 - kept) / len(weights)
+        total = sum(weights)
+        assert got == pytest.approx([w / total for w in weights], abs=1e-12)
+        assert all(weights[i] or not kept for i, kept in enumerate(share)) and all(weights[j] for j, kept in zip(other, share) if kept < 1)
+    for bad in ([], [0.0], [1.0, -1.0]):
+        with pytest.raises(ValueError):
+            sampling.alias_table(bad)
+
+
+def test_draw_of_many_classes(spark):
+    weights = [float(i % 5) for i in range(5_000)]
+    drawn = sampling.draw_of_many(spark.range(30_000), weights, ["id"], 3)
+    by_weight = dict(rows(drawn.groupBy((F.col("drawn") % 5).alias("w")).count()))
+    assert set(by_weight) == {1, 2, 3, 4} and all(abs(by_weight[w] / 30_000 - w / 10) < 0.012 for w in by_weight)
