@@ -162,3 +162,28 @@ def test_summary_roll_up_and_document(spark):
     assert (rolled.n_features, rolled.n_drifted, rolled.drift_share, rolled.dataset_drift) == (1, 1, 1.0, True)
     document = drift.drift_document(per_feature).collect()
     assert len(document) == 1 and document[0].features[0].feature == "x" and document[0].features[0].statistic == 1.0
+
+
+def test_sketched_drift_is_within_its_error(spark):
+    left = spark.range(6_000).select((F.col("id") % 100).cast("double").alias("a"), F.randn(1).alias("b"), F.lit(None).cast("double").alias("c"))
+    right = spark.range(4_000).select((F.col("id") % 130).cast("double").alias("a"), (F.randn(2) * 2).alias("b"), F.lit(1.0).alias("c"))
+    names = ["a", "b", "c"]
+    batches = [drift.feature_sketches(left.where(F.pmod(F.xxhash64("b"), F.lit(3)) == i), names) for i in range(3)]
+    whole = batches[0].unionByName(batches[1]).unionByName(batches[2]).groupBy("feature")
+    merged = whole.agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    exact = {r.feature: r for r in drift.ks_statistics(left, right, names).collect()}
+    got = {r.feature: r for r in drift.sketched_ks(merged, drift.feature_sketches(right, names)).collect()}
+    assert set(got) == set(names) and got["c"].statistic is None is exact["c"].statistic
+    for name in ("a", "b"):
+        assert abs(got[name].statistic - exact[name].statistic) <= got[name].error < 0.01
+        assert (got[name].n_reference, got[name].n_current) == (6_000, 4_000)
+
+
+def test_histograms_by_hand(spark):
+    left = spark.createDataFrame([(0.0, 5.0, None), (1.0, 5.0, None), (None, 5.0, None)], "a double, b double, c double")
+    right = spark.createDataFrame([(10.0, 5.0, None), (float("nan"), None, None), (9.99, 5.0, None)], "a double, b double, c double")
+    got = {r.feature: r for r in drift.histograms(left, right, ["a", "b", "c"], bins=4).collect()}
+    assert (got["a"].low, got["a"].high) == (0.0, 10.0)
+    assert got["a"].in_reference == [2, 0, 0, 0] and got["a"].in_current == [0, 0, 0, 2]
+    assert got["b"].in_reference == [3, 0, 0, 0] and got["b"].in_current == [2, 0, 0, 0]
+    assert got["c"].low is None and got["c"].in_reference == [0, 0, 0, 0] == got["c"].in_current
