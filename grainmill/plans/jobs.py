@@ -8,8 +8,9 @@ the warehouse folder).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -24,14 +25,15 @@ from grainmill.functions.columns import (
     stamp,
     with_identity,
 )
-from grainmill.operators import drift, joins, metrics, mixture, modeling, recency, registry, sampling, scaling
-from grainmill.session import materialise
+from grainmill.operators import bagging, drift, joins, metrics, mixture, modeling, recency, registry, sampling, scaling
+from grainmill.session import job_scratch, materialise
 from grainmill.sources.scans import scan_parquet
-from grainmill.sources.versioned import TableStore
+from grainmill.sources.versioned import TableStore, VersionedTable
 
 FEATURES = list(SCALED.values())
 MODEL_VERSIONS = "registry.model_versions"
 RUN_TAGS = "registry.run_tags"
+CONFUSION = "registry.confusion"
 VERSION_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("name", "version", "stage", "run_id")]
 )
@@ -39,6 +41,35 @@ TAG_SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("run_id", "key", "value")]
     + [T.StructField("logged_at", T.TimestampType())]
 )
+CONFUSION_SCHEMA = "run_id string, test_dataset string, test_dataset_version bigint, actual int, predicted int, share double"
+
+# Names of the tags that a training and a validation run leave.
+TRAIN_TAGS = (
+    "train_dataset_version",
+    "test_dataset_version",
+    "fs_table_version",
+    "train_dataset",
+    "test_dataset",
+    "raw_data",
+    "raw_labels",
+    "environment run",
+)
+VALIDATION_TAGS = ("accuracy_TEST", "validation", "test_dataset_version", "test_dataset")
+
+
+# The operator's names of a grid point's parameters.
+OOB_NAMES = {"maxDepth": "depth", "numTrees": "trees", "impurity": "impurity", "featureSubsetStrategy": "subset"}
+
+
+def _job(run: Callable) -> Callable:
+    """A job whose scratch tables go when it ends: it leaves stored tables only."""
+
+    @wraps(run)
+    def in_scratch(spark: SparkSession, conf: Mapping):
+        with job_scratch(spark):
+            return run(spark, conf)
+
+    return in_scratch
 
 
 def _store(spark: SparkSession, conf: Mapping) -> TableStore:
@@ -89,6 +120,7 @@ def _require(row, what: str):
 # -- data ----------------------------------------------------------------------
 
 
+@_job
 def generate_batch(spark: SparkSession, conf: Mapping) -> dict[str, int]:
     """Append one generated batch of observations and its labels.
 
@@ -121,31 +153,48 @@ def generate_batch(spark: SparkSession, conf: Mapping) -> dict[str, int]:
     return {"raw_version": raw_table.latest(), "label_version": labels.latest()}
 
 
+@_job
 def load_table(spark: SparkSession, conf: Mapping) -> int:
     """Store a parquet data set as a table, replacing what was there."""
     store = _store(spark, conf)
     return store.table(_name(conf["output"], "table")).overwrite(scan_parquet(spark, conf["source"]))
 
 
+@_job
 def generate_features(spark: SparkSession, conf: Mapping) -> int:
     """Standardise all observations and create or merge the keyed feature table.
 
     The moments are stored next to it. ``conf["fit_before"]`` limits the rows they are
-    fitted on; by default all rows count.
+    fitted on; by default all rows count, and only batches that are new since the last run are read for them.
     """
     store, out = _store(spark, conf), conf["output"]
-    raw = store.table(_name(conf["input"], "raw_data_table")).read()
-    fit_rows = raw
+    table = store.table(_name(conf["input"], "raw_data_table"))
+    raw, name = table.read(), _name(out, "fs_table", "fs_schema")
     if conf.get("fit_before"):
-        fit_rows = raw.filter(F.col("date") < F.lit(conf["fit_before"]).cast("date"))
-    name = _name(out, "fs_table", "fs_schema")
+        fitted = scaling.fit_moments(raw.filter(F.col("date") < F.lit(conf["fit_before"]).cast("date")), MEASURES)
+    else:
+        fitted = scaling.moments_of_states(_moment_states(table, store.table(f"{name}_states")), MEASURES)
     moments = store.table(f"{name}_moments")
-    moments.overwrite(scaling.fit_moments(fit_rows, MEASURES))
+    moments.overwrite(fitted)
     features = scaling.apply_moments(raw, moments.read(), SCALED, KEYS)
     table = store.table(name)
     return table.create(features, LOOKUP_KEYS, ["date"]) or table.upsert(features)
 
 
+def _moment_states(raw: VersionedTable, states: VersionedTable) -> DataFrame:
+    """Moments of each batch of ``raw``; those not yet in ``states`` are added to it."""
+    version, batch = raw.latest(), None
+    if states.exists():
+        batch = raw.added_since(states.read().agg(F.max("raw_version")).first()[0])
+    rows = raw.read() if batch is None else batch
+    found = scaling.moment_states(rows, MEASURES).withColumn("raw_version", F.lit(version).cast("bigint"))
+    if batch is None:
+        states.overwrite(found)
+    else:
+        states.append(found)
+    return states.read()
+
+
 # -- training and validation ---------------------------------------------------
 
 
@@ -156,6 +205,7 @@ def build_training_set(raw: DataFrame, labels: DataFrame, features: DataFrame, k
     return joins.lookup_features(history, features, FEATURES, LOOKUP_KEYS, exclude, hot_from=raw)
 
 
+@_job
 def train(spark: SparkSession, conf: Mapping) -> dict:
     """Build and store train and test sets, search the grid, register the winner."""
     store = _store(spark, conf)
@@ -190,24 +240,34 @@ def train(spark: SparkSession, conf: Mapping) -> dict:
     )
     report = modeling.grid_report(search)
     best = max(report, key=lambda point: point["accuracy"])
+    # The winner's parameters once more, with trees whose left-out rows are known.
+    keyed = parts.filter(F.col("split") == "train").select(*KEYS, *FEATURES, TARGET)
+    point = {OOB_NAMES[k]: v for k, v in best.items() if k in OOB_NAMES}
+    bagged = bagging.fit_bagged(keyed, FEATURES, TARGET, KEYS, **point)
+    oob = bagging.oob_score(bagged.out_of_bag(keyed), TARGET).first()["oob_score"]
+    values = (
+        written["train"][1],
+        written["test"][1],
+        features.latest(),
+        written["train"][0],
+        written["test"][0],
+        raw_name,
+        label_name,
+        conf["environment"],
+    )
     tags = {
-        "train_dataset_version": written["train"][1],
-        "test_dataset_version": written["test"][1],
-        "fs_table_version": features.latest(),
+        **dict(zip(TRAIN_TAGS, values, strict=True)),
         "fs_table": feature_name,
-        "train_dataset": written["train"][0],
-        "test_dataset": written["test"][0],
-        "raw_data": raw_name,
-        "raw_labels": label_name,
-        "environment run": conf["environment"],
         "accuracy_CV": best["accuracy"],
+        "accuracy_OOB": oob,
         **{f"best_{k}": v for k, v in best.items() if k != "accuracy"},
     }
     log_tags(store, run_id, tags)
     version = register(store, model_conf["model_name"], run_id)
-    return {"run_id": run_id, "version": version, "grid": report}
+    return {"run_id": run_id, "version": version, "grid": report, "oob_score": oob}
 
 
+@_job
 def validate(spark: SparkSession, conf: Mapping) -> dict:
     """Score the test set with the newest unstaged model, store it and pass or fail the gate."""
     store, model_conf = _store(spark, conf), conf["model"]
@@ -226,13 +286,10 @@ def validate(spark: SparkSession, conf: Mapping) -> dict:
     log_tags(
         store,
         chosen["run_id"],
-        {
-            "accuracy_TEST": verdict["accuracy"],
-            "validation": verdict["validation"],
-            "test_dataset_version": version,
-            "test_dataset": out,
-        },
+        dict(zip(VALIDATION_TAGS, (verdict["accuracy"], verdict["validation"], version, out), strict=True)),
     )
+    matrix = [(chosen["run_id"], out, version, int(r["actual"]), int(r["predicted"]), r["share"]) for r in shares]
+    store.table(CONFUSION).append(spark.createDataFrame(matrix, CONFUSION_SCHEMA))
     if verdict["validation"] == registry.PASSED and conf["environment"] == "staging":
         _move(store, chosen, registry.STAGING)
     return {
@@ -250,6 +307,7 @@ def _move(store: TableStore, chosen, stage: str) -> None:
     table.overwrite(registry.promote(versions, this, stage))
 
 
+@_job
 def transition_to_production(spark: SparkSession, conf: Mapping) -> str:
     """Move the newest Staging version of the model to Production."""
     store, name = _store(spark, conf), conf["model"]["model_name"]
@@ -261,6 +319,7 @@ def transition_to_production(spark: SparkSession, conf: Mapping) -> str:
 # -- scoring and monitoring ----------------------------------------------------
 
 
+@_job
 def infer(spark: SparkSession, conf: Mapping) -> int:
     """Score all observations with the newest model version, whatever its stage.
 
@@ -280,6 +339,7 @@ def infer(spark: SparkSession, conf: Mapping) -> int:
     return store.table(_name(conf["data"]["output"], "scored_inference_dataset")).overwrite(scored)
 
 
+@_job
 def monitor(spark: SparkSession, conf: Mapping) -> dict[str, int]:
     """Store drift of scored features against the training set the newest model was fitted on.
 
@@ -294,7 +354,9 @@ def monitor(spark: SparkSession, conf: Mapping) -> dict[str, int]:
     test_rows = store.table(_name(source, "test_dataset")).read(int(tags["test_dataset_version"]))
     scored = store.table(_name(source, "scored_inference_dataset")).read()
     features = feature_columns(train_rows, [TARGET, "prediction"])
-    report = drift.drift_document(drift.feature_drift(train_rows, scored, features))
+    report = drift.drift_document(
+        drift.feature_drift(train_rows, scored, features), distributions=drift.histograms(train_rows, scored, features)
+    )
     written = {"data_monitoring": store.table(_name(out, "data_monitoring")).overwrite(report)}
     if "performance_monitoring" in out and "prediction" in test_rows.columns:
         labels = store.table(_name(source, "label_table")).read()
@@ -307,6 +369,7 @@ def monitor(spark: SparkSession, conf: Mapping) -> dict[str, int]:
 # -- regression ----------------------------------------------------------------
 
 
+@_job
 def train_regression(spark: SparkSession, conf: Mapping) -> dict:
     """Scale on train rows, fit a regression forest, report R-squared on test rows."""
     store = _store(spark, conf)

@@ -5,6 +5,11 @@ Doubles are rounded as in the queries; ``+ 0.0`` turns -0.0 into 0.0.
 
 from __future__ import annotations
 
+from math import exp
+
+from grainmill.operators.sampling import alias_table
+from grainmill.plans.queries import ALIAS_WEIGHTS, OOB_TREES, STATED
+
 MEASURES = {"m_value": "z_value", "m_k": "z_k", "m_user": "z_user", "m_minute": "z_minute"}
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents"]
@@ -153,6 +158,23 @@ scored AS ({nearest('labelled', 'cent', ['n_chars', 'n_words'], 'r.doc_id, r.tar
 tests AS (SELECT * FROM scored WHERE NOT ({in_share(['doc_id'], 0.7, 123)}))"""
 
 
+def draw_of(components) -> str:
+    """SQL for two features drawn from stated components of each class."""
+
+    def u(seed: int) -> str:
+        return f"({seeded_int(LINE_KEYS, seed)} / 4294967296.0::DOUBLE)"
+
+    z = [f"sqrt(-2.0::DOUBLE * ln(1.0::DOUBLE - {u(13 + 2 * i)})) * cos(2.0::DOUBLE * pi() * {u(14 + 2 * i)})" for i in range(2)]
+    tests, running = [], {}
+    for c in components:
+        running[c.label] = running.get(c.label, 0.0) + c.weight
+        values = [*c.mean, c.factor[0][0], c.factor[1][0], c.factor[1][1]]
+        tests.append(f"WHEN target = {c.label} AND u < {running[c.label]}::DOUBLE THEN {[float(v) for v in values]}::DOUBLE[]")
+    return f"""WITH {LINES}, draws AS (SELECT {LINE_LIST}, target, {u(3)} AS u, {z[0]} AS a, {z[1]} AS b FROM lines),
+parts AS (SELECT *, CASE {" ".join(tests)} END AS p FROM draws WHERE target IS NOT NULL)
+SELECT {r('p[1] + p[3] * a', 'x')}, {r('p[2] + p[4] * a + p[5] * b', 'y')}, {LINE_LIST}, target FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["scan_observations"] = (
@@ -181,6 +203,12 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, l_quantity, l_tax, l_returnflag, s_nationkey"
         " FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"
     )
+    hot = "CAST(CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} % 200 END AS INTEGER) AS bucket"
+    sql["join_hot_both"] = (
+        f"WITH a AS (SELECT {hot.format('o_custkey')}, o_orderkey AS key FROM orders),"
+        f" b AS (SELECT {hot.format('c_custkey')}, c_nationkey AS target FROM customer)"
+        " SELECT bucket, count(*) AS n_rows, CAST(sum(key % 1000 * target) AS BIGINT) AS total FROM a JOIN b USING (bucket) GROUP BY bucket"
+    )
     sql["newest_date"] = f"WITH {OBS} SELECT max(date) AS newest_date FROM obs"
     sql["drop_newest_day"] = f"WITH {OBS}, {HISTORY} SELECT {keys}, {M_ROUNDED}, target FROM history"
     sql["drop_newest"] = f"WITH {OBS}, {HISTORY} SELECT {keys}, {M_ROUNDED} FROM history"
@@ -190,6 +218,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{m}' AS feature, count({m}) AS n, {r(f'avg({m})', 'mean')}, {r(f'stddev_pop({m})', 'sd')} FROM obs"
         for m in MEASURES
     )
+    sql["feature_moments_merged"] = sql["feature_moments"]
     sql["feature_lookup"] = (
         f"WITH {OBS}, {z('obs')} SELECT o.\"Id\", o.hour, o.date, {Z_ROUNDED}"
         ' FROM obs o LEFT JOIN feats f ON o."Id" = f."Id" AND o.hour = f.hour'
@@ -219,6 +248,7 @@ def oracle_sql() -> dict[str, str]:
         f" UNION ALL SELECT {Z_ROUNDED}, {keys} FROM new"
     )
     sql["append_batch"] = f"WITH {OBS} SELECT {keys}, m_value FROM obs"
+    sql["append_keyed"] = sql["append_batch"]
     sql["read_as_of"] = f"WITH {OBS} SELECT {keys}, m_value FROM obs WHERE date < DATE '2024-01-16'"
     sql["overwrite_version"] = f"WITH {OBS} SELECT date, count(*) AS n_rows FROM obs GROUP BY date"
     sql["latest_version"] = (
@@ -250,6 +280,15 @@ def oracle_sql() -> dict[str, str]:
     sql["mixture_moments"] = (
         f"WITH {LINES}, scores AS (SELECT target, {scores} FROM lines WHERE target IS NOT NULL) " + " UNION ALL ".join(parts)
     )
+    unseen = " + ".join(
+        f"CAST({seeded_int(LINE_KEYS, 21 + t)} / 4294967296.0::DOUBLE < {exp(-1)!r}::DOUBLE AS INTEGER)" for t in range(OOB_TREES)
+    )
+    sql["oob_votes"] = (
+        f"WITH {LINES}, v AS (SELECT {LINE_LIST}, {signal} AS target, CAST({unseen} AS INTEGER) AS n_out FROM lines)"
+        " SELECT *, CASE WHEN n_out > 0 THEN target END AS prediction FROM v"
+    )
+    sql["mixture_clusters"] = f"WITH {LINES} SELECT {signal} AS target, count(*) AS n_rows FROM lines GROUP BY ALL"
+    sql["mixture_draw"] = draw_of(STATED)
     sql["predictions"] = f"WITH {SCORED_LINES} SELECT * FROM scored"
     right = "CASE WHEN target = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
     sql["accuracy"] = f"WITH {SCORED_LINES} SELECT {r(f'avg({right})', 'accuracy')}, count(*) AS n_rows FROM scored"
@@ -279,6 +318,16 @@ SELECT round(1 - sum((y - p) * (y - p)) / (SELECT var_pop(y) * count(*) FROM t),
 {nearest('feats', 'cent', names, 'r."Id", r.date, r.hour', ['Id'])}"""
     flat = f"feature, n_reference, n_current, {r('statistic', 'statistic', 6)}, {r('p_value', 'p_value', 6)}, drifted"
     sql["drift_ks"] = f"WITH {DRIFT} SELECT {flat} FROM perfeature"
+    sql["drift_sketch"] = (
+        f"WITH {DRIFT} SELECT feature, n_reference, n_current, {r('statistic', 'statistic', 6)}, true AS within FROM perfeature"
+    )
+    place = "CASE WHEN high > low THEN least(floor((v - low) / (high - low) * 10), 9) ELSE 0 END"
+    sql["drift_distributions"] = f"""WITH {DRIFT},
+ends AS (SELECT feature, min(v) AS low, max(v) AS high FROM long GROUP BY feature),
+placed AS (SELECT feature, early, CAST({place} AS INTEGER) AS bin FROM long JOIN ends USING (feature)),
+counts AS (SELECT feature, bin, count(*) FILTER (early) AS a, count(*) FILTER (NOT early) AS b FROM placed GROUP BY feature, bin)
+SELECT e.feature, {r('e.low', 'low')}, {r('e.high', 'high')}, CAST(g.bin AS INTEGER) AS bin, coalesce(a, 0) AS in_reference, coalesce(b, 0) AS in_current
+FROM ends e CROSS JOIN range(10) g(bin) LEFT JOIN counts c ON c.feature = e.feature AND c.bin = g.bin"""
     sql["drift_summary"] = f"WITH {DRIFT} " + " UNION ALL ".join(
         summary("reference", "early") + summary("current", "NOT early")
     )
@@ -326,6 +375,11 @@ LEFT JOIN last_tags b ON b.run_id = n.run_id AND b.key = 'test_dataset_version'"
         f'WITH {OBS} SELECT "Id", CASE WHEN {u} < 0.25::DOUBLE THEN 0 WHEN {u} < 0.875::DOUBLE THEN 2'
         " ELSE 3 END AS drawn FROM obs"
     )
+    share, other = alias_table(ALIAS_WEIGHTS)
+    sql["alias_draw"] = f"""WITH {OBS},
+slots AS (SELECT unnest(range({len(share)})) AS slot, unnest({share}::DOUBLE[]) AS kept, unnest({other}) AS other),
+drawn AS (SELECT "Id", {seeded_int(['"Id"'], 7)} / 4294967296.0::DOUBLE * {float(len(share))}::DOUBLE AS u FROM obs)
+SELECT "Id", CAST(CASE WHEN u - slot < kept THEN slot ELSE other END AS INTEGER) AS drawn FROM drawn JOIN slots ON slot = CAST(floor(u) AS BIGINT)"""
     fit_id = in_share(['"Id"'], 0.75, 0)
     sql["apply_stored_scaler"] = (
         f"WITH {OBS}, {z('obs', f'NOT ({fit_id})', moments=fit_id)} SELECT {Z_ROUNDED}, \"Id\" FROM feats"

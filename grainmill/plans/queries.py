@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from grainmill.functions.columns import feature_columns, rename, stamp, with_identity, without
 from grainmill.operators import (
+    bagging,
     centroid,
     drift,
     joins,
@@ -17,6 +18,7 @@ from grainmill.operators import (
     sampling,
     scaling,
 )
+from grainmill.functions.hashing import seeded_uniform
 from grainmill.plans import inputs
 from grainmill.plans.inputs import (
     DOC_FEATURES,
@@ -33,6 +35,16 @@ from grainmill.sources import documents, scans, versioned
 MID = "2024-01-16"
 Z = list(OBS_NAMES.values())
 DRIFT_FEATURES = ["m_value", "m_k", "m_user", "m_minute", "m_sequence"]
+OOB_TREES = 10
+ALIAS_WEIGHTS = [float(i * i % 97) for i in range(10_000)]
+STATED = [
+    mixture.Component(0, 0.25, (-10.0, 5.0), ((2.0, 0.0), (1.0, 3.0))),
+    mixture.Component(0, 0.75, (0.0, -5.0), ((1.0, 0.0), (-2.0, 0.5))),
+    mixture.Component(1, 0.5, (7.0, 7.0), ((1.0, 0.0), (0.5, 1.0))),
+    mixture.Component(1, 0.125, (30.0, 0.0), ((4.0, 0.0), (0.0, 1.0))),
+    mixture.Component(1, 0.375, (-3.0, 1.0), ((0.5, 0.0), (0.25, 0.125))),
+    mixture.Component(2, 1.0, (100.0, 200.0), ((8.0, 0.0), (2.0, 1.0))),
+]
 DRIFT_LEAF = 2_000  # small, so that the refinement runs at test scale too
 
 
@@ -101,6 +113,16 @@ def join_labels_typed(spark, sf):
     return joins.join_labels(facts, suppliers, ["s_suppkey"], salted=True)
 
 
+def join_hot_both(spark, sf):
+    """A key that holds a third of the rows of both sides, joined as a grid and summed."""
+    hot = lambda c: F.when(F.pmod(c, F.lit(3)) == 0, 0).otherwise(F.pmod(c, F.lit(200))).cast("int").alias("bucket")
+    scored = inputs.table(spark, sf, "orders").select(hot(F.col("o_custkey")), F.col("o_orderkey").alias("key"))
+    labels = inputs.table(spark, sf, "customer").select(hot(F.col("c_custkey")), F.col("c_nationkey").alias("target"))
+    joined = joins.join_late_labels(scored, labels, ["bucket"], salted=True)
+    total = F.sum(F.pmod("key", F.lit(1000)) * F.col("target"))
+    return joined.groupBy("bucket").agg(F.count("*").alias("n_rows"), total.cast("bigint").alias("total"))
+
+
 def newest_date(spark, sf):
     return recency.newest_date(inputs.observations(spark, sf))
 
@@ -129,6 +151,17 @@ def feature_moments(spark, sf):
     return rounded(scaling.tidy_moments(moments, names))
 
 
+def feature_moments_merged(spark, sf):
+    """The same moments from states kept for three batches, each read once when it was appended."""
+    names = list(OBS_NAMES)
+    raw, states = _scratch_table(spark, "raw"), _scratch_table(spark, "states")
+    for part in range(3):
+        raw.append(inputs.observations(spark, sf).where(F.pmod("Id", F.lit(3)) == part))
+        batch = raw.read() if part == 0 else raw.added_since(raw.latest() - 1)
+        states.append(scaling.moment_states(batch, names))
+    return rounded(scaling.tidy_moments(scaling.moments_of_states(states.read(), names), names))
+
+
 def feature_lookup(spark, sf):
     return rounded(
         joins.lookup_features(
@@ -222,6 +255,16 @@ def append_batch(spark, sf):
     return table.read()
 
 
+def append_keyed(spark, sf):
+    """Three batches of new keys appended to a keyed table, each checked against filters of the keys before."""
+    raw = inputs.observations(spark, sf).select("Id", "date", "hour", "m_value")
+    table = _scratch_table(spark, "keyed")
+    table.create(raw.where(F.pmod("Id", F.lit(3)) == 0), OBS_LOOKUP, ["date"])
+    for part in (1, 2):
+        table.append(raw.where(F.pmod("Id", F.lit(3)) == part))
+    return table.read()
+
+
 def _three_versions(spark, sf):
     raw = inputs.observations(spark, sf).select("Id", "date", "hour", "m_value")
     early = F.col("date") < F.lit(MID).cast("date")
@@ -349,6 +392,29 @@ def drift_document(spark, sf):
     return rounded(listed.select("dataset_drift", "f.*"), 6)
 
 
+def drift_sketch(spark, sf):
+    """Drift from a stored sketch of the training side, beside the exact statistic."""
+    reference, current = _drift_sides(spark, sf)
+    stored = materialise(drift.feature_sketches(reference, DRIFT_FEATURES), "sketches")
+    found = drift.sketched_ks(stored, drift.feature_sketches(current, DRIFT_FEATURES))
+    exact = drift.ks_statistics(reference, current, DRIFT_FEATURES).select("feature", F.col("statistic").alias("exact"))
+    joined = found.join(exact, "feature")
+    within = (F.abs(F.col("statistic") - F.col("exact")) <= F.col("error")).alias("within")
+    return rounded(joined.select("feature", "n_reference", "n_current", F.col("exact").alias("statistic"), within), 6)
+
+
+def drift_distributions(spark, sf):
+    """The bins of both sides, written into the drift document and listed from it."""
+    reference, current = _drift_sides(spark, sf)
+    report = drift.drift_document(
+        _per_feature(spark, sf), distributions=drift.histograms(reference, current, DRIFT_FEATURES)
+    )
+    parsed = documents.from_document(documents.to_document(report), report.schema)
+    listed = parsed.select(F.explode("features").alias("f")).select("f.*")
+    bins = F.posexplode(F.arrays_zip("in_reference", "in_current")).alias("bin", "n")
+    return rounded(listed.select("feature", "low", "high", bins).select("feature", "low", "high", "bin", "n.*"))
+
+
 def join_late_labels(spark, sf):
     scored = inputs.observations(spark, sf).select("Id", "date", "hour", "m_value")
     return joins.join_late_labels(scored, inputs.event_labels(spark, sf), OBS_LOOKUP)
@@ -417,6 +483,12 @@ def weighted_draw(spark, sf):
     return sampling.draw_class(rows, [0, 1, 2, 3], [1.0, 0.0, 2.5, 0.5], ["Id"], 5)
 
 
+def alias_draw(spark, sf):
+    """One of 10,000 weighted classes for each row, by an alias table."""
+    rows = inputs.observations(spark, sf).select("Id")
+    return sampling.draw_of_many(rows, ALIAS_WEIGHTS, ["Id"], 7)
+
+
 def apply_stored_scaler(spark, sf):
     """Moments of the train rows, stored as a table and applied to the test rows."""
     raw = inputs.observations(spark, sf)
@@ -458,14 +530,20 @@ def rf_regression(spark, sf):
 def batch_score(spark, sf):
     """A fitted model stored, loaded again and applied to every row."""
     train, _ = _split_lines(spark, sf)
-    grid = {"maxDepth": [3], "numTrees": [30], "featureSubsetStrategy": ["all"]}
-    search = modeling.grid_search(train, LINE_FEATURES, "target", grid, folds=2, fold_by=LINE_KEYS)
+    model = modeling.fit_forest(train, LINE_FEATURES, "target", trees=30, depth=3, subset="all")
     path = scratch_path(spark, "model")
-    modeling.save_model(modeling.scoring_model(LINE_FEATURES, search.bestModel), path)
+    modeling.save_model(model, path)
     scored = modeling.score(modeling.load_model(path), inputs.signal_lines(spark, sf), LINE_FEATURES)
     return scored.select(*LINE_KEYS, "target", "prediction")
 
 
+def oob_votes(spark, sf):
+    """For every row the trees of a bagged forest that have not seen it, and what these say."""
+    rows = materialise(inputs.signal_lines(spark, sf), "lines")
+    forest = bagging.fit_bagged(rows, LINE_FEATURES, "target", LINE_KEYS, trees=OOB_TREES, depth=3, subset="all")
+    return forest.out_of_bag(rows).select(*LINE_KEYS, "target", "n_out", "prediction")
+
+
 def mixture_moments(spark, sf):
     """Mean and covariance of the mixture fitted to each class, over standardised features."""
     rows = inputs.lines(spark, sf)
@@ -484,6 +562,27 @@ def mixture_sample(spark, sf):
     return mixture.sample_mixtures(rows.select(*LINE_KEYS, "target"), fitted, "target", features, LINE_KEYS, 3)
 
 
+def mixture_draw(spark, sf):
+    """Observations drawn from stated components by the same digests that SQL has."""
+    rows = inputs.lines(spark, sf).select(*LINE_KEYS, "target")
+    drawn = mixture.sample_mixtures(rows, STATED, "target", ["x", "y"], LINE_KEYS, 3, seeded_uniform)
+    return rounded(drawn)
+
+
+def mixture_clusters(spark, sf):
+    """Rows per cluster as a Bayesian mixture with components to spare counts them."""
+    rows = inputs.signal_lines(spark, sf).select(
+        (F.col("target") * 1000 + F.col("l_discount") * 100).alias("x"), (F.col("l_tax") * 100).alias("y"), F.lit(0).alias("all")
+    )
+    n, spare = rows.count(), 8
+    fitted = mixture.fit_mixtures(rows, ["x", "y"], "all", [0], components=spare, restarts=5, prior="dirichlet")
+    # A component's weight is its rows and the prior's 1 / spare, out of all rows and one.
+    found = [(round(c.mean[0] / 1000), c.weight * (n + 1) - 1 / spare) for c in fitted]
+    counted = spark.createDataFrame(found, "target int, n_rows double").groupBy("target")
+    whole = counted.agg(F.round(F.sum("n_rows")).cast("bigint").alias("n_rows"))
+    return whole.where("n_rows > 0")
+
+
 REGISTERED = [
     scan_observations,
     row_identity,
@@ -492,11 +591,13 @@ REGISTERED = [
     join_labels,
     join_labels_salted,
     join_labels_typed,
+    join_hot_both,
     newest_date,
     drop_newest_day,
     drop_newest,
     standardise,
     feature_moments,
+    feature_moments_merged,
     feature_lookup,
     lookup_coverage,
     train_test_split,
@@ -507,6 +608,7 @@ REGISTERED = [
     upsert_features,
     create_feature_table,
     append_batch,
+    append_keyed,
     read_as_of,
     overwrite_version,
     latest_version,
@@ -519,9 +621,11 @@ REGISTERED = [
     r_squared,
     score_lookup,
     drift_ks,
+    drift_sketch,
     drift_summary,
     drift_dataset,
     drift_document,
+    drift_distributions,
     join_late_labels,
     label_join_performance,
     newest_model,
@@ -534,12 +638,16 @@ REGISTERED = [
     balanced_sample,
     exact_split,
     weighted_draw,
+    alias_draw,
     apply_stored_scaler,
     rf_grid_search,
     rf_regression,
     batch_score,
+    oob_votes,
     mixture_moments,
     mixture_sample,
+    mixture_clusters,
+    mixture_draw,
 ]
 
 

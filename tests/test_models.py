@@ -1,12 +1,13 @@
+import glob
 import inspect
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grainmill.operators import mixture, modeling, registry
+from grainmill.operators import mixture, modeling, registry, scaling
 from grainmill.plans import inputs, jobs, queries
-from grainmill.session import materialise
+from grainmill.session import materialise, shared_dir
 from tests.conftest import rows
 
 VERSIONS = [
@@ -121,6 +122,76 @@ def test_mixture_sample_fits_with_the_defaults(spark, monkeypatch):
     assert drawn.count() == inputs.lines(spark, folder).count()
 
 
+def clusters(spark, n=1200):
+    """Three far clusters of class 0, one of class 1, and rows that cannot be used."""
+    made = spark.range(n).select(
+        (F.randn(1) * 0.3 + F.col("id") % 3 * 100).alias("x"),
+        (F.randn(2) + F.col("id") % 3 * -50).alias("y"),
+        F.when(F.col("id") < n - 100, 0).otherwise(1).alias("target"),
+    )
+    odd = [(None, 1.0, 0), (float("nan"), 1.0, 0), (1.0, 1.0, None), (1.0, 1.0, 9)]
+    return materialise(made.unionByName(spark.createDataFrame(odd, "x double, y double, target int")), "clusters")
+
+
+@pytest.mark.parametrize("prior", [None, "dirichlet", "process"])
+def test_bounds_never_fall_and_spare_components_are_emptied(spark, prior):
+    trace = []
+    fitted = mixture.fit_mixtures(
+        clusters(spark), ["x", "y"], "target", [0, 1, 2], components=6, iterations=15, restarts=4, prior=prior, trace=trace
+    )
+    assert {c.label for c in fitted} == {0, 1} and len(fitted) == 12
+    for label in (0, 1):
+        bounds = np.array([step[label] for step in trace])
+        assert bounds.shape == (15, 4)
+        assert (np.diff(bounds, axis=0) > -1e-6 * np.abs(bounds[1:])).all()
+    own = [c for c in fitted if c.label == 0]
+    assert sum(c.weight for c in own) == pytest.approx(1)
+    by_cluster = [sum(c.weight for c in own if round(c.mean[0] / 100) == i and c.weight > 1e-3) for i in range(3)]
+    assert by_cluster == pytest.approx([1 / 3] * 3, abs=0.01)
+    if prior == "dirichlet":
+        assert sum(c.weight > 1e-3 for c in own) == 3
+
+
+def test_one_step_against_a_plain_one(spark):
+    """Sums and likelihood of one pass, computed row by row with the density's formula."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, 2)) @ np.array([[2.0, 0.3], [0.0, 1.0]])
+    fit = mixture.Likelihood(np.array([[0.0, 0.0], [1.0, -1.0], [3.0, 2.0]]))
+    fit.weights, fit.covariances = np.array([0.5, 0.3, 0.2]), np.array([[[1.0, 0.2], [0.2, 2.0]], np.eye(2), np.eye(2) * 3])
+    old = (fit.weights, fit.means, fit.covariances)
+    df = spark.createDataFrame([(0, r.tolist()) for r in x], "class int, x array<double>").repartition(3)
+    bound = mixture.advance(df, 2, {0: [fit]})[0][0]
+    dens = np.array(
+        [
+            [w * np.exp(-0.5 * (r - m) @ np.linalg.inv(v) @ (r - m)) / (2 * np.pi * np.sqrt(np.linalg.det(v))) for w, m, v in zip(*old)]
+            for r in x
+        ]
+    )
+    shares = dens / dens.sum(axis=1, keepdims=True)
+    assert bound == pytest.approx(np.log(dens.sum(axis=1)).sum())
+    n = shares.sum(axis=0)
+    assert fit.weights == pytest.approx(n / 60)
+    assert fit.means == pytest.approx(shares.T @ x / n[:, None])
+    for k in range(3):
+        off = x - fit.means[k]
+        assert fit.covariances[k] == pytest.approx((shares[:, k, None] * off).T @ off / n[k])
+
+
+def test_mixtures_of_few_and_equal_rows(spark):
+    df = spark.createDataFrame([(0, 5.0, 1.0)] * 40 + [(1, 1.0, 2.0), (1, 3.0, 2.0)], "target int, x double, y double")
+    for prior in (None, "dirichlet"):
+        fitted = mixture.fit_mixtures(df, ["x", "y"], "target", [0, 1], components=3, iterations=4, restarts=2, prior=prior)
+        m = {(r.target, r.feature): r.value for r in mixture.moments(spark, fitted, ["x", "y"]).where("other IS NULL").collect()}
+        assert m[(0, "x")] == pytest.approx(5) and m[(1, "y")] == pytest.approx(2)
+    assert mixture.fit_mixtures(df.limit(0), ["x", "y"], "target", [0, 1]) == []
+    with pytest.raises(ValueError):
+        mixture.fit_mixtures(df, ["x"], "target", [0], prior="other")
+
+
+def test_digamma():
+    assert mixture.digamma(np.array([1.0, 0.5, 10.0, 1e-3])) == pytest.approx([-0.5772156649, -1.9635100260, 2.2517525890, -1000.5755719])
+
+
 def test_rows_are_drawn_from_the_stated_components(spark):
     """Shares, means and covariances of what hashed uniforms draw, beside those stated."""
     stated = [
@@ -179,7 +250,17 @@ def test_all_jobs_end_to_end(spark, tmp_path):
 
     features = {**base, "input": {"raw_data_table": "raw"}, "output": {"fs_schema": "fs", "fs_table": "scaled"}}
     assert jobs.generate_features(spark, features) == 1
+    # a batch more: its moments are added to those kept, and are those of the whole table
+    jobs.generate_batch(spark, generate)
     assert jobs.generate_features(spark, features) == 2
+    states = store.table("fs.scaled_states").read()
+    assert sorted(r.n for r in states.select("raw_version", "n").distinct().collect()) == [180, 360]
+    kept, whole = store.table("fs.scaled_moments").read().first(), scaling.fit_moments(store.table("default.raw").read(), jobs.MEASURES).first()
+    assert list(kept.asDict().values()) == pytest.approx(list(whole.asDict().values()))
+    store.table("default.raw").overwrite(raw)
+    store.table("default.labels").overwrite(labels)
+    assert jobs.generate_features(spark, features) == 3
+    store.table("fs.scaled").overwrite(store.table("fs.scaled").read().join(raw.select("Id"), "Id", "left_semi"), ["date"], ["Id", "hour"])
     assert store.table("fs.scaled").read().count() == 360
 
     train = {
@@ -192,7 +273,7 @@ def test_all_jobs_end_to_end(spark, tmp_path):
         },
     }
     trained = jobs.train(spark, train)
-    assert trained["version"] == "1" and len(trained["grid"]) == 2
+    assert trained["version"] == "1" and len(trained["grid"]) == 2 and trained["oob_score"] > 0.8
     assert (store.table("default.train").read().count(), store.table("default.test").read().count()) == (int(180 * 0.7), 180 - int(180 * 0.7))
 
     with pytest.raises(LookupError):
@@ -201,6 +282,8 @@ def test_all_jobs_end_to_end(spark, tmp_path):
         spark, {**base, "model": model, "data": {"input": {"test_dataset": "test"}, "output": {"test_dataset": "test"}}}
     )
     assert checked["validation"] == "passed" and sum(checked["confusion"].values()) == pytest.approx(1)
+    stored = store.table(jobs.CONFUSION).read().where(F.col("run_id") == trained["run_id"]).collect()
+    assert {(r.actual, r.predicted): r.share for r in stored} == checked["confusion"]
     tags = jobs.read_tags(store, trained["run_id"])
     assert tags["test_dataset_version"] == "2" and tags["train_dataset_version"] == "1"
     assert "prediction" in store.table("default.test").read().columns
@@ -229,6 +312,8 @@ def test_all_jobs_end_to_end(spark, tmp_path):
     report = store.table("default.drift").read().collect()
     assert len(report) == 1 and [f.feature for f in report[0].features] == sorted(jobs.FEATURES)
     assert store.table("default.performance").read().count() == 6
+    assert all(sum(f.in_current) == 360 and len(f.in_reference) == 10 for f in report[0].features)
+    assert not glob.glob(f"{shared_dir(spark).removeprefix('file://')}/grainmill-{spark.sparkContext.applicationId}/job-*")
 
 
 def test_regression_job(spark, tmp_path):
