@@ -16,17 +16,19 @@ import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from grainmill.llm.text import fresh
+from grainmill.llm.text import flat, fresh
 from grainmill.session import materialise
 
 CHUNK_CHARS = 32_768
 OVERLAP = 512
-CACHED_PIECES = 1 << 18  # a worker forgets its pieces beyond this many
+CACHED_PIECES = 1 << 17  # of one generation; a task keeps two
+NEVER = 1 << 40  # the rank of two tokens that make none
 
 
 @lru_cache(maxsize=2)
@@ -35,6 +37,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def vocabulary(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    words = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        words[rank] = token
+    return words
+
+
 def merge_piece(ranks: dict[bytes, int], piece: bytes) -> list[int]:
     """Ids of one piece: the pair of the lowest rank is joined first, the leftmost of equals.
 
@@ -70,21 +80,60 @@ def merge_piece(ranks: dict[bytes, int], piece: bytes) -> list[int]:
     return out
 
 
-class Pieces(dict):
-    """Packed ids by pre-token; computed when first asked for."""
+class Pairs(dict):
+    """Rank of the token that two tokens make, by both ids in one number; looked up when first asked for."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.words = ranks, vocabulary(ranks)
+
+    def __missing__(self, pair: int) -> int:
+        rank = self.ranks.get(self.words[pair >> 32] + self.words[pair & 0xFFFFFFFF], NEVER)
+        self[pair] = rank
+        return rank
+
+
+class Pieces(dict):
+    """Packed ids by pre-token; computed when first asked for.
+
+    Two generations: when the new one is full it takes the place of the old one, and what is asked for
+    again moves over, so frequent pieces stay and rare ones are forgotten.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], size: int = CACHED_PIECES):
+        super().__init__()
+        self.ranks, self.pairs, self.old, self.size = ranks, Pairs(ranks), {}, size
+        self.bytes = [ranks.get(bytes([b])) for b in range(256)]
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        ids = b"".join(i.to_bytes(4, "little") for i in merge_piece(self.ranks, piece.encode()))
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self._packed(piece.encode())
         if len(piece) <= 64:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
+    def _packed(self, piece: bytes) -> bytes:
+        """As ``merge_piece``; for a short piece a search through its pairs is faster than a heap."""
+        if piece in self.ranks:
+            return self.ranks[piece].to_bytes(4, "little")
+        if len(piece) > 64:
+            return np.array(merge_piece(self.ranks, piece), "<u4").tobytes()
+        parts, pairs = [self.bytes[b] for b in piece], self.pairs
+        merged = [pairs[x << 32 | y] for x, y in zip(parts, parts[1:])]
+        while merged and (low := min(merged)) < NEVER:
+            i = merged.index(low)  # the leftmost of equals
+            parts[i] = low
+            del parts[i + 1], merged[i]
+            if i:
+                merged[i - 1] = pairs[parts[i - 1] << 32 | low]
+            if i < len(merged):
+                merged[i] = pairs[low << 32 | parts[i + 1]]
+        return b"".join([p.to_bytes(4, "little") for p in parts])
+
 
 def resync(match: regex.Pattern, text: str, at: int, to_end: bool) -> int | None:
     """The first position from ``at`` on where matches from 0 and matches from ``at`` both begin.
@@ -212,13 +261,15 @@ def decode(ids: Column, ranks: str) -> Column:
 
     @F.arrow_udf("binary")
     def join_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = [b""] * (max(read_ranks(ranks).values()) + 1)
-        for token, rank in read_ranks(ranks).items():
-            words[rank] = token
+        words = pa.array(vocabulary(read_ranks(ranks)), pa.large_binary())
         for batch in batches:
-            yield pa.array(
-                [b"".join(map(words.__getitem__, memoryview(x.as_py() or b"").cast("I"))) for x in batch], pa.binary()
-            )
+            packed, offsets = flat(batch)
+            tokens = words.take(pa.array(packed.view("<u4")))
+            _, ends, data = tokens.buffers()
+            ends = np.frombuffer(ends, np.int64)[: len(tokens) + 1] if len(tokens) else np.zeros(1, np.int64)
+            rows = pa.py_buffer(np.ascontiguousarray(ends[offsets // 4]))
+            joined = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, rows, data or pa.py_buffer(b"")])
+            yield joined.cast(pa.binary())
 
     return join_bytes(ids)
 

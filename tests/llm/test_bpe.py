@@ -31,6 +31,16 @@ def test_merges_like_the_library(known, seed):
     assert expect == known.encode_ordinary(piece)
 
 
+@pytest.mark.parametrize("size", [1, 5, 1 << 17])
+def test_kept_pieces_are_merged_alike(size):
+    ranks, rng = bpe.read_ranks(RANKS), random.Random(size)
+    pieces = bpe.Pieces(ranks, size)
+    for _ in range(2_000):
+        piece = "".join(rng.choices("aabthé中 ", k=rng.choice([1, 3, 9, 70])))
+        assert ids(pieces[piece]) == bpe.merge_piece(ranks, piece.encode())
+        assert len(pieces) <= size and len(pieces.old) <= size
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(32_768, 512), (100, 20), (64, 64), (7, 2)])
 def test_edge_rows(spark, known, chunk, overlap):
     data = [r for r in rows() if chunk > 64 or r[1] is None or len(r[1]) < 5_000]
