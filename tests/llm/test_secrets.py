@@ -1,5 +1,7 @@
+import random
 import re
 
+import numpy as np
 import pytest
 from edges import frame, rows, words
 from pyspark.sql import functions as F
@@ -69,11 +71,73 @@ def test_log_ratio_is_the_sum_of_pair_weights(spark, weights):
     n = len(secrets.ALPHABET)
     word = HIDDEN[0]
     at = [secrets.ALPHABET.index(c) for c in word]
-    expect = sum(weights[a * n + b] for a, b in zip(at, at[1:]))
+    expect = max(sum(w[a * n + b] for a, b in zip(at, at[1:])) for w in weights)
     got = spark.range(1).select(secrets.log_ratio(F.lit(word), weights)).first()[0]
     assert got == pytest.approx(expect)
 
 
+def plain_weights(texts, made):
+    """Pair weights from plain counts over distinct texts and the made strings."""
+    n, index = len(secrets.ALPHABET), {c: i for i, c in enumerate(secrets.ALPHABET)}
+    counts = np.zeros((len(secrets.MODELS), n, n))
+
+    def add(label, word):
+        for a, b in zip(word, word[1:]):
+            if a in index and b in index:
+                counts[label, index[a], index[b]] += 1
+
+    for text in {t or "" for t in texts}:
+        for m in PATTERN.finditer(text):
+            if len(m[1]) >= secrets.MIN_SAMPLE:
+                add(1, m[1])
+        for run in re.findall("[A-Za-z0-9+/_=-]+", PATTERN.sub(" ", text)):
+            if len(run) >= secrets.MIN_SAMPLE:
+                add(int(bool(re.fullmatch("AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}", run))), run)
+    for label, word in made:
+        add(label, word)
+        add(1, word)
+    share = counts.sum(axis=1) + 0.5
+    share /= share.sum(axis=1, keepdims=True)
+    logs = np.log((counts + secrets.PRIOR * share[:, None, :]) / (counts.sum(axis=2, keepdims=True) + secrets.PRIOR))
+    return (logs[1:] - logs[0]).reshape(len(secrets.MODELS) - 1, -1)
+
+
+def test_weights_and_spans_against_plain_ones(spark):
+    texts = [words(i, 60) for i in range(40)] + TEXTS[:7] + [f"x {h} y" for h in HIDDEN] + [None, "", words(1, 60)]
+    made = [tuple(r) for r in secrets.made_strings(spark).collect()]
+    assert len(made) == secrets.MADE * len(secrets.RANDOM)
+    for label, word in made[:500]:
+        assert len(word) == 32 and set(word) <= set(secrets.RANDOM[secrets.MODELS[label]])
+    expect = plain_weights(texts, made)
+    weights = secrets.pair_weights(docs(spark, texts))
+    assert np.array(weights) == pytest.approx(expect, abs=1e-9)
+    n, index = len(secrets.ALPHABET), {c: i for i, c in enumerate(secrets.ALPHABET)}
+    for r in secrets.scan(docs(spark, texts), weights=weights).collect():
+        text, base = texts[r.doc_id] or "", plain(texts[r.doc_id])
+        found = list(base)
+        for m in re.finditer("[A-Za-z0-9+/_=-]{10,}", text):
+            at = [index[c] for c in m[0]]
+            score = max(sum(w[a * n + b] for a, b in zip(at, at[1:])) for w in expect)
+            if score >= secrets.THRESHOLD and not any(b[0] < m.end() and m.start() < b[2] for b in base):
+                found.append((m.start(), 3, m.end()))
+        assert [tuple(s) for s in r.secret_spans] == sorted(found)
+
+
+@pytest.mark.parametrize("kind", list(secrets.RANDOM))
+@pytest.mark.parametrize("length", [12, 16, 20])
+def test_random_strings_of_every_alphabet_are_found(spark, weights, kind, length):
+    rng = random.Random(length)
+    strings = ["".join(rng.choices(secrets.RANDOM[kind], k=length)) for _ in range(200)]
+    rows_ = spark.createDataFrame([(s,) for s in strings], "s string")
+    assert rows_.where(secrets.log_ratio(F.col("s"), weights) >= secrets.THRESHOLD).count() >= 180
+
+
+def test_columns_of_any_name_stay(spark, weights):
+    df = docs(spark, ["token=abcdefgh"]).withColumns({f"secret_{k}": F.lit(k) for k in secrets.KINDS})
+    row = secrets.scan(df, weights=weights).first()
+    assert [row[f"secret_{k}"] for k in secrets.KINDS] == list(secrets.KINDS) and len(row.secret_spans) == 1
+
+
 def test_masked_text(spark, weights):
     texts = ["a token = abcdef0123 b", "none", "", f"x {HIDDEN[0]} y AKIA" + "B" * 16]
     found = secrets.scan(docs(spark, texts), weights=weights)
