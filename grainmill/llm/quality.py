@@ -1,13 +1,15 @@
 """Quality rules: documents far from their language's and source's robust centre are rejected.
 
 Each document gives a vector of transformed statistics. For every language and source a
-minimum-covariance-determinant estimate is made by concentration steps: from a start at the
-medians, the share ``h`` of the documents nearest to the centre gives the next mean and
-covariance, and so on. The covariance is scaled so that the median squared distance is that of a
-normal sample, and documents beyond a squared Mahalanobis distance of ``CUT`` are rejected.
+minimum-covariance-determinant estimate is made by concentration steps: the share ``h`` of the
+documents nearest to the centre gives the next mean and covariance, until no determinant falls any
+more. Several stated starts go side by side, and the least determinant is kept. The covariance is
+scaled so that the median squared distance is that of a normal sample, and documents beyond a
+squared Mahalanobis distance of ``CUT`` are rejected.
 
 Everything is DataFrame expressions. Groups of any size meet in partial sums and mergeable
-quantile sketches only, and their estimates come back in a join whose hot keys Spark can split.
+quantile sketches only. Rows meet their group's estimate by group and piece: each row has one of
+``PIECES`` numbers, so a group that holds most rows is spread over as many tasks.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from grainmill.session import materialise
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 H = 0.75  # share of a group that its estimate is made from
-STEPS = 5  # concentration steps
+STEPS = 10  # concentration steps at most; a determinant that no longer falls ends them sooner
+PIECES = 16  # into which the rows of every group are cut where they meet its estimate
 MIN_GROUP = 100  # a source with fewer documents shares an estimate with other small ones
 MEDIAN_CHI2 = 4.3515  # of five degrees of freedom
 CUT = 27.0  # squared distance; a normal sample passes it six times in 100,000
@@ -31,6 +34,8 @@ ACCURACY = 5_000  # of quantiles: an error of one in so many ranks
 # Least spread of each statistic, added to the covariance: differences of this size are never odd.
 FLOORS = {"word_length": 0.06, "symbols": 0.05, "capitals": 0.05, "dup_lines": 0.08, "repeats": 0.12}
 STATS = list(FLOORS)
+PIECE = "quality_piece"
+EVERY = "every"  # the group of rows that only the estimate over the whole table can judge
 FACTOR = [f"w_{i}_{j}" for i in range(len(STATS)) for j in range(i + 1)]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -102,36 +107,42 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _meet(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` (with a piece number) joined with ``table``, whose rows are repeated for each piece."""
+    pieces = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1)))
+    return rows.join(table.withColumn(PIECE, pieces), [*keys, PIECE], how)
+
+
 def _grouped(stats: DataFrame, group: str) -> DataFrame:
     """``stats`` with the ``group`` whose estimate holds for each row: its language and source,
-    the small sources of its language together, or all small languages together."""
+    the small sources of its language together, all small languages together, or every row."""
     sizes = stats.where(~F.col("base_failed")).groupBy("g_lang", "g_source").count()
     small = F.col("count") < MIN_GROUP
     sizes = sizes.withColumn("own", F.when(small, None).otherwise(F.to_json(F.struct("g_lang", "g_source"))))
-    pool = sizes.where("own IS NULL").groupBy("g_lang").agg((F.sum("count") < MIN_GROUP).alias("few"))
-    # Stored, so that the planner knows how small it is: a hot source is then not shuffled to one task.
+    pool = sizes.where("own IS NULL").groupBy("g_lang").agg((F.sum("count") < MIN_GROUP).alias("few"), F.sum("count").alias("pooled"))
+    left = pool.where("few").agg((F.sum("pooled") < MIN_GROUP).alias("b")).first()["b"]
+    rest = F.lit(EVERY if left else "all")
     named = sizes.join(pool, "g_lang", "left").select(
         "g_lang",
         "g_source",
-        F.coalesce("own", F.when(F.col("few"), "all").otherwise(F.to_json(F.struct("g_lang")))).alias(group),
+        F.coalesce("own", F.when(F.col("few"), rest).otherwise(F.to_json(F.struct("g_lang")))).alias(group),
     )
     named = materialise(named, "quality-groups")
-    return stats.join(named, ["g_lang", "g_source"], "left").drop("g_lang", "g_source")
+    return _meet(stats, named, ["g_lang", "g_source"], "left").drop("g_lang", "g_source")
 
 
 def _x(name: str) -> Column:
     return F.col(f"stat_{name}")
 
 
-def _sums(rows: DataFrame, group: str) -> DataFrame:
-    """Mean and covariance of each group, with the floors, as its centre and inverse factor.
+def _sums(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Mean and covariance of each group, with the floors, as its centre, inverse factor and determinant.
 
     Sums are of differences from ``c_*``, a point near the centre, so that little cancels.
     """
     diff = {a: _x(a) - F.col(f"c_{a}") for a in STATS}
     pairs = [(a, b) for i, a in enumerate(STATS) for b in STATS[: i + 1]]
-    made = rows.groupBy(group).agg(
-        F.count("*").alias("n"),
+    made = rows.groupBy(*keys).agg(
         *[F.first(f"c_{a}").alias(f"c_{a}") for a in STATS],
         *[F.avg(diff[a]).alias(f"m_{a}") for a in STATS],
         *[F.avg(diff[a] * diff[b]).alias(f"v_{a}_{b}") for a, b in pairs],
@@ -146,7 +157,11 @@ def _sums(rows: DataFrame, group: str) -> DataFrame:
     )
     made = made.withColumns({f"c_{a}": F.col(f"c_{a}") + F.col(f"m_{a}") for a in STATS})
     made = _inverse_factor(made)
-    return made.select(group, *[f"c_{a}" for a in STATS], *[F.col(w) for w in FACTOR])
+    return made.select(*keys, *[f"c_{a}" for a in STATS], *FACTOR, _log_determinant().alias("log_det"))
+
+
+def _log_determinant() -> Column:
+    return -2.0 * total([F.log(f"w_{i}_{i}") for i in range(len(STATS))])
 
 
 def total(parts: list[Column]) -> Column:
@@ -181,56 +196,90 @@ def squared_distance() -> Column:
     )
 
 
-def estimates(stats: DataFrame, group: str) -> DataFrame:
-    """(group, centre c_*, factor w_*, scale) of each group of ``stats``, from rows not base_failed."""
-    used = stats.where(~F.col("base_failed") & F.col(group).isNotNull()).select(group, *[f"stat_{a}" for a in STATS])
-    start = used.groupBy(group).agg(*[F.percentile_approx(f"stat_{a}", 0.5, ACCURACY).alias(f"c_{a}") for a in STATS])
-    start = materialise(start, "quality-medians")
-    spread = used.join(start, group).groupBy(group).agg(
-        *[F.percentile_approx(F.abs(_x(a) - F.col(f"c_{a}")), 0.5, ACCURACY).alias(f"d_{a}") for a in STATS]
-    )
+def _nearest(scored: DataFrame, keys: list[str], distance: str) -> DataFrame:
+    """The rows of each group at most as far as the share ``H`` of them."""
+    edge = scored.groupBy(*keys).agg(F.percentile_approx(distance, H, ACCURACY).alias("edge"))
+    return _meet(scored, materialise(edge, "quality-edge"), keys).where(F.col(distance) <= F.col("edge"))
+
+
+def _starts(used: DataFrame, group: str) -> DataFrame:
+    """(group, start, centre, factor, log_det): medians with their median deviations, all rows, and the rows
+    near the medians in every statistic."""
+    middle = used.groupBy(group).agg(*[F.percentile_approx(f"stat_{a}", 0.5, ACCURACY).alias(f"c_{a}") for a in STATS])
+    placed = _meet(used, materialise(middle, "quality-medians"), [group])
+    off = [F.percentile_approx(F.abs(_x(a) - F.col(f"c_{a}")), 0.5, ACCURACY).alias(f"d_{a}") for a in STATS]
+    spread = placed.groupBy(group).agg(*[F.first(f"c_{a}").alias(f"c_{a}") for a in STATS], *off)
     diagonal = [
         (1.0 / (1.4826 * F.col(f"d_{a}") + FLOORS[a]) if i == j else F.lit(0.0)).alias(f"w_{i}_{j}")
         for i, a in enumerate(STATS)
         for j in range(i + 1)
     ]
-    now = materialise(
-        start.join(spread, group).select(group, *[f"c_{a}" for a in STATS], *diagonal), "quality-start"
-    )
+    first = spread.select(group, *[f"c_{a}" for a in STATS], *diagonal).withColumn("log_det", _log_determinant())
+    first = materialise(first, "quality-start")
+    scored = _meet(used, first.drop("log_det"), [group])
+    worst = F.greatest(*[F.abs(_x(a) - F.col(f"c_{a}")) * F.col(f"w_{i}_{i}") for i, a in enumerate(STATS)])
+    near = _nearest(scored.withColumn("worst", worst), [group], "worst")
+    starts = [first, _sums(placed, [group]), _sums(near, [group])]
+    return reduce(DataFrame.unionByName, [s.withColumn("start", F.lit(i)) for i, s in enumerate(starts)])
+
+
+def estimates(stats: DataFrame, group: str) -> DataFrame:
+    """(group, centre c_*, factor w_*, log_det, scale) of each group of ``stats``, from rows not base_failed.
+
+    A group named ``EVERY`` has the estimate over all rows.
+    """
+    used = stats.where(~F.col("base_failed") & F.col(group).isNotNull()).select(group, PIECE, *[f"stat_{a}" for a in STATS])
+    if not used.where(F.col(group) == EVERY).isEmpty():
+        used = used.where(F.col(group) != EVERY).unionByName(used.withColumn(group, F.lit(EVERY)))
+    keys = [group, "start"]
+    now, before = materialise(_starts(used, group), "quality-start"), None
     for _ in range(STEPS):
-        scored = used.join(now, group).withColumn("d2", squared_distance())
-        edge = scored.groupBy(group).agg(F.percentile_approx("d2", H, ACCURACY).alias("edge"))
-        near = scored.join(materialise(edge, "quality-edge"), group).where("d2 <= edge")
-        now = materialise(_sums(near, group), "quality-step")
-    scored = used.join(now, group).withColumn("d2", squared_distance())
+        scored = _meet(used, now.drop("log_det"), [group]).withColumn("d2", squared_distance())
+        now = materialise(_sums(_nearest(scored, keys, "d2"), keys), "quality-step")
+        # One number reaches the driver: how much the determinants of all groups and starts have left to fall.
+        fallen = now.agg(F.sum("log_det"), F.count("*")).first()
+        if before is not None and before - (fallen[0] or 0.0) < 1e-9 * fallen[1]:
+            break
+        before = fallen[0] or 0.0
+    best = now.groupBy(group).agg(F.min_by(F.struct(*[c for c in now.columns if c not in keys]), F.struct("log_det", "start")).alias("b"))
+    best = materialise(best.select(group, "b.*"), "quality-best")
+    scored = _meet(used, best, [group]).withColumn("d2", squared_distance())
     scale = scored.groupBy(group).agg(
         F.count("*").alias("n"), (F.percentile_approx("d2", 0.5, ACCURACY) / MEDIAN_CHI2).alias("scale")
     )
     scale = scale.where(F.col("n") >= MIN_GROUP).drop("n")
-    return materialise(now.join(scale, group), "quality-estimates")
+    return materialise(best.join(scale, group), "quality-estimates")
 
 
 def judge(stats: DataFrame, lang: str = "lang", source: str = "source", cut: float = CUT) -> DataFrame:
     """Rows of ``measured`` (stored, as they are read several times) with ``distance`` and ``kept``.
 
     ``distance`` is the squared Mahalanobis distance, null where the row failed the base rules
-    and no estimate covers it. A null language or source is a value of its own. Fewer than
-    ``MIN_GROUP`` documents in all give no estimate worth having: those pass if the base rules do.
-    The scale never shrinks a distance's unit below one, so a group of near-equal documents
-    rejects no more than the floors say.
+    and no estimate covers it. A null language or source is a value of its own. Small sources share
+    the estimate of their language's small sources, small languages that of all small ones or, where those
+    are few as well, that of the whole table. Fewer than ``MIN_GROUP`` documents in the whole table give no
+    estimate worth having: those pass if the base rules do. The scale never shrinks a distance's unit
+    below one, so a group of near-equal documents rejects no more than the floors say. Other columns stay,
+    whatever their names.
     """
     columns = [c for c in stats.columns if c.lower() not in ("kept", "distance")]
-    group = fresh(stats, "quality_group")
+    group = "quality_group"
     keyed = stats.select(
-        *columns, F.coalesce(lang, F.lit("")).alias("g_lang"), F.coalesce(source, F.lit("")).alias("g_source")
+        F.struct(*columns).alias("quality_row"),
+        "base_failed",
+        *[f"stat_{a}" for a in STATS],
+        F.coalesce(lang, F.lit("")).alias("g_lang"),
+        F.coalesce(source, F.lit("")).alias("g_source"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(PIECES)).cast("int").alias(PIECE),
     )
     keyed = _grouped(keyed, group)
     made = estimates(keyed, group)
-    scored = keyed.join(made, group, "left").withColumn(
+    scored = _meet(keyed, made, [group], "left").withColumn(
         "distance", squared_distance() / F.greatest("scale", F.lit(1.0))
     )
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cut)
-    return scored.withColumn("kept", kept).select(*columns, "distance", "kept")
+    own = [F.col("quality_row").getField(c).alias(c) for c in columns]
+    return scored.select(*own, "distance", kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cut: float = CUT) -> DataFrame:

@@ -7,6 +7,7 @@ from edges import frame, rows, words
 from pyspark.sql import functions as F
 
 from grainmill.llm import quality
+from grainmill.session import materialise
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,7 +66,7 @@ def test_estimate_is_the_minimum_determinant_one(spark):
     """The final estimate is a fixed point: mean and covariance of its own nearest share."""
     clean, junk, _ = clean_and_junk()
     docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
-    stats = quality.measured(docs).withColumn("group", F.lit("g")).cache()
+    stats = quality.measured(docs).withColumns({"group": F.lit("g"), quality.PIECE: F.lit(0)}).cache()
     made = quality.estimates(stats, "group").first()
     x = np.array([[r[f"stat_{a}"] for a in quality.STATS] for r in stats.where("NOT base_failed").collect()])
     centre = np.array([made[f"c_{a}"] for a in quality.STATS])
@@ -81,6 +82,65 @@ def test_estimate_is_the_minimum_determinant_one(spark):
     stats.unpersist()
 
 
+def plain_estimate(x):
+    """Centre, covariance and log determinant of the best of the stated starts, by exact sorting."""
+    floors = np.array(list(quality.FLOORS.values()))
+
+    def rank(values, share):
+        return np.sort(values, axis=0)[max(0, int(np.ceil(share * len(values))) - 1)]
+
+    def of(rows):
+        return rows.mean(axis=0), np.cov(rows.T, bias=True) + np.diag(floors**2)
+
+    middle = rank(x, 0.5)
+    spread = 1.4826 * rank(np.abs(x - middle), 0.5) + floors
+    worst = (np.abs(x - middle) / spread).max(axis=1)
+    starts = [(middle, np.diag(spread**2)), of(x), of(x[worst <= rank(worst, quality.H)])]
+    found = []
+    for centre, v in starts:
+        for _ in range(quality.STEPS):
+            d2 = np.einsum("ni,ij,nj->n", x - centre, np.linalg.inv(v), x - centre)
+            centre, v = of(x[d2 <= rank(d2, quality.H)])
+        found.append((np.linalg.slogdet(v)[1], centre, v))
+    return min(found, key=lambda f: f[0])
+
+
+def test_verdicts_against_a_plain_estimate(spark):
+    """Groups of one source, of a language's small sources, of small languages, and every row for the rest."""
+    def odd(i, text):
+        return text if i % 9 else " ".join(w + "$#" * (i % 4) for w in text.split())
+
+    data = [(i, odd(i, words(i, 70 + i % 50)), "en", "big" if i % 3 else f"s{i % 12}") for i in range(360)]
+    data += [(400 + i, odd(i, words(900 + i, 60 + i)), "fr", f"t{i % 3}") for i in range(120)]
+    data += [(600 + i, odd(i, words(990 + i, 60 + i)), f"l{i % 2}", None) for i in range(30)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(4)
+    stats = materialise(quality.measured(docs).drop("text").withColumns({c: F.lit(1) for c in ("c_symbols", "w_0_0", "scale", "edge", "d2")}), "t")
+    judged = {r.doc_id: r for r in quality.judge(stats).collect()}
+    assert {r.scale for r in judged.values()} == {1}
+    rows_ = {r.doc_id: r for r in stats.collect()}
+    x = {k: np.array([r[f"stat_{a}"] for a in quality.STATS]) for k, r in rows_.items()}
+    used = [k for k, r in rows_.items() if not r.base_failed]
+    groups = {"big": [k for k in used if rows_[k].source == "big"], "en": [], "fr": [], "rest": []}
+    for k in used:
+        if rows_[k].source != "big":
+            groups[rows_[k].lang if rows_[k].lang in ("en", "fr") else "rest"].append(k)
+    assert len(groups["rest"]) < quality.MIN_GROUP < len(groups["en"])
+    rejected = 0
+    for name, own in groups.items():
+        base = np.array([x[k] for k in (used if name == "rest" else own)])
+        _, centre, v = plain_estimate(base)
+        inverse = np.linalg.inv(v)
+        d2 = {k: (x[k] - centre) @ inverse @ (x[k] - centre) for k in own}
+        every = np.einsum("ni,ij,nj->n", base - centre, inverse, base - centre)
+        scale = max(1.0, np.sort(every)[int(np.ceil(0.5 * len(every))) - 1] / quality.MEDIAN_CHI2)
+        for k in own:
+            assert judged[k].distance == pytest.approx(d2[k] / scale, rel=0.02, abs=0.02), (name, k)
+            assert judged[k].kept == (judged[k].distance <= quality.CUT)
+            rejected += not judged[k].kept
+    assert rejected > 10
+    assert all(not judged[k].kept for k, r in rows_.items() if r.base_failed)
+
+
 def test_edge_rows(spark):
     docs = frame(spark)
     kept = quality.keep_good(docs)
