@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from grainmill.session import materialise
 
@@ -41,43 +41,22 @@ def shard(key: Column, shards: int) -> Column:
 
 
 def with_slots(rows: DataFrame, key: str, slot_rows: int = SLOT_ROWS) -> DataFrame:
-    """``rows`` (columns shard and ``key``, in stored files) with ``slot``: 0, 1, ... in each shard, by key.
+    """``rows`` (stored, columns shard, ``key`` and ``uid``) with ``slot``: 0, 1, ... in each shard, by key.
 
-    Rows are numbered within ranges of the key, and each range begins where those before it in
-    its shard end. Range ends are quantiles of the key, each a range of its own: a key that very
-    many rows share is one of them, and its rows, which are in no order among themselves, are
-    also dealt by the part of the input they were read from. So no task gets many more than
-    ``slot_rows`` rows. Null keys count as the smallest.
+    Rows are dealt by ranges of (shard, key, uid) and stored, so a key that very many rows share is
+    cut by ``uid``. They are numbered within a range, and each range begins where those before it in its
+    shard end: a sum over one row per range and shard. No task gets many more than ``slot_rows`` rows. Null
+    keys come first.
     """
-    n = rows.count()
-    pieces = max(1, math.ceil(n / slot_rows))
-    cuts = rows.agg(F.percentile_approx(key, [i / pieces for i in range(1, pieces)] or [0.5], 10 * pieces)).first()[0]
-    cuts = sorted(set(cuts or []))
-    # 2i + 1 for a key that is the i-th range end, 2i for one between the ends; -1 for null.
-    below = sum((F.when(F.col(key) > c, 2).when(F.col(key) == c, 1).otherwise(0) for c in cuts), F.lit(0))
-    if len(cuts) > 64:
-        below = _place(F.col(key), cuts)
-    area = F.when(F.col(key).isNull(), -1).otherwise(below)
-    rows = rows.withColumn("area", area).withColumn(
-        "part", F.when(F.pmod("area", F.lit(2)) == 1, F.spark_partition_id()).otherwise(-1)
-    )
-    group = ["shard", "area", "part"]
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy("shard").orderBy("area", "part").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select(*group, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first"))
-    own = F.row_number().over(Window.partitionBy(*group).orderBy(key)) - 1
-    return rows.withColumn("own", own).join(first, group).withColumn("slot", F.col("first") + F.col("own"))
-
-
-def _place(key: Column, cuts: list[int]) -> Column:
-    ends = np.array(cuts, np.int64)
-
-    @F.arrow_udf("int")
-    def place(keys: pa.Array) -> pa.Array:
-        x = keys.fill_null(0).to_numpy()
-        return pa.array((np.searchsorted(ends, x, "left") + np.searchsorted(ends, x, "right")).astype(np.int32))
-
-    return place(key)
+    parts = max(1, math.ceil(rows.count() / slot_rows))
+    ranged = rows.repartitionByRange(parts, "shard", key, "uid").withColumn("part", F.spark_partition_id())
+    ranged = materialise(ranged, "shard-ranges")
+    sizes = ranged.groupBy("shard", "part").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("shard", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first"))
+    own = F.row_number().over(Window.partitionBy("shard", "part").orderBy(key, "uid")) - 1
+    numbered = ranged.withColumn("own", own).join(first, ["shard", "part"])
+    return numbered.withColumn("slot", F.col("first") + F.col("own"))
 
 
 def assign(
@@ -89,16 +68,20 @@ def assign(
     law is ``key``: the key and the number of shards decide alone, so a rerun or any other order
     of the rows gives the same shards, and rows with equal keys stay together. grown_shard is the
     shard among one more. slot numbers each shard's rows from 0 in order of the key, equal keys
-    in any order. Null keys form one key. Other columns are ignored; no rows give no rows.
+    in any order. Whole numbers are hashed as they are, keys of other types by their 64-bit hash. Null keys
+    form one key. Other columns are ignored; no rows give no rows.
     """
-    docs = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    whole = isinstance(docs.schema[key].dataType, T.IntegralType)
+    number = F.col("key").cast("long") if whole else F.when(F.col("key").isNotNull(), F.xxhash64("key"))
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     octets = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     rows = docs.select(
-        "key",
+        F.col("key").cast("long") if whole else "key",
         (F.octet_length(octets) + 16).cast("long").alias("size"),
         F.crc32(octets).alias("text_crc32"),
-        shard(F.col("key"), shards).alias("shard"),
-        shard(F.col("key"), shards + 1).alias("grown_shard"),
+        shard(number, shards).alias("shard"),
+        shard(number, shards + 1).alias("grown_shard"),
+        F.monotonically_increasing_id().alias("uid"),
     )
     placed = with_slots(materialise(rows, "shards"), "key", slot_rows)
     return placed.select(

@@ -57,6 +57,15 @@ def test_slots_follow_the_key_and_stand_a_hot_one(spark, slot_rows):
         assert keys == sorted(keys)
 
 
+def test_keys_of_text(spark):
+    docs = spark.createDataFrame([(f"id-{i % 50}", f"t{i}") for i in range(120)] + [(None, "x")], "doc_id string, text string")
+    got = sharding.assign(docs, 7).collect()
+    assert len(got) == 121 and all(r.grown_shard in (r.shard, 7) for r in got)
+    assert len({(r.doc_id, r.shard) for r in got}) == 51 and len({r.shard for r in got}) == 7
+    for s in range(7):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
 def test_empty_table(spark):
     assert sharding.assign(frame(spark, []), 40).collect() == []
     with pytest.raises(ValueError):
