@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grainmill.llm.text import fresh
-from grainmill.session import materialise
+from grainmill.session import fits_broadcast, materialise
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -108,7 +108,13 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _meet(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """``rows`` (with a piece number) joined with ``table``, whose rows are repeated for each piece."""
+    """``rows`` (with a piece number) joined with ``table``, whose size the planner knows.
+
+    Under the planner's broadcast limit no row is moved; beyond it the table's rows are repeated for
+    each piece, so that the rows of a hot group go to as many tasks.
+    """
+    if fits_broadcast(table):
+        return rows.join(table, keys, how)
     pieces = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1)))
     return rows.join(table.withColumn(PIECE, pieces), [*keys, PIECE], how)
 
