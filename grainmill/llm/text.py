@@ -7,6 +7,7 @@ Words are runs of bytes other than space and the control characters 9 to 13, whi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SLICE_BYTES = 1 << 20  # text worked on at once inside a task, so that its arrays stay in the cache
 BLOCK = 1 << 17
+LONG_WORD = 64  # bytes, above which a word's hash is no polynomial
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[32, *range(9, 14)]] = True
@@ -108,7 +110,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     """A 64-bit hash of every word, and how many words lie before each row's start.
 
     The hash is a polynomial in the word's bytes modulo 2**64, taken from running sums over
-    blocks of text, then scrambled: two words share it with a probability near 2**-64.
+    blocks of text, then scrambled. Modulo a power of two, words of a very regular structure
+    cancel out once they are some hundred bytes long, so words over ``LONG_WORD`` bytes have a
+    BLAKE2 hash instead. Two words share a hash with a probability near 2**-64.
     """
     starts, ends = word_spans(data, offsets)
     hashes = np.empty(len(starts), np.uint64)
@@ -124,7 +128,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
         s, e = starts[at:to] - begin, ends[at:to] - begin
         hashes[at:to] = (sums[e] - sums[s]) * _power("down", len(block))[s]
         at = to
-    return mixed(hashes), np.searchsorted(starts, offsets)
+    hashes = mixed(hashes)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        word = data[starts[i] : ends[i]]
+        hashes[i] = int.from_bytes(blake2b(_LOWER[word] if lower else word, digest_size=8).digest(), "little")
+    return hashes, np.searchsorted(starts, offsets)
 
 
 def word_hash(word: bytes) -> int:
