@@ -1,8 +1,9 @@
 """An interpolated modified Kneser-Ney language model of word pairs, counted in Spark.
 
 Tokens are lower-cased words and one end per text. Tasks count the pairs of their texts as sorted
-64-bit hashes and send them out by ranges of the first word's hash; a range's task adds them up
-and stores sorted arrays. Pairs of a first word that is very frequent are spread over all ranges.
+64-bit hashes and send them out by ranges of the first word's hash, then of the pair's; a range's
+task adds them up and stores sorted arrays. Pairs of a first word that is very frequent are spread
+over all ranges.
 A second exchange, of what is known of single words, gives each word's count, the words it was
 seen after, and what follows it. Scoring tasks map the arrays into memory and find their texts'
 pairs by binary search.
@@ -27,6 +28,7 @@ from grainmill.llm.text import flat, mixed, slices, word_hashes
 from grainmill.session import scratch_path
 
 BUCKET_BYTES = 16 << 20  # of text for each range of hashes
+FIRST_BITS = 12  # of a range's number at most that the first word decides
 RUN_TOKENS = 3 << 20  # tokens counted together in a task
 SCORE_BYTES = 2 << 20  # of text looked up together
 END, BEGIN = (int(x) for x in mixed(np.arange(1, 3, dtype=np.uint64)))  # stand for no word
@@ -37,7 +39,8 @@ COUNTS = ("count", "after", "total", "n1", "n2", "n3")  # of a word: itself, wor
 class Model:
     folder: str
     bits: int  # there are 2**bits ranges
-    hot: tuple[int, ...]  # first words whose pairs are spread
+    first_bits: int
+    hot: tuple[int, ...]  # first words whose pairs are spread, 8 << first_bits at most
     tokens: int
     words: int
     pair_discounts: tuple[float, float, float]
@@ -63,12 +66,19 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mixed(first * np.uint64(0x9E3779B97F4A7C15) ^ second)
 
 
-def route(first: np.ndarray, pair: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """What decides the range that holds a pair: its first word, or all of it where that is hot."""
+def route(first: np.ndarray, pair: np.ndarray, hot: np.ndarray, first_bits: int = FIRST_BITS) -> np.ndarray:
+    """What decides the range that holds a pair: ``first_bits`` of its first word, then the pair.
+
+    Where the first word is hot the pair decides alone. A word is hot above a share of all
+    tokens that does not fall with the ranges, so the hot words do not grow with the corpus: the
+    pairs of any other word are dealt over all ranges that share its leading bits.
+    """
+    low = np.uint64((1 << (64 - first_bits)) - 1)
+    mostly = (first & ~low) | (pair & low)
     if not len(hot):
-        return first
+        return mostly
     place = np.minimum(np.searchsorted(hot, first), len(hot) - 1)
-    return np.where(hot[place] == first, pair, first)
+    return np.where(hot[place] == first, pair, mostly)
 
 
 def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -107,7 +117,7 @@ def _frequent(share: float):
     return count
 
 
-def _count_pairs(bits: int, hot: np.ndarray):
+def _count_pairs(bits: int, hot: np.ndarray, first_bits: int):
     """A row for each range: its pairs by first word, whose hash comes once, with how many follow."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +128,7 @@ def _count_pairs(bits: int, hot: np.ndarray):
             one = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
             n = np.diff(np.append(one, len(pair)))
             first, second, pair = first[order[one]], second[order[one]], pair[one]
-            bucket = _bucket(route(first, pair, hot), bits)
+            bucket = _bucket(route(first, pair, hot, first_bits), bits)
             order = np.argsort(first, kind="stable")
             order = order[np.argsort(bucket[order], kind="stable")]
             yield from _blobs("pair", bucket[order], first=first[order], second=second[order], n=n[order])
@@ -274,28 +284,33 @@ def discounts(n: tuple[int, ...]) -> tuple[float, float, float]:
     return (0.5, 1.0, 1.5)
 
 
-def train(docs: DataFrame, text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> Model:
+def train(
+    docs: DataFrame, text: str = "text", bucket_bytes: int = BUCKET_BYTES, first_bits: int = FIRST_BITS
+) -> Model:
     """Count and store a model of all texts; null ones count as empty, which still have an end.
 
     The number of ranges follows the size of the texts. To the driver come that size, sums over
-    the ranges, and the most frequent words, at most eight for each range. A word that makes up
-    a quarter of a range's share of all tokens is among them: it has half of that share in
-    enough of the tasks' runs.
+    the ranges, and the most frequent words, at most eight for each range and ``8 << first_bits``
+    in a corpus of any size. A word that makes up a quarter of the share of all tokens that one
+    value of the leading bits has is among them: it has half of that share in enough of the
+    tasks' runs.
     """
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, size / bucket_bytes)))))
-    found = texts.mapInArrow(_frequent(1 / (8 << bits)), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "word").limit(8 << bits).collect()
+    most = 8 << min(bits, first_bits)
+    found = texts.mapInArrow(_frequent(1 / most), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = found.orderBy(F.desc("n"), "word").limit(most).collect()
     hot = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
     folder = scratch_path(docs.sparkSession, "kn-model")
-    pairs = texts.mapInArrow(_count_pairs(bits, hot), BLOB)
+    pairs = texts.mapInArrow(_count_pairs(bits, hot, first_bits), BLOB)
     words = pairs.groupBy("bucket").applyInArrow(_pair_range(folder, bits), BLOB)
     said = words.groupBy("kind", "bucket").applyInArrow(_word_range(folder), ", ".join(f"{k} long" for k in SAID))
     n = said.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in SAID]).first()
     return Model(
         folder,
         bits,
+        first_bits,
         tuple(int(h) for h in hot),
         n["tokens"],
         n["words"],
@@ -344,7 +359,7 @@ class Arrays:
         pair, back = np.unique(pair_hash(first, second), return_inverse=True)
         one = np.empty(len(pair), np.int64)
         one[back] = np.arange(len(back))
-        n = self.find("pair", "count", pair, route(first[one], pair, self.hot), 1)[back, 0]
+        n = self.find("pair", "count", pair, route(first[one], pair, self.hot, m.first_bits), 1)[back, 0]
 
         less = np.array([0.0, *m.word_discounts])
         after = own[:, COUNTS.index("after")]

@@ -77,6 +77,16 @@ def test_scores_equal_the_plain_model(spark, bucket):
         assert tuple(r.s) == pytest.approx(plain.expect(TEST[r.doc_id]), rel=1e-9)
 
 
+@pytest.mark.parametrize("first_bits", [0, 2])
+def test_hot_words_do_not_follow_the_ranges(spark, first_bits):
+    plain = Plain(TRAIN)
+    model = kneser_ney.train(docs(spark, TRAIN).repartition(5), bucket_bytes=100, first_bits=first_bits)
+    assert model.bits >= 5 and len(model.hot) <= 8 << first_bits
+    scored = docs(spark, TEST).select("doc_id", kneser_ney.score(F.col("text"), model).alias("s"))
+    for r in scored.collect():
+        assert tuple(r.s) == pytest.approx(plain.expect(TEST[r.doc_id]), rel=1e-9)
+
+
 def test_probabilities_of_all_words_sum_to_one():
     plain = Plain(TRAIN)
     for u in (b"the", b"\t", b"never seen"):
