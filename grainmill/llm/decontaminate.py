@@ -6,7 +6,9 @@ items have it. Documents are searched for these seeds; the words around a seed,
 alignment of its item can reach, form a passage, and the passage is aligned with each item whose
 seed it holds (Smith-Waterman over words), which finds edited and partly paraphrased copies too.
 Items of equal words are aligned once. Seeds that the same items have are one class, so a text
-that many items share joins its passages to them once and not once for each of its seeds.
+that many items share joins its passages to them once and not once for each of its seeds. A
+passage meets the items of a shared class only over a word of each item's rarer part, without
+which no alignment could score enough: a phrase of all items pairs nobody by itself.
 
 Words are compared lower-cased (A-Z) by 64-bit hashes.
 """
@@ -27,6 +29,8 @@ RARE = 1e-8
 MIN_SEEDS = 3  # an item with fewer rare n-grams uses its rarest others too
 STRETCH = 16  # n-grams of an item, the rarest of which is a seed whether rare or not
 SIMILARITY = 0.5
+QUOTE = 50  # score that is enough for an item of any length, if it comes from nearly equal words
+QUOTE_IDENTITY = 0.7  # score over the document's words that such a quote covers: 8 in 10 of them equal
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 FILTER_BITS = 25  # of the set of seeds that tasks test words against: 4 MB, whatever the benchmark's size
 REACH_BITS = 18  # of the tables of how far the seeds' items reach: 2 MB
@@ -117,8 +121,9 @@ def _counted(marks):
     return count
 
 
-def seeds(items: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(gram, item, before, after) of the seeds of ``items`` (item, words, grams), given the corpus' texts.
+def seeds(items: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(gram, item, before, after) of the seeds of ``items`` (item, words, grams), given the corpus' texts,
+    and (word, log_p), the corpus' share of each of the items' words.
 
     These are the rare n-grams, the rarest of every ``STRETCH`` and the ``MIN_SEEDS`` rarest.
     An alignment through a seed that scores ``similarity`` reaches at most ``before`` words of a
@@ -133,6 +138,7 @@ def seeds(items: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
     total = counts.where("word IS NULL").select("n").first()
     log_p = F.log10((F.coalesce("n", F.lit(0)) + 1) / ((total[0] if total else 0) + 1))
     scored = words.join(counts.where("word IS NOT NULL"), "word", "left").select("item", "at", log_p.alias("log_p"))
+    share = counts.where("word IS NOT NULL").select("word", log_p.alias("log_p"))
     ahead = Window.partitionBy("item").orderBy("at").rowsBetween(0, N - 1)
     scored = scored.withColumn("log_p", F.sum("log_p").over(ahead))
     gram = items.select("item", F.size("words").alias("size"), F.posexplode("grams").alias("at", "gram"))
@@ -141,11 +147,11 @@ def seeds(items: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) ->
     local = Window.partitionBy("item", F.floor(F.col("at") / STRETCH)).orderBy("log_p", "gram", "at")
     ranked = gram.withColumns({"rank": F.row_number().over(rarest), "local": F.row_number().over(local)})
     wanted = (F.col("log_p") < float(np.log10(RARE))) | (F.col("rank") <= MIN_SEEDS) | (F.col("local") == 1)
-    skipped = F.ceil(F.col("size") * (max(0.0, 1 - similarity) / -GAP))
+    skipped = F.ceil(F.col("size") * max((1 - similarity) / -GAP, (1 - QUOTE_IDENTITY) / -GAP))
     chosen = ranked.where(wanted).groupBy("gram", "item").agg(
         F.max(F.col("at") + skipped).alias("before"), F.max(F.col("size") - N - F.col("at") + skipped).alias("after")
     )
-    return materialise(chosen, "seeds")
+    return materialise(chosen, "seeds"), share
 
 
 def seed_classes(seed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -158,7 +164,51 @@ def seed_classes(seed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return held, first.join(seed, "gram").select("class", F.col("item").alias("row"))
 
 
-PASSAGE = "doc long, first long, words binary, hits array<long>"
+def least(size, threshold: float):
+    """Words of an item of ``size`` words that an alignment has to match at least."""
+    return np.minimum(threshold * size, QUOTE)
+
+
+def needed_words(items: DataFrame, share: DataFrame, similarity: float) -> DataFrame:
+    """(row, word): the rarer words of each item, one of which a passage has to hold.
+
+    An alignment matches ``least`` of an item's words, so it cannot do without all of the others
+    and one more; these are taken to be the item's rarest, by their share of the corpus.
+    """
+    words = items.select("row", F.size("words").alias("size"), F.posexplode("words").alias("at", "word"))
+    words = words.join(share, "word", "left")
+    rarest = Window.partitionBy("row").orderBy(F.col("log_p").asc_nulls_first(), "word", "at")
+    spare = F.col("size") - F.ceil(F.least(F.col("size") * similarity, F.lit(float(QUOTE))) - 1e-6)
+    ranked = words.withColumn("rank", F.row_number().over(rarest))
+    return ranked.where(F.col("rank") <= spare + 1).select("row", "word").distinct()
+
+
+def candidates(
+    hits: DataFrame, class_of: DataFrame, members: DataFrame, words: DataFrame, needed: DataFrame
+) -> DataFrame:
+    """(passage, row, seeds): the items each passage is aligned with, and how many of their seeds it has.
+
+    ``hits`` (passage, gram) and ``words`` (passage, word) are what the passages hold. A class of
+    one item pairs its passages at once; from a class of more, a passage meets those items only
+    that need a word it has. What is left out could not be reported.
+    """
+    held = hits.join(class_of, "gram").groupBy("passage", "class").agg(F.count("*").alias("n"))
+    sizes = members.groupBy("class").agg(F.count("*").alias("items"))
+    held = materialise(held.join(sizes, "class"), "passage-classes")
+    single = held.where("items = 1").join(members, "class").select("passage", "row", "n")
+    shared = held.where("items > 1")
+    wanted = members.join(sizes.where("items > 1").select("class"), "class").join(needed, "row")
+    met = (
+        shared.join(words, "passage")
+        .join(wanted, ["class", "word"])
+        .select("passage", "class", "n", "row")
+        .distinct()
+        .select("passage", "row", "n")
+    )
+    return single.union(met).groupBy("passage", "row").agg(F.sum("n").alias("seeds"))
+
+
+PASSAGE = "first long, words binary, each array<long>, hits array<long>"
 
 
 def _passages(marks, far):
@@ -184,13 +234,16 @@ def _passages(marks, far):
                 edge = np.flatnonzero(new)
                 for lo, hi in zip(edge, np.append(edge[1:], len(hit))):
                     d, first, last = int(doc[lo]), int(start[lo]), int(end[hi - 1])
-                    key = keys[row + d].as_py()
-                    out.append((key, first - int(at[d]), words[first:last].tobytes(), np.unique(gram[hit[lo:hi]]).view(np.int64)))
+                    each = np.unique(words[first:last]).view(np.int64)
+                    hits = np.unique(gram[hit[lo:hi]]).view(np.int64)
+                    out.append((row + d, first - int(at[d]), words[first:last].tobytes(), each, hits))
                 row += len(part)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            columns = zip(*out) if out else ([], [], [], [])
+            longs = pa.list_(pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), longs, longs)
+            columns = zip(*out) if out else ([], [], [], [], [])
+            rows, *columns = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["doc", "first", "words", "hits"]
+                [keys.take(rows), *columns], names=["doc", "first", "words", "each", "hits"]
             )
 
     return find
@@ -235,7 +288,8 @@ def _align_rows(threshold: float):
             item = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column("packed")]
             text = [np.frombuffer(x.as_py(), np.uint64) for x in batch.column("words")]
             # An item word matches once at most, so its words in the passage bound the score.
-            able = [i for i in range(len(item)) if np.isin(item[i], text[i]).sum() >= threshold * len(item[i]) - 1e-6]
+            bound = [least(len(x), threshold) for x in item]
+            able = [i for i in range(len(item)) if np.isin(item[i], text[i]).sum() >= bound[i] - 1e-6]
             order = sorted(able, key=lambda i: (len(text[i]), len(item[i])))
             keep, score, start, stop = [], [], [], []
             at = 0
@@ -247,15 +301,18 @@ def _align_rows(threshold: float):
                 a, sizes = _padded([item[i] for i in mine])
                 best, end = align(a, sizes, *_padded([text[i] for i in mine]))
                 near = best / np.maximum(sizes, 1)
-                good = [k for k in range(len(mine)) if near[k] >= threshold]
+                good = [k for k in range(len(mine)) if near[k] >= threshold or best[k] >= QUOTE]
                 if good:  # the same alignment from its end gives where it starts
                     a, sizes = _padded([item[mine[k]] for k in good], flip=True)
                     b, lengths = _padded([text[mine[k]][: end[k] + 1] for k in good], flip=True)
                     _, back = align(a, sizes, b, lengths)
-                    keep += [mine[k] for k in good]
-                    score += [float(near[k]) for k in good]
-                    stop += [int(end[k]) + 1 for k in good]
-                    start += [int(end[k]) - int(x) for k, x in zip(good, back)]
+                    for k, covered in zip(good, back):
+                        if near[k] < threshold and best[k] < QUOTE_IDENTITY * (int(covered) + 1):
+                            continue
+                        keep.append(mine[k])
+                        score.append(float(near[k]))
+                        stop.append(int(end[k]) + 1)
+                        start.append(int(end[k]) - int(covered))
                 at = to
             first = batch.column("first").to_numpy(zero_copy_only=False)[keep] if keep else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -284,6 +341,10 @@ def leaks(
 ) -> DataFrame:
     """One row per document and test item whose best alignment scores ``similarity`` or more.
 
+    The score is taken over the item's words. An alignment of a lower share counts too if it
+    scores ``QUOTE`` or more and ``QUOTE_IDENTITY`` of the document's words that it covers: a long
+    quote of part of a longer item. ``key`` and ``item`` may have any type that can be grouped.
+
     Columns: ``key``, ``item``, seeds (different seeds in the passage), similarity (alignment
     score over the item's words: 1 for a copy), first_word and end_word (the aligned words of the
     document, from 0, the end exclusive). Rows with equal keys count as one document, whose best
@@ -291,38 +352,38 @@ def leaks(
     values of their own. Null texts and items of fewer than ``N`` words match nothing. Other
     columns are ignored; an empty table on either side gives no rows.
     """
-    named = benchmark.select(F.col(item).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    named = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    item_kind = named.schema["item"].dataType.simpleString()
     named = named.mapInArrow(
-        _word_rows, "item long, packed binary, words array<long>, grams array<long>"
+        _word_rows, f"item {item_kind}, packed binary, words array<long>, grams array<long>"
     ).withColumn("row", F.xxhash64("packed"))
     named = materialise(named, "benchmark")
     items = materialise(named.drop("item").dropDuplicates(["row"]), "benchmark-texts")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
     inner = items.select(F.col("row").alias("item"), "words", "grams")
-    seed = seeds(inner, texts, similarity)
+    seed, share = seeds(inner, texts, similarity)
     spread = docs.sparkSession.sparkContext.broadcast
     marks, far = spread(set_of(seed.select("gram"))), spread(reach_of(seed))
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    found = materialise(rows.mapInArrow(_passages(marks, far), PASSAGE), "passages")
+    rows = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    doc_kind = rows.schema["doc"].dataType.simpleString()
+    found = materialise(rows.mapInArrow(_passages(marks, far), f"doc {doc_kind}, {PASSAGE}"), "passages")
     marks.unpersist()
     far.unpersist()
     passage = found.withColumn("passage", F.xxhash64("doc", "first", "words")).dropDuplicates(["passage"])
     class_of, members = seed_classes(seed)
-    pairs = (
-        passage.select("passage", F.explode("hits").alias("gram"))
-        .join(class_of, "gram")
-        .groupBy("passage", "class")
-        .agg(F.count("*").alias("n"))
-        .join(members, "class")
-        .groupBy("passage", "row")
-        .agg(F.sum("n").alias("seeds"))
+    pairs = candidates(
+        passage.select("passage", F.explode("hits").alias("gram")),
+        class_of,
+        members,
+        passage.select("passage", F.explode("each").alias("word")),
+        needed_words(items, share, similarity),
     )
     pairs = pairs.join(passage.select("passage", "doc", "first", "words"), "passage")
     pairs = pairs.join(items.select("row", "packed"), "row")
     # Batches of about as many rows for every task, however the joins dealt them.
     aligned = pairs.select("doc", "row", "seeds", "first", "words", "packed").mapInArrow(
         _align_rows(similarity),
-        "doc long, row long, seeds long, similarity double, first_word long, end_word long",
+        f"doc {doc_kind}, row long, seeds long, similarity double, first_word long, end_word long",
     )
     aligned = aligned.join(named.select("row", "item").distinct(), "row")
     best = aligned.groupBy("doc", "item").agg(

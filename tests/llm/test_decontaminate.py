@@ -5,7 +5,7 @@ import pytest
 from edges import frame, rows, words
 
 from grainmill.llm import decontaminate
-from grainmill.llm.text import word_hash
+from grainmill.llm.text import word_hash, word_hashes
 
 
 def plain_align(a, b):
@@ -121,3 +121,77 @@ def test_a_passage_reaches_over_its_whole_item(spark):
     found = decontaminate.leaks(docs, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
     got = {r.doc_id: (r.similarity, r.first_word, r.end_word) for r in found}
     assert got[99] == (1.0, 200, 443) and len(got) == 31
+
+
+def test_a_phrase_of_all_items_makes_no_pairs_before_the_alignment(spark, monkeypatch):
+    phrase = words(4000, 40)
+    items = [(i, f"{phrase} {words(4100 + i, 60)}") for i in range(60)]
+    data = [(i, f"{words(i, 60)} {phrase} {words(1000 + i, 60)}") for i in range(80)] + [(99, items[7][1])]
+    met = []
+    whole = decontaminate.candidates
+
+    def counted(hits, class_of, members, held, needed):
+        out = whole(hits, class_of, members, held, needed)
+        met.append((out.count(), hits.join(class_of, "gram").join(members, "class").select("passage", "row").distinct().count()))
+        return out
+
+    monkeypatch.setattr(decontaminate, "candidates", counted)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(99, 7)}
+    ((pairs, every),) = met
+    assert every >= 81 * 60 and pairs < every / 10
+
+
+def test_a_long_quote_of_part_of_an_item_is_found(spark):
+    item = words(6000, 300)
+    quote = " ".join(item.split()[60:180])
+    short = " ".join(item.split()[60:100])
+    put = lambda i, passage: f"{words(i, 200)} {passage} {words(i + 1, 200)}"
+    data = [(0, put(0, quote)), (1, put(2, edited(quote, 0.1, 3))), (2, put(4, short)), (3, put(6, edited(quote, 0.5, 4)))]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.leaks(docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()}
+    assert found.keys() == {0, 1}
+    assert found[0].similarity == pytest.approx(0.4, abs=0.02) and abs(found[0].first_word - 200) <= 2
+
+
+def test_keys_of_other_types_are_kept(spark):
+    docs = spark.createDataFrame([("a-1", ITEMS[0]), (None, ITEMS[1]), ("c", "nothing")], "doc_id string, text string")
+    items = spark.createDataFrame([("x", ITEMS[0]), ("y", ITEMS[1])], "item_id string, text string")
+    found = decontaminate.leaks(docs, items)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {("a-1", "x"), (None, "y")}
+
+
+def test_all_rows_equal_brute_force(spark):
+    """Every document with every item, whole texts, by the full table."""
+    rng = random.Random(8)
+    items = [words(7000 + i, rng.randint(8, 40)) for i in range(12)]
+    items += [f"{words(7100, 15)} {words(7200 + i, 20)}" for i in range(6)]
+    data = []
+    for i in range(60):
+        item = rng.choice(items).split()
+        cut = item[: max(4, int(len(item) * rng.choice([0.4, 0.5, 0.6, 0.8, 1])))]
+        data.append((i, f"{words(i, 20)} {edited(' '.join(cut), rng.choice([0, 0.1, 0.2]), i)} {words(500 + i, 20)}"))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = decontaminate.leaks(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    expect = {}
+    for d, text in data:
+        a = text.lower().split()
+        grams = set(zip(a, a[1:], a[2:]))
+        for i, item in enumerate(items):
+            b = item.lower().split()
+            near = plain_align(b, a) / len(b)
+            if near >= decontaminate.SIMILARITY and grams & set(zip(b, b[1:], b[2:])):
+                expect[d, i] = near
+    assert len(expect) > 30
+    assert {(r.doc_id, r.item_id): r.similarity for r in found} == pytest.approx(expect, abs=1e-6)
+
+
+def test_long_regular_words_have_hashes_of_their_own():
+    one = np.array([bin(i).count("1") % 2 for i in range(1024)], np.uint8) + 97
+    other = np.array([195], np.uint8) - one
+    for n in (64, 65, 512, 1024):
+        assert word_hash(one[:n].tobytes()) != word_hash(other[:n].tobytes())
+    text = b"short " + one.tobytes().upper() + b" tail"
+    hashes, _ = word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert hashes[1] == word_hash(one.tobytes())
