@@ -169,10 +169,26 @@ def count_missing(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def join_late_labels(scored: DataFrame, labels: DataFrame, keys: Sequence[str] = tuple(LOOKUP_KEYS), **options) -> DataFrame:
-    """Scored rows whose label has arrived, matched without the date; keys may be hot on both sides."""
+def join_late_labels(
+    scored: DataFrame,
+    labels: DataFrame,
+    keys: Sequence[str] = tuple(LOOKUP_KEYS),
+    counted: str | None = None,
+    **options,
+) -> DataFrame:
+    """Scored rows whose label has arrived, matched without the date; keys may be hot on both sides.
+
+    With ``counted`` equal rows of a side are joined as one, and that column tells how many joined rows
+    each row stands for: a key that is hot on both sides gives no product of its copies, but
+    one of its different rows.
+    """
     repeated = [c for c in labels.columns if c in scored.columns and c not in keys]
-    return key_join(scored, labels.drop(*repeated), keys, "inner", **options)
+    labels = labels.drop(*repeated)
+    if counted is None:
+        return key_join(scored, labels, keys, "inner", **options)
+    sides = [df.groupBy(*df.columns).agg(F.count("*").alias(n)) for df, n in ((scored, "_copies"), (labels, "_found"))]
+    joined = key_join(*sides, keys, "inner", **options)
+    return joined.withColumn(counted, F.col("_copies") * F.col("_found")).drop("_copies", "_found")
 
 
 def union_frames(frames: Sequence[DataFrame]) -> DataFrame:

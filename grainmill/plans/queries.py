@@ -114,13 +114,18 @@ def join_labels_typed(spark, sf):
 
 
 def join_hot_both(spark, sf):
-    """A key that holds a third of the rows of both sides, joined as a grid and summed."""
+    """A key that holds a third of the rows of both sides, joined as a grid and summed.
+
+    The sum reads three digits of an order's key and a nation of a customer; rows equal in these are joined once.
+    """
     hot = lambda c: F.when(F.pmod(c, F.lit(3)) == 0, 0).otherwise(F.pmod(c, F.lit(200))).cast("int").alias("bucket")
-    scored = inputs.table(spark, sf, "orders").select(hot(F.col("o_custkey")), F.col("o_orderkey").alias("key"))
+    scored = inputs.table(spark, sf, "orders").select(
+        hot(F.col("o_custkey")), F.pmod("o_orderkey", F.lit(1000)).alias("digits")
+    )
     labels = inputs.table(spark, sf, "customer").select(hot(F.col("c_custkey")), F.col("c_nationkey").alias("target"))
-    joined = joins.join_late_labels(scored, labels, ["bucket"], salted=True)
-    total = F.sum(F.pmod("key", F.lit(1000)) * F.col("target"))
-    return joined.groupBy("bucket").agg(F.count("*").alias("n_rows"), total.cast("bigint").alias("total"))
+    joined = joins.join_late_labels(scored, labels, ["bucket"], counted="n", salted=True)
+    total = F.sum(F.col("n") * F.col("digits") * F.col("target"))
+    return joined.groupBy("bucket").agg(F.sum("n").alias("n_rows"), total.cast("bigint").alias("total"))
 
 
 def newest_date(spark, sf):

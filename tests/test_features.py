@@ -1,5 +1,7 @@
 import datetime as dt
 import math
+from collections import Counter
+
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,3 +203,15 @@ def test_states_merge_to_the_moments_of_all_rows(spark):
     assert set(merged) == set(whole)
     for name, value in whole.items():
         assert merged[name] is None if value is None else merged[name] == pytest.approx(value, rel=1e-9)
+
+
+def test_counted_join_merges_equal_rows_of_a_key_hot_on_both_sides(spark, no_broadcast):
+    left = spark.range(60_000).select((F.col("id") % 3 % 2).alias("k"), (F.col("id") % 10).alias("a"))
+    right = spark.range(30_000).select((F.col("id") % 3 % 2).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("b"))
+    odd = spark.createDataFrame([(None, 1), (None, 1)], "k long, a long")
+    joined = joins.join_late_labels(left.unionByName(odd), right, ["k"], counted="n", salted=True)
+    found = {(r.k, r.a, r.b): r.n for r in joined.collect()}
+    assert joined.columns == ["k", "a", "b", "n"] and len(found) == joined.count() == 2 * 10 * 5
+    n = Counter((i % 3 % 2, i % 10) for i in range(60_000))
+    m = Counter((i % 3 % 2, i % 5 or None) for i in range(30_000))
+    assert found == {(k, a, b): x * y for (k, a), x in n.items() for (kk, b), y in m.items() if k == kk}
