@@ -29,8 +29,11 @@ def row_identity(columns: Sequence[str]) -> Column:
 
 
 def seeded_digest(columns: Sequence[str], seed: int) -> Column:
-    """32 hex digits that order rows pseudo-randomly for a given seed."""
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), *_joined(columns)))
+    """32 hex digits that order rows pseudo-randomly for a given seed.
+
+    The columns are joined apart from the seed, so that draws of several seeds join them once.
+    """
+    return F.md5(F.concat(F.lit(f"{seed}-"), F.concat_ws("-", *_joined(columns))))
 
 
 def seeded_int(columns: Sequence[str], seed: int) -> Column:

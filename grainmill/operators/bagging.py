@@ -11,13 +11,13 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
-from math import exp, factorial
+from math import ceil, exp, factorial
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from grainmill.functions.hashing import seeded_uniform
+from grainmill.functions.hashing import seeded_digest
 from grainmill.operators.modeling import assembler
 from grainmill.session import materialise, spread
 
@@ -26,11 +26,12 @@ MOST_COPIES = 8  # one row in a million would come more often; it comes so many
 
 def copies(keys: Sequence[str], tree: int, seed: int) -> Column:
     """How often a tree sees a row: 0, 1, 2, ... with the chances of a Poisson variable of mean 1."""
-    u, below, out = seeded_uniform(keys, seed + tree), 0.0, F.lit(0)
+    # Digits stand in the order of their numbers, so the digest is compared with the bounds as text.
+    digest, below, out = seeded_digest(keys, seed + tree), 0.0, F
     for n in range(MOST_COPIES):
         below += exp(-1) / factorial(n)
-        out = out + (u >= below).cast("int")
-    return out
+        out = out.when(digest < F.lit(f"{ceil(below * 2**32):08x}"), n)
+    return out.otherwise(MOST_COPIES)
 
 
 @dataclass(frozen=True)
@@ -57,20 +58,18 @@ class BaggedForest:
 
         For the rows that the forest was fitted on. No shuffle: a row's trees follow from its key.
         """
-        unseen = F.array(*[(copies(self.keys, n, self.seed) == 0) for n in range(len(self.trees))])
-        voted = self._shares(rows).withColumn("_unseen", unseen)
-        votes = F.filter(F.arrays_zip("_shares", "_unseen"), lambda v: v["_unseen"])
-        voted = voted.withColumn("_votes", F.transform(votes, lambda v: v["_shares"]))
-        classes = self.trees[0].numClasses
-        sums = F.aggregate(
-            "_votes",
-            F.array_repeat(F.lit(0.0), classes),
-            lambda total, share: F.zip_with(total, share, lambda a, b: a + b),
-        )
-        winner = (F.array_position(sums, F.array_max(sums)) - 1).cast("int")
-        return voted.select(
-            *rows.columns, F.size("_votes").alias("n_out"), F.when(F.size("_votes") > 0, winner).alias("prediction")
-        )
+        trees = range(len(self.trees))
+        unseen = [(copies(self.keys, n, self.seed) == 0).cast("int").alias(f"_unseen_{n}") for n in trees]
+        voted = self._shares(rows).select("*", *unseen)
+        n_out = sum((F.col(f"_unseen_{n}") for n in trees), F.lit(0))
+        # Plain sums by class, which Spark compiles.
+        sums = [
+            sum((F.when(F.col(f"_unseen_{n}") == 1, F.col("_shares")[n][c]).otherwise(0.0) for n in trees), F.lit(0.0))
+            for c in range(self.trees[0].numClasses)
+        ]
+        voted = voted.select(*rows.columns, n_out.alias("n_out"), F.array(*sums).alias("_sums"))
+        winner = (F.array_position("_sums", F.array_max("_sums")) - 1).cast("int")
+        return voted.select(*rows.columns, "n_out", F.when(F.col("n_out") > 0, winner).alias("prediction"))
 
 
 def fit_bagged(
@@ -88,15 +87,16 @@ def fit_bagged(
 ) -> BaggedForest:
     """Fit ``trees`` trees, each on its own bootstrap of the rows, by a weight for each row and tree.
 
-    Vectors are stored once; every tree reads them with its own weights. ``keys`` identify a row.
+    Vectors and all trees' weights are stored once; every tree reads its own. ``keys`` identify a row.
     Rows without a label or a feature are left out.
     """
     known = assembler(features).transform(spread(train.where(F.col(label).isNotNull())))
-    stored = materialise(known.select(*keys, "features", F.col(label).cast("double").alias("label")), "bagging")
+    drawn = [copies(keys, n, seed).cast("tinyint").alias(f"copies_{n}") for n in range(trees)]
+    stored = materialise(known.select("features", F.col(label).cast("double").alias("label"), *drawn), "bagging")
     subset = {"auto": "sqrt"}.get(subset, subset)  # of a forest; one tree alone would take all
 
     def fit(number: int) -> RandomForestClassificationModel:
-        seen = stored.withColumn("weight", copies(keys, number, seed).cast("double")).where("weight > 0")
+        seen = stored.withColumn("weight", F.col(f"copies_{number}").cast("double")).where("weight > 0")
         tree = RandomForestClassifier(
             labelCol="label", weightCol="weight", numTrees=1, bootstrap=False, maxDepth=depth, impurity=impurity,
             featureSubsetStrategy=subset, seed=seed + number, maxBins=max_bins,

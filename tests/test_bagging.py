@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from grainmill.functions.hashing import seeded_uniform
 from grainmill.operators import bagging
 from grainmill.session import materialise
 
@@ -69,3 +70,17 @@ def test_rows_without_a_label_or_a_feature(spark):
     forest = bagging.fit_bagged(rows, ["a", "b"], "target", ["id"], trees=3, depth=2)
     assert forest.out_of_bag(rows).count() == 302
     assert bagging.oob_score(forest.out_of_bag(rows).where("id < 0"), "target").first().n_rows == 0
+
+
+def test_draws_are_stored_once_and_follow_the_digest(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(bagging, "materialise", lambda df, label: kept.append(materialise(df, label)) or kept[-1])
+    rows = three_classes(spark, 300)
+    bagging.fit_bagged(rows, ["a", "b"], "target", ["id"], trees=3, depth=2)
+    drawn = [f.name for f in kept[0].schema if f.dataType.typeName() == "byte"]
+    assert len(drawn) == 3
+    u = seeded_uniform(["id"], 22)
+    below = [sum(math.exp(-1) / math.factorial(n) for n in range(m + 1)) for m in range(bagging.MOST_COPIES)]
+    stated = sum(((u >= b).cast("int") for b in below), F.lit(0))
+    pairs = spark.range(20_000).select(bagging.copies(["id"], 1, 21).alias("got"), stated.alias("want"))
+    assert pairs.where("got <> want or got is null").count() == 0
