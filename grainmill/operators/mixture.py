@@ -21,7 +21,7 @@ from grainmill.operators.sampling import draw_class
 from grainmill.session import materialise, spread
 
 FLOOR = 1e-6  # least eigenvalue of a covariance, in units of its class's variances
-BATCH = 4_096  # rows whose densities are held at once
+CELLS = 1 << 16  # densities held at once
 
 
 @dataclass(frozen=True)
@@ -208,28 +208,35 @@ class Bayesian:
 def _step(rows: DataFrame, size: int, coefficients: dict[int, np.ndarray]) -> DataFrame:
     """One pass: (class, fit, component, sums, likelihood) of all fits, from rows (class, x).
 
-    ``coefficients`` holds for each class an array of fits by components by terms.
+    ``coefficients`` holds for each class an array of fits by components by terms. Rows lie along the last
+    axis of all tables, and so few are taken at once that a processor's cache holds their densities.
     """
     i, j = np.triu_indices(size)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {c: np.zeros(x.shape) for c, x in coefficients.items()}
         found = {c: np.zeros(x.shape[:2]) for c, x in coefficients.items()}
+        # Components first, so that a fit's greatest and summed densities are taken table by table.
+        terms = {c: np.ascontiguousarray(x.transpose(1, 0, 2)) for c, x in coefficients.items()}
         for batch in batches:
             classes = batch.column("class").to_numpy()
-            values = batch.column("x").flatten().to_numpy().reshape(-1, size)
-            for c, theta in coefficients.items():
-                own = values[classes == c]
-                for at in range(0, len(own), BATCH):
-                    x = own[at : at + BATCH]
-                    q = np.column_stack([np.ones(len(x)), x, x[:, i] * x[:, j]])
-                    logs = (q @ theta.reshape(-1, theta.shape[2]).T).reshape(len(x), *theta.shape[:2])
-                    top = logs.max(axis=2, keepdims=True)
-                    shares = np.exp(logs - top)
-                    whole = shares.sum(axis=2, keepdims=True)
+            values = np.stack([batch.column(1 + k).to_numpy() for k in range(size)])
+            for c, theta in terms.items():
+                own = values[:, classes == c]
+                parts, fits, width = theta.shape
+                few = max(64, CELLS // (parts * fits))
+                for at in range(0, own.shape[1], few):
+                    x = own[:, at : at + few]
+                    q = np.concatenate([np.ones((1, x.shape[1])), x, x[i] * x[j]])
+                    shares = (theta.reshape(-1, width) @ q).reshape(parts, fits, -1)
+                    top = shares.max(axis=0)
+                    shares -= top
+                    np.exp(shares, out=shares)
+                    whole = shares.sum(axis=0)
                     shares /= whole
-                    total[c] += (shares.reshape(len(x), -1).T @ q).reshape(theta.shape)
-                    found[c][:, 0] += (top + np.log(whole))[:, :, 0].sum(axis=0)
+                    added = (shares.reshape(parts * fits, -1) @ q.T).reshape(theta.shape)
+                    total[c] += added.transpose(1, 0, 2)
+                    found[c][:, 0] += (top + np.log(whole)).sum(axis=1)
         for c, table in total.items():
             fits, parts, terms = table.shape
             yield pa.RecordBatch.from_arrays(
@@ -246,7 +253,8 @@ def _step(rows: DataFrame, size: int, coefficients: dict[int, np.ndarray]) -> Da
     keys = ["class", "fit", "component"]
     names = [f"s{t}" for t in range(1 + size + len(i))]
     kinds = ", ".join([f"{k} int" for k in keys] + [f"{n} double" for n in (*names, "likelihood")])
-    added = rows.mapInArrow(sums, kinds).groupBy(*keys)
+    flat = rows.select("class", *[F.get("x", F.lit(k)).alias(f"x{k}") for k in range(size)])  # plain columns go over faster
+    added = flat.mapInArrow(sums, kinds).groupBy(*keys)
     return added.agg(*[F.sum(n).alias(n) for n in (*names, "likelihood")])
 
 

@@ -2,7 +2,6 @@ import datetime as dt
 import math
 from collections import Counter
 
-
 import pytest
 from pyspark.sql import functions as F
 

@@ -326,3 +326,21 @@ def test_regression_job(spark, tmp_path):
     result = jobs.train_regression(spark, conf)
     assert result["r2"] > 0.8
     assert float(jobs.read_tags(jobs._store(spark, conf), result["run_id"])["r2"]) == result["r2"]
+
+
+def test_a_pass_sends_plain_columns_and_sums_all_rows(spark):
+    rng = np.random.default_rng(1)
+    points = rng.normal(size=(3_000, 2))
+    rows = spark.createDataFrame([(0, p.tolist()) for p in points], "class int, x array<double>").repartition(3)
+    theta = rng.normal(size=(40, 5, 6)) * 0.1
+    step = mixture._step(rows, 2, {0: theta})
+    assert "x1" in step._jdf.queryExecution().analyzed().toString()
+    q = np.column_stack([np.ones(3_000), points, points[:, [0, 0, 1]] * points[:, [0, 1, 1]]])
+    logs = np.einsum("nt,fkt->nfk", q, theta)
+    whole = np.logaddexp.reduce(logs, axis=2)
+    sums = np.einsum("nfk,nt->fkt", np.exp(logs - whole[..., None]), q)
+    got = {(r["fit"], r["component"]): r for r in step.collect()}
+    assert len(got) == 200
+    for (fit, part), r in got.items():
+        assert [r[f"s{t}"] for t in range(6)] == pytest.approx(sums[fit, part], rel=1e-9, abs=1e-9)
+    assert sum(got[0, k]["likelihood"] for k in range(5)) == pytest.approx(whole[:, 0].sum())
