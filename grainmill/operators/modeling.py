@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from grainmill.session import spread
 
+# A forest keeps a count of each row for each tree, some ten times the row's stored bytes.
+FOREST_BYTES = 16 << 20  # estimated, of a partition
+
 # The default grid, in Spark ML parameter names.
 DEFAULT_GRID = {
     "maxDepth": [3, 10],
@@ -66,7 +69,7 @@ def grid_search(
         for values in product(*grid.values())
     ]
     # Rows are assembled once; the folds then share the vectors.
-    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull())))
+    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull()), FOREST_BYTES))
     search = CrossValidator(
         estimator=forest,
         estimatorParamMaps=points,
@@ -98,7 +101,7 @@ def fit_forest(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, impurity=impurity,
         featureSubsetStrategy=subset, seed=seed, maxBins=max_bins,
     )
-    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull())))
+    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull()), FOREST_BYTES))
     return scoring_model(features, forest.fit(rows.select("features", F.col(label).cast("double").alias(label))))
 
 
@@ -131,7 +134,7 @@ def fit_regression(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins,
         featureSubsetStrategy=subset,
     )
-    rows = spread(train.filter(F.col(label).isNotNull()))
+    rows = spread(train.filter(F.col(label).isNotNull()), FOREST_BYTES)
     return Pipeline(stages=[assembler(features), forest]).fit(rows)
 
 

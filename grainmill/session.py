@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,15 +94,19 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
+def spread(table: DataFrame, most: int | None = None) -> DataFrame:
     """At least one partition per core, for passes of fits over a small table of few files.
 
-    A table that the planner takes for larger than one scan split per core is returned as it is.
+    A table that the planner takes for larger than one scan split per core is returned as it is, unless
+    ``most`` bounds the bytes of a partition, by the planner's estimate: then it has as many as that takes.
     """
     spark = table.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    size = estimated_bytes(table)
+    if most is not None:
+        return table.repartition(max(cores, ceil(size / most)))
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return table if estimated_bytes(table) >= cores * split else table.repartition(cores)
+    return table if size >= cores * split else table.repartition(cores)
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from grainmill import session
 from grainmill.operators import mixture, modeling, registry, scaling
 from grainmill.plans import inputs, jobs, queries
 from grainmill.session import materialise, shared_dir
@@ -344,3 +345,10 @@ def test_a_pass_sends_plain_columns_and_sums_all_rows(spark):
     for (fit, part), r in got.items():
         assert [r[f"s{t}"] for t in range(6)] == pytest.approx(sums[fit, part], rel=1e-9, abs=1e-9)
     assert sum(got[0, k]["likelihood"] for k in range(5)) == pytest.approx(whole[:, 0].sum())
+
+
+def test_partitions_of_forest_rows_are_bounded_by_bytes(spark):
+    rows = materialise(spark.range(100_000), "spread-test")
+    size = session.estimated_bytes(rows)
+    assert session.spread(rows, size // 40).rdd.getNumPartitions() >= 40
+    assert session.spread(rows, 10 * size).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
