@@ -22,12 +22,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from grainmill.llm.text import flat, fresh
+from grainmill.llm.text import flat, fresh, slices
 from grainmill.session import materialise
 
 CHUNK_CHARS = 32_768
 OVERLAP = 512
 CACHED_PIECES = 1 << 17  # of one generation; a task keeps two
+CACHED_PAIRS = 1 << 17
 NEVER = 1 << 40  # the rank of two tokens that make none
 
 
@@ -81,14 +82,19 @@ def merge_piece(ranks: dict[bytes, int], piece: bytes) -> list[int]:
 
 
 class Pairs(dict):
-    """Rank of the token that two tokens make, by both ids in one number; looked up when first asked for."""
+    """Rank of the token that two tokens make, by both ids in one number; looked up when first asked for.
 
-    def __init__(self, ranks: dict[bytes, int]):
+    When ``size`` pairs are kept, all are forgotten.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], size: int = CACHED_PAIRS):
         super().__init__()
-        self.ranks, self.words = ranks, vocabulary(ranks)
+        self.ranks, self.words, self.size = ranks, vocabulary(ranks), size
 
     def __missing__(self, pair: int) -> int:
         rank = self.ranks.get(self.words[pair >> 32] + self.words[pair & 0xFFFFFFFF], NEVER)
+        if len(self) >= self.size:
+            self.clear()
         self[pair] = rank
         return rank
 
@@ -147,14 +153,19 @@ def resync(match: regex.Pattern, text: str, at: int, to_end: bool) -> int | None
     return next((end for end in own if end in fresh), None)
 
 
+def _parts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The batches' rows in parts of few bytes, each worked on and sent back alone: what a part needs is a
+    multiple of its bytes, and a batch has as many rows as the session says, however long. An empty batch is a part."""
+    for batch in batches:
+        yield from slices(batch) if len(batch) else [batch]
+
+
 def _encoder(path: str, pattern: str):
     @F.arrow_udf("binary")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces, match = Pieces(read_ranks(path)), regex.compile(pattern)
-        for batch in batches:
-            yield pa.array(
-                [b"".join(map(pieces.__getitem__, match.findall(t.as_py() or ""))) for t in batch], pa.binary()
-            )
+        for part in _parts(batches):
+            yield pa.array([b"".join(map(pieces.__getitem__, match.findall(t.as_py() or ""))) for t in part], pa.binary())
 
     return encode
 
@@ -262,13 +273,13 @@ def decode(ids: Column, ranks: str) -> Column:
     @F.arrow_udf("binary")
     def join_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = pa.array(vocabulary(read_ranks(ranks)), pa.large_binary())
-        for batch in batches:
-            packed, offsets = flat(batch)
+        for part in _parts(batches):
+            packed, offsets = flat(part)
             tokens = words.take(pa.array(packed.view("<u4")))
             _, ends, data = tokens.buffers()
             ends = np.frombuffer(ends, np.int64)[: len(tokens) + 1] if len(tokens) else np.zeros(1, np.int64)
             rows = pa.py_buffer(np.ascontiguousarray(ends[offsets // 4]))
-            joined = pa.Array.from_buffers(pa.large_binary(), len(batch), [None, rows, data or pa.py_buffer(b"")])
+            joined = pa.Array.from_buffers(pa.large_binary(), len(part), [None, rows, data or pa.py_buffer(b"")])
             yield joined.cast(pa.binary())
 
     return join_bytes(ids)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -10,6 +11,7 @@ from edges import CLASHING, frame, rows, texts
 from pyspark.sql import functions as F
 
 from grainmill.llm import bpe, queries
+from grainmill.llm.text import SLICE_BYTES
 
 RANKS, PATTERN = queries.BPE_RANKS, public_tokenizers.PATTERN
 
@@ -78,3 +80,24 @@ def test_empty_table_and_null_ids(spark):
 def test_bad_overlap(spark):
     with pytest.raises(ValueError):
         bpe.encode(frame(spark), RANKS, PATTERN, chunk_chars=10, overlap=11)
+
+
+def test_batches_are_worked_on_in_parts_of_few_bytes(spark, known):
+    data = [(i, None if i % 7 == 3 else "" if i % 7 == 5 else f"{i} thé 中 " * 900) for i in range(400)]
+    batch = pa.array([t for _, t in data])
+    parts = list(bpe._parts(iter([batch.slice(0, 0), batch])))
+    assert len(parts) > 3 and pa.concat_arrays(parts).equals(batch) and len(parts[0]) == 0
+    assert max(sum(len((t or "").encode()) for t in p.to_pylist()) for p in parts) <= SLICE_BYTES
+    docs = spark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    out = bpe.encode(docs, RANKS, PATTERN).withColumn("back", bpe.decode(F.col("ids"), RANKS))
+    assert {r.doc_id: (ids(r.ids), bytes(r.back)) for r in out.collect()} == {
+        i: (known.encode_ordinary(t or ""), (t or "").encode()) for i, t in data
+    }
+
+
+def test_pairs_are_forgotten_when_full():
+    ranks, rng = bpe.read_ranks(RANKS), random.Random(3)
+    pairs, few = bpe.Pairs(ranks), bpe.Pairs(ranks, 50)
+    for _ in range(2_000):
+        pair = rng.randrange(300) << 32 | rng.randrange(300)
+        assert few[pair] == pairs[pair] and len(few) <= 50
