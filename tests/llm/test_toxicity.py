@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from edges import frame, rows, words
@@ -83,3 +84,61 @@ def test_edge_rows_one_label_and_no_rows(spark):
         scored = frame(spark).select(toxicity.score(F.col("text"), net).alias("s")).collect()
         assert len(scored) == len(rows()) and all(0 <= r.s <= 1 for r in scored) and not thresholds
     assert frame(spark, []).select(toxicity.score(F.col("text"), net)).collect() == []
+
+
+def test_every_labelled_row_is_learnt_from(spark):
+    """Words of few rows, and pieces of which none has them all: a net of a sample of 100 lacks most."""
+    data, rare = labelled(900, 7), [f"zork{chr(97 + i)}{chr(97 + i)}qu" for i in range(12)]
+    data = [(i, f"{t} {rare[i // 5 % 12]}" if i % 5 == 0 and i < 300 else t, lang, y) for i, t, lang, y in data]
+    docs = spark.createDataFrame(data, SCHEMA)
+    packed, thresholds = toxicity.train(docs, "text", "label", "doc_id", "lang", 100)
+    hold = docs.select("doc_id", (F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 30)) % toxicity.HOLD == 0).alias("h"))
+    held = {r.doc_id for r in hold.collect() if r.h}
+    texts = {i: toxicity.features(*flat(pa.array([t])))[0] for i, t, _, _ in data}
+    found = np.concatenate([np.unique(t[t > 0]) for i, t in texts.items() if i not in held])
+    bucket, times = np.unique(found, return_counts=True)
+    net = toxicity.Net.unpacked(packed)
+    assert np.flatnonzero(net.rows).tolist() == bucket[times >= toxicity.MIN_DOCS].tolist()
+    again, same = toxicity.train(docs, "text", "label", "doc_id", "lang", 100)
+    assert toxicity.Net.unpacked(again).scale == pytest.approx(net.scale) and same == pytest.approx(thresholds)
+    fresh = spark.createDataFrame(labelled(300, 8), SCHEMA).select("label", toxicity.score(F.col("text"), packed).alias("s"))
+    assert np.mean([(r.s >= toxicity.AT) == bool(r.label) for r in fresh.collect()]) > 0.97
+
+
+def test_a_single_piece_is_fitted_as_by_fit(spark):
+    data = labelled(300, 9)
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("pick", F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 30)))
+    made = [(r.pick, toxicity.features(*flat(pa.array([r.text])))[0], r.label) for r in docs.collect()]
+    made = sorted((m for m in made if m[0] % toxicity.HOLD), key=lambda m: (m[0], m[1].tobytes()))
+    net = toxicity.fit([t for _, t, _ in made], np.array([y for _, _, y in made], float))
+    got = toxicity.Net.unpacked(toxicity.train(docs, "text", "label", "doc_id", "lang")[0])
+    assert np.array_equal(got.embed, net.embed) and np.array_equal(got.last, net.last.astype(np.float32))
+    assert all(map(np.array_equal, got.filters, net.filters)) and got.bias == net.bias
+
+
+def test_equal_keys_and_texts_come_in_parts():
+    texts = [f"{'a' * (i + 1)} b" for i in range(12)]
+    pdf = pd.DataFrame({"piece": [0] * 5 + [2] * 7, "pick": 9, "text": texts, "label": [0, 1] * 6})
+    parts = list(toxicity._gathered(iter([pdf[:3], pdf[3:3], pdf[3:]]), 3))
+    assert [(piece, part, len(t)) for piece, part, t, _ in parts] == [(0, 0, 3), (0, 1, 2), (2, 0, 3), (2, 1, 3), (2, 2, 1)]
+    expect = {toxicity.features(*flat(pa.array([t])))[0].tobytes(): i % 2 for i, t in enumerate(texts)}
+    assert {w.tobytes(): int(y) for _, _, t, labels in parts for w, y in zip(t, labels)} == expect
+
+
+@pytest.mark.parametrize("levels", [3, 40, 10_000])
+def test_best_cuts_are_those_of_all_rows(spark, levels):
+    rng = np.random.default_rng(levels)
+    label = rng.integers(0, 2, 600).tolist()
+    data = [("ab"[i % 3 > 0], float(rng.integers(0, levels) + y * levels // 4), y) for i, y in enumerate(label)]
+    got = {r.lang: r for r in toxicity.best_cuts(spark.createDataFrame(data, "lang string, value double, label int")).collect()}
+    for lang in "ab":
+        own = sorted({v for x, v, _ in data if x == lang}, reverse=True)
+        hits = sum(y for x, _, y in data if x == lang)
+
+        def f1(cut):
+            above = [y for x, v, y in data if x == lang and v >= cut]
+            return 2 * sum(above) / (len(above) + hits)
+
+        at = max(range(len(own)), key=lambda i: f1(own[i]))
+        assert got[lang].cut == ((own[at] + own[at + 1]) / 2 if at + 1 < len(own) else own[at] - 1)
+        assert (got[lang].n, got[lang].hits) == (sum(x == lang for x, _, _ in data), hits)
