@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -171,41 +170,42 @@ def _encoder(path: str, pattern: str):
 
 
 def _chunks(length: int, overlap: int):
+    kind = pa.list_(pa.struct([("no", pa.int32()), ("last", pa.bool_()), ("piece", pa.string())]))
+
     @F.arrow_udf("array<struct<no:int,last:boolean,piece:string>>")
-    def cut(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            n = -(-len(t) // length)
-            out.append(
-                [
-                    {"no": i, "last": i == n - 1, "piece": t[i * length : (i + 1) * length + overlap]}
-                    for i in range(n)
-                ]
-            )
-        return pa.array(out, pa.list_(pa.struct([("no", pa.int32()), ("last", pa.bool_()), ("piece", pa.string())])))
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in _parts(batches):
+            out = []
+            for t in part.to_pylist():
+                n = -(-len(t) // length)
+                out.append(
+                    [
+                        {"no": i, "last": i == n - 1, "piece": t[i * length : (i + 1) * length + overlap]}
+                        for i in range(n)
+                    ]
+                )
+            yield pa.array(out, kind)
 
     return cut
 
 
 def _meeting(pattern: str, length: int):
     @F.arrow_udf("int")
-    def meet(pieces: pa.Array, last: pa.Array) -> pa.Array:
+    def meet(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         match = regex.compile(pattern)
-        return pa.array(
-            [
-                None if end else resync(match, piece, length, False)
-                for piece, end in zip(pieces.to_pylist(), last.to_pylist(), strict=True)
-            ],
-            pa.int32(),
-        )
+        for pieces, last in batches:
+            # A chunk is short; its text is taken alone, so that a batch of any size costs a number a row.
+            yield pa.array(
+                [
+                    None if end.as_py() else resync(match, piece.as_py(), length, False)
+                    for piece, end in zip(pieces, last, strict=True)
+                ],
+                pa.int32(),
+            )
 
     return meet
 
 
-def _joined(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"uid": pdf["uid"].iloc[:1], "ids": [b"".join(pdf.sort_values("first")["ids"])]})
-
-
 def encode_long(docs: DataFrame, path: str, pattern: str, length: int, overlap: int) -> DataFrame:
     """(uid, ids) of (uid, text) rows whose texts are cut, matched in parallel and joined again."""
     chunk = docs.select("uid", F.explode(_chunks(length, overlap)("text")).alias("c")).select("uid", "c.*")
@@ -232,7 +232,9 @@ def encode_long(docs: DataFrame, path: str, pattern: str, length: int, overlap:
     )
     texts = texts.select("uid", "first", F.array_join(F.col("all.p"), "").alias("text"))
     ids = texts.select("uid", "first", _encoder(path, pattern)("text").alias("ids"))
-    return ids.groupBy("uid").applyInPandas(_joined, "uid string, ids binary")
+    # Joined as hexadecimal text, in which Spark has a join of arrays that takes one pass.
+    packed = ids.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("first", "ids"))).alias("all"))
+    return packed.select("uid", F.unhex(F.array_join(F.transform(F.col("all.ids"), F.hex), "")).alias("ids"))
 
 
 def encode(

@@ -101,3 +101,13 @@ def test_pairs_are_forgotten_when_full():
     for _ in range(2_000):
         pair = rng.randrange(300) << 32 | rng.randrange(300)
         assert few[pair] == pairs[pair] and len(few) <= 50
+
+
+def test_long_texts_are_cut_in_parts_and_joined_without_python(spark, known):
+    data = [(i, f"{i} thé 中 " * 40_000) for i in range(12)]
+    sizes = [len(out) for out in bpe._chunks(30_000, 500).func(iter([pa.array([t for _, t in data])]))]
+    assert sum(sizes) == 12 and max(sizes) < 12
+    docs = spark.createDataFrame(data, "uid string, text string").coalesce(1)
+    out = bpe.encode_long(docs, RANKS, PATTERN, 30_000, 500)
+    assert "InPandas" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {int(r.uid): ids(r.ids) for r in out.collect()} == {i: known.encode_ordinary(t) for i, t in data}
