@@ -110,11 +110,12 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _counted(marks):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.column(0), 8 << 20):
+            for part in slices(batch.column(0)):
                 words, _ = word_hashes(*flat(part))
                 found, n = np.unique(words[in_set(marks.value, words)], return_counts=True)
+                each = pa.array([None], pa.int64()), pa.array(found.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([None, *found.view(np.int64).tolist()], pa.int64()), pa.array([len(words), *n.tolist()], pa.int64())],
+                    [pa.concat_arrays(each), pa.array(np.append(len(words), n))],
                     names=["word", "n"],
                 )
 

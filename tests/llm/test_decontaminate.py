@@ -1,11 +1,14 @@
 import random
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edges import frame, rows, words
 
 from grainmill.llm import decontaminate
-from grainmill.llm.text import word_hash, word_hashes
+from grainmill.llm.text import SLICE_BYTES, flat, word_hash, word_hashes
 
 
 def plain_align(a, b):
@@ -195,3 +198,18 @@ def test_long_regular_words_have_hashes_of_their_own():
     text = b"short " + one.tobytes().upper() + b" tail"
     hashes, _ = word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
     assert hashes[1] == word_hash(one.tobytes())
+
+
+def test_words_are_counted_in_parts_of_few_bytes():
+    text = pa.array([None, "", *(f"{i % 9} thé Wort{i % 50} " * 400 for i in range(600))])
+    every, _ = word_hashes(*flat(text))
+    marks = SimpleNamespace(value=decontaminate.bit_set(every[::3]))
+    out = list(decontaminate._counted(marks)(iter([pa.RecordBatch.from_arrays([text], ["text"])])))
+    assert len(out) >= sum(len((t or "").encode()) for t in text.to_pylist()) / SLICE_BYTES > 3
+    got = Counter()
+    for batch in out:
+        assert batch.schema.types == [pa.int64(), pa.int64()]
+        for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
+            got[word] += n
+    kept = every[decontaminate.in_set(marks.value, every)].view(np.int64)
+    assert got == Counter(kept.tolist()) + Counter({None: len(every)})
