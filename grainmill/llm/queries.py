@@ -68,8 +68,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
     docs = docs.select("doc_id", "text", "lang", (fold == 1).alias("held_out"))
     labels = table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("label"))
-    labelled = docs.where(~F.col("held_out")).join(labels, "doc_id")
-    net, thresholds = toxicity.train(labelled, "text", "label", "doc_id", "lang")
+    net, thresholds = toxicity.train(docs.where(~F.col("held_out")), "text", "label", "doc_id", "lang", labels=labels)
     scored = docs.select("doc_id", "held_out", "lang", toxicity.score(F.col("text"), net).alias("score"))
     return scored.select(
         "doc_id",

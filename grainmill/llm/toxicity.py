@@ -420,25 +420,42 @@ def calibrate(net: Net, held: DataFrame) -> dict[str, float]:
     return {r["lang"]: r["cut"] for r in cuts.collect()}
 
 
-def train(rows: DataFrame, text: str, label: str, key: str, lang: str, piece: int = PIECE) -> tuple[bytes, dict[str, float]]:
+def train(
+    rows: DataFrame, text: str, label: str, key: str, lang: str, piece: int = PIECE, labels: DataFrame | None = None
+) -> tuple[bytes, dict[str, float]]:
     """The packed net and each language's threshold, from all labelled rows with their whole texts.
 
     A hash of ``key`` sets one row in ``HOLD`` aside for calibration. The others are dealt into pieces of about
     ``piece`` rows by a hash of key and text, so none grows with the input. Rows without a label are left out.
     Without rows of both labels, the net says little and all thresholds are ``AT``.
+
+    With ``labels``, a table of ``key`` and ``label``, the result is that of ``rows`` joined with it by ``key``,
+    but texts are shuffled once: they go to their pieces, and there the labels meet them.
     """
-    rows = rows.where(F.col(label).isNotNull())
-    pieces = max(1, ceil(rows.count() / piece))
-    known = rows.select(
-        F.pmod(F.xxhash64(F.lit("piece"), F.col(key), F.col(text)), F.lit(pieces)).cast("int").alias("piece"),
+    if labels is None:
+        rows = rows.where(F.col(label).isNotNull())
+        n = rows.count()
+    else:
+        labels = labels.where(F.col(label).isNotNull()).select(key, label)
+        n = rows.select(key).join(labels, key).count()
+    pieces = max(1, ceil(n / piece))
+    home = F.pmod(F.xxhash64(F.lit("piece"), F.col(key), F.col(text)), F.lit(pieces)).cast("int")
+    if labels is None:
+        dealt = rows.select(home.alias("piece"), key, text, lang, label).repartitionById(pieces, F.col("piece"))
+    else:
+        texts = rows.select(home.alias("piece"), key, text, lang)
+        marks = texts.select("piece", key).distinct().join(labels, key)
+        dealt, marks = (x.repartitionById(pieces, F.col("piece")) for x in (texts, marks))
+        dealt = dealt.join(marks, ["piece", key])
+    known = dealt.select(
+        "piece",
         F.pmod(F.xxhash64(F.lit("toxicity"), F.col(key)), F.lit(1 << 30)).alias("pick"),
         (F.col(label) > 0).cast("int").alias("label"),
         F.coalesce(F.col(lang), F.lit("")).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     # A file for each piece, in an order of its own. Texts are stored: their features take more than twice the bytes.
-    dealt = known.repartitionById(pieces, F.col("piece")).sortWithinPartitions("piece", "pick", "text", "label", "lang")
-    stored = materialise(dealt, "toxicity")
+    stored = materialise(known.sortWithinPartitions("piece", "pick", "text", "label", "lang"), "toxicity")
     held = F.col("pick") % HOLD == 0
     net = fit_pieces(stored.where(~held), pieces, 2 * piece)
     thresholds = calibrate(net, stored.where(held))

@@ -142,3 +142,18 @@ def test_best_cuts_are_those_of_all_rows(spark, levels):
         at = max(range(len(own)), key=lambda i: f1(own[i]))
         assert got[lang].cut == ((own[at] + own[at + 1]) / 2 if at + 1 < len(own) else own[at] - 1)
         assert (got[lang].n, got[lang].hits) == (sum(x == lang for x, _, _ in data), hits)
+
+
+def test_labels_of_a_table_meet_texts_in_their_pieces(spark, monkeypatch):
+    """As rows joined before, keys and labels repeated or null too; a text is shuffled once."""
+    data, stored, store = labelled(300, 11), [], toxicity.materialise
+    rows = [(i, t, lang) for i, t, lang, _ in data] + [(3, "again here", "en"), (3, "again here", None), (None, "x y", "en")]
+    marks = [(i, y) for i, _, _, y in data if i % 4] + [(3, 1), (5, None), (None, 1), (9_999, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id long, label int")
+    whole = toxicity.train(docs.join(labels, "doc_id"), "text", "label", "doc_id", "lang", 100)
+    monkeypatch.setattr(toxicity, "materialise", lambda df, name: stored.append(df) or store(df, name))
+    assert toxicity.train(docs, "text", "label", "doc_id", "lang", 100, labels) == whole
+    plan = stored[0]._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("shufflepartitionidpassthrough") == 2 and plan.count("Exchange") <= 3
+    assert stored[0].count() == docs.join(labels.where("label is not null"), "doc_id").count()
