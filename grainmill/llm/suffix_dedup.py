@@ -7,8 +7,8 @@ hash. Contexts whose anchor comes once in all documents hold nothing repeated an
 
 Of contexts with a common anchor, equal ones are repeated as a whole. The others meet in shards:
 each shard's suffix array is built by Larsson-Sadakane refinement, Kasai's common prefixes give
-the strings that two suffixes share, and anchors with too many contexts for one shard are dealt
-out over several, whose sorted strings are merged by binary search.
+the strings that two suffixes share, and anchors with too many contexts, or too many bytes of them,
+for one shard are dealt out over several, whose sorted strings are merged by binary search.
 """
 
 from __future__ import annotations
@@ -27,7 +27,9 @@ LENGTH = 200
 GRAM = 48
 BLOCK = 1 << 17  # starts of strings looked at together
 SHARD_CONTEXTS = 20_000  # of one anchor in one shard
-RUN_BYTES = 2 << 20  # of contexts in one suffix array
+# A suffix array and its prefixes take some 160 times their bytes while they are made.
+SHARD_BYTES = 1 << 20  # of one anchor's contexts in one shard
+RUN_BYTES = 1 << 19  # of contexts in one suffix array, beyond one shard
 _PLACE = np.uint64((1 << 18) - 1)
 
 
@@ -291,11 +293,20 @@ def _crossing(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     return _intervals(rows["uid"].to_numpy()[twice], rows["start"].to_numpy()[twice], length)
 
 
+def _places(parts: Iterator[pa.Array]) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows) of each part."""
+    at = 0
+    for part in parts:
+        yield at, len(part)
+        at += len(part)
+
+
 def _cut_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["anchor", "shard", "shards", "copies", "uid", "at", "bytes"]
-    for batch in batches:
+    parts = (b.slice(at, n) for b in batches for at, n in _places(slices(b.column(1))))
+    for part in parts:
         rows: dict[str, list] = {k: [] for k in names}
-        for uid, text, wanted in zip(*(c.to_pylist() for c in batch.columns[:3])):
+        for uid, text, wanted in zip(*(c.to_pylist() for c in part.columns[:3])):
             data = text.encode()
             for w in wanted:
                 for k in ("anchor", "shard", "shards", "copies"):
@@ -312,7 +323,7 @@ def _cut_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_intervals(docs: DataFrame, length: int, shard_contexts: int) -> DataFrame:
+def repeated_intervals(docs: DataFrame, length: int, shard_contexts: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(uid, from, to) byte ranges to be removed from (uid, text, ...) rows; ranges may overlap."""
     rows = docs.select("uid", "text").mapInArrow(
         _anchor_rows(length), "uid long, at long, n int, anchor long, context long"
@@ -330,9 +341,11 @@ def repeated_intervals(docs: DataFrame, length: int, shard_contexts: int) -> Dat
     whole = members.join(copied, ["anchor", "context", "n"]).select(
         "uid", F.col("at").alias("from"), (F.col("at") + F.col("n") + (length - 1)).alias("to")
     )
-    unlike = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("least"))
+    unlike = kinds.groupBy("anchor").agg(
+        F.count("*").alias("kinds"), F.min("copies").alias("least"), F.sum(F.col("n") + (length - 1)).alias("bytes")
+    )
     unlike = unlike.where("kinds > 1 AND least = 1").selectExpr(
-        "anchor", f"int(ceil(kinds / {shard_contexts})) AS shards"
+        "anchor", f"int(ceil(greatest(kinds / {shard_contexts}, bytes / {shard_bytes}))) AS shards"
     )
     wanted = kinds.join(unlike, "anchor").select(
         "uid",
@@ -409,7 +422,11 @@ def without(text: Column, spans: Column) -> Column:
 
 
 def remove_repeats(
-    docs: DataFrame, text: str = "text", length: int = LENGTH, shard_contexts: int = SHARD_CONTEXTS
+    docs: DataFrame,
+    text: str = "text",
+    length: int = LENGTH,
+    shard_contexts: int = SHARD_CONTEXTS,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """``docs`` with ``removed_spans`` (byte ranges, in order, apart) and ``kept_bytes``.
 
@@ -427,7 +444,7 @@ def remove_repeats(
         *[F.col(c).alias(f"c_{i}") for i, c in enumerate(kept) if c != text],
         *([F.col(text).isNull().alias("none")]),
     )
-    ranges = repeated_intervals(plain, length, shard_contexts)
+    ranges = repeated_intervals(plain, length, shard_contexts, shard_bytes)
     spans = ranges.groupBy("uid").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
     joined = plain.join(spans.select("uid", merged_spans(F.col("spans")).alias("spans")), "uid", "left")
     joined = joined.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<from:bigint,to:bigint>>")))

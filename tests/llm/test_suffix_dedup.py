@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from edges import frame, rows, words
 
@@ -43,6 +44,32 @@ def test_equals_the_table_of_all_strings(spark, seed, length, shard):
         assert (bytes(r.kept_bytes), [tuple(s) for s in r.removed_spans]) == expect[r.doc_id], r.doc_id
 
 
+@pytest.mark.parametrize("seed", [1, 4])
+def test_shards_of_few_bytes(spark, seed):
+    texts = mixed(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expect = plain(texts, 30)
+    for r in suffix_dedup.remove_repeats(docs, length=30, shard_bytes=100).collect():
+        assert (bytes(r.kept_bytes), [tuple(s) for s in r.removed_spans]) == expect[r.doc_id], r.doc_id
+
+
+def test_suffix_arrays_are_bounded_by_bytes(monkeypatch):
+    """4 MB of contexts in groups of 40 KB: one array at a time, far under 1 MB, and no row lost."""
+    rng, sizes = random.Random(1), []
+    text = [rng.randbytes(400) for _ in range(10_000)]
+    rows = pd.DataFrame({"anchor": [i // 100 for i in range(len(text))], "shard": 0, "copies": 1, "bytes": text})
+    rows["uid"], rows["at"] = rows.index, 0
+    whole = suffix_dedup.repeated_starts
+
+    def spy(texts, length):
+        sizes.append(sum(map(len, texts)))
+        return whole(texts, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_starts", spy)
+    assert not sum(map(len, suffix_dedup._shard_repeats(200)([rows])))
+    assert sum(sizes) == 4_000_000 and max(sizes) <= 1 << 20
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_suffix_array_and_prefixes(seed):
     rng = random.Random(seed)
