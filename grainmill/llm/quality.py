@@ -202,10 +202,12 @@ def squared_distance() -> Column:
     )
 
 
-def _nearest(scored: DataFrame, keys: list[str], distance: str) -> DataFrame:
-    """The rows of each group at most as far as the share ``H`` of them."""
-    edge = scored.groupBy(*keys).agg(F.percentile_approx(distance, H, ACCURACY).alias("edge"))
-    return _meet(scored, materialise(edge, "quality-edge"), keys).where(F.col(distance) <= F.col("edge"))
+def _nearest(used: DataFrame, table: DataFrame, group: str, keys: list[str], distance: Column) -> DataFrame:
+    """The rows of each group at most as far as the share ``H`` of them, with the columns of ``table``, which
+    has a row for each of ``keys``. Its columns go along with the edges, so that rows meet one table a pass."""
+    own = [F.first(c).alias(c) for c in table.columns if c not in keys]
+    edge = _meet(used, table, [group]).groupBy(*keys).agg(F.percentile_approx(distance, H, ACCURACY).alias("edge"), *own)
+    return _meet(used, materialise(edge, "quality-edge"), [group]).where(distance <= F.col("edge"))
 
 
 def _starts(used: DataFrame, group: str) -> DataFrame:
@@ -222,9 +224,8 @@ def _starts(used: DataFrame, group: str) -> DataFrame:
     ]
     first = spread.select(group, *[f"c_{a}" for a in STATS], *diagonal).withColumn("log_det", _log_determinant())
     first = materialise(first, "quality-start")
-    scored = _meet(used, first.drop("log_det"), [group])
     worst = F.greatest(*[F.abs(_x(a) - F.col(f"c_{a}")) * F.col(f"w_{i}_{i}") for i, a in enumerate(STATS)])
-    near = _nearest(scored.withColumn("worst", worst), [group], "worst")
+    near = _nearest(used, first.drop("log_det"), group, [group], worst)
     starts = [first, _sums(placed, [group]), _sums(near, [group])]
     return reduce(DataFrame.unionByName, [s.withColumn("start", F.lit(i)) for i, s in enumerate(starts)])
 
@@ -235,13 +236,15 @@ def estimates(stats: DataFrame, group: str) -> DataFrame:
     A group named ``EVERY`` has the estimate over all rows.
     """
     used = stats.where(~F.col("base_failed") & F.col(group).isNotNull()).select(group, PIECE, *[f"stat_{a}" for a in STATS])
+    # Stored, as some twenty passes read it: each would meet the table of groups again, a plan and a broadcast more.
+    used = materialise(used, "quality-used")
     if not used.where(F.col(group) == EVERY).isEmpty():
         used = used.where(F.col(group) != EVERY).unionByName(used.withColumn(group, F.lit(EVERY)))
     keys = [group, "start"]
     now, before = materialise(_starts(used, group), "quality-start"), None
     for _ in range(STEPS):
-        scored = _meet(used, now.drop("log_det"), [group]).withColumn("d2", squared_distance())
-        now = materialise(_sums(_nearest(scored, keys, "d2"), keys), "quality-step")
+        near = _nearest(used, now.drop("log_det"), group, keys, squared_distance())
+        now = materialise(_sums(near, keys), "quality-step")
         # One number reaches the driver: how much the determinants of all groups and starts have left to fall.
         fallen = now.agg(F.sum("log_det"), F.count("*")).first()
         if before is not None and before - (fallen[0] or 0.0) < 1e-9 * fallen[1]:

@@ -141,6 +141,20 @@ def test_verdicts_against_a_plain_estimate(spark):
     assert all(not judged[k].kept for k, r in rows_.items() if r.base_failed)
 
 
+def test_a_pass_meets_one_table(spark, monkeypatch):
+    """Concentration steps join the rows with one small table, so the driver plans and sends one a pass."""
+    joins, write = {}, quality.materialise
+
+    def spy(df, label="stage"):
+        joins.setdefault(label, []).append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return write(df, label)
+
+    monkeypatch.setattr(quality, "materialise", spy)
+    docs = spark.createDataFrame(clean_and_junk(250)[0], "doc_id long, text string, lang string, source string")
+    quality.judge(write(quality.measured(docs))).count()
+    assert max(joins["quality-edge"] + joins["quality-step"]) == 1
+
+
 def test_edge_rows(spark):
     docs = frame(spark)
     kept = quality.keep_good(docs)
