@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import product
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -12,8 +13,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from grainmill.operators import forest as forests
 from grainmill.session import spread
 
 # A forest keeps a count of each row for each tree, some ten times the row's stored bytes.
@@ -62,14 +64,16 @@ def grid_search(
     lie. Without them ``train`` should come from a written table: the draw then follows row
     order within a partition, which a file scan repeats exactly and a recomputed shuffle may
     not. ``max_bins`` bounds the cuts looked at for each feature.
+
+    A grid over the parameters in ``PARAMETER_NAMES`` is searched by ``forest``: every point's forest is grown and
+    tried on every fold, all of them in the same passes over rows that are binned once. With other parameters, or
+    vectors among the features, each is a fit of its own, ``parallelism`` at a time.
     """
     forest = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed, maxBins=max_bins)
     points = [
         {forest.getParam(name): value for name, value in zip(grid, values)}
         for values in product(*grid.values())
     ]
-    # Rows are assembled once; the folds then share the vectors.
-    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull()), FOREST_BYTES))
     search = CrossValidator(
         estimator=forest,
         estimatorParamMaps=points,
@@ -78,10 +82,24 @@ def grid_search(
         seed=seed,
         parallelism=parallelism,
     )
+    fold = F.pmod(F.xxhash64(F.lit(seed), *fold_by), F.lit(folds)) if fold_by else F.floor(F.rand(seed) * folds)
+    kinds = [f.dataType for f in train.select(*features).schema]
+    if set(grid) <= set(PARAMETER_NAMES.values()) and all(isinstance(k, (T.NumericType, T.BooleanType)) for k in kinds):
+        blocks = forests.blocks_of(train, features, label, fold.cast("int"), folds, max_bins, seed)
+        if fold_by and not all(blocks.rows.values()):
+            raise ValueError(f"a fold has no rows: {blocks.rows}")
+        tried = [forest.copy(point) for point in points]
+        accuracies = forests.search(blocks, tried)
+        means = np.mean(accuracies, axis=0)
+        best = forests.fit(blocks, tried[int(np.argmax(means))])
+        model = CrossValidatorModel(best, means.tolist(), stdMetrics=np.std(accuracies, axis=0).tolist())
+        return search._copyValues(model)
+    # Rows are assembled once; the folds then share the vectors.
+    rows = assembler(features).transform(spread(train.filter(F.col(label).isNotNull()), FOREST_BYTES))
     columns = ["features", F.col(label).cast("double").alias(label)]
     if fold_by:
         search.setFoldCol("fold")
-        columns.append(F.pmod(F.xxhash64(F.lit(seed), *fold_by), F.lit(folds)).cast("int").alias("fold"))
+        columns.append(fold.cast("int").alias("fold"))
     return search.fit(rows.select(*columns))
 
 
