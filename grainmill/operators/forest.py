@@ -33,7 +33,8 @@ register_pickle_by_value(modules[__name__])  # executors need not have this pack
 
 BLOCK_ROWS = 1 << 16
 PART_ROWS = 1 << 20  # before rows of equal bins are counted
-CELLS = 1 << 22  # sums that a task holds at once, of 8 bytes
+CELLS = 1 << 23  # sums that a task holds at once, of 8 bytes
+FEW = 8  # cells a row, beyond which sums are added cell by cell
 MOST_CLASSES = 100  # as Spark ML has it
 PURE = 2.0**-52
 NO_FOLD = -1
@@ -213,8 +214,9 @@ def blocks_of(
     )
     keys = ["fold", "label", "bins"]
     counted = binned.groupBy(*keys).agg(F.count("*").alias("n"))
-    # Some parts for each core, so that a scan of the files deals them out evenly.
-    parts = max(3 * train.sparkSession.sparkContext.defaultParallelism, ceil(facts["n"] / PART_ROWS))
+    # As many files for each core, so that a scan deals them out evenly.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    parts = cores * ceil(facts["n"] / (cores * PART_ROWS))
     table = counted.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(
         _packed, "fold int, rows long, labels binary, bins binary, counts binary"
     )
@@ -274,7 +276,7 @@ def _fall(block: _Block, rows: np.ndarray, feature: np.ndarray, cut: np.ndarray,
 
 
 def _level_sums(job, bin_type: np.dtype, shape: tuple[int, int, int], seed: int, slots: int, per_piece: int) -> Callable:
-    """Weights by node, feature, bin and class, as one row per task and piece of the nodes."""
+    """Weights by node, feature, bin and class: a row per task and piece of the nodes, with the cells if only some are met."""
     features, bins, classes = shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,14 +299,24 @@ def _level_sums(job, bin_type: np.dtype, shape: tuple[int, int, int], seed: int,
                         continue
                     rows, at = map(np.concatenate, zip(*reached))
                     rows, at = rows[at >= 0], at[at >= 0]
-                    weights, at = draws[rows], at * (bins * classes)
+                    weights, own = draws[rows], bins * classes
                     for j in range(features):
-                        added = np.bincount(at + cells[j][rows], weights, n * bins * classes).reshape(n, bins, classes)
+                        if len(rows) * FEW < n * own:  # few cells are met
+                            to = at * (features * own) + j * own + cells[j][rows]
+                            for base in used:
+                                np.add.at(sums.reshape(-1)[base * features * own :], to, weights)
+                            continue
+                        added = np.bincount(at * own + cells[j][rows], weights, n * own).reshape(n, bins, classes)
                         for base in used:
                             sums[base : base + n, j] += added
         if sums is not None:
             for piece, a in enumerate(range(0, slots, per_piece)):
-                yield pa.record_batch([pa.array([piece], pa.int32()), pa.array([sums[a : a + per_piece].tobytes()], pa.binary())], ["piece", "sums"])
+                flat = sums[a : a + per_piece].reshape(-1)
+                met = np.flatnonzero(flat)
+                met = met.astype(np.int32) if 12 * len(met) < flat.nbytes else None
+                values = [piece, None if met is None else met.tobytes(), (flat if met is None else flat[met]).tobytes()]
+                kinds = [pa.int32(), pa.binary(), pa.binary()]
+                yield pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds)], ["piece", "cells", "sums"])
 
     return run
 
@@ -333,11 +345,15 @@ def _splitter(rules, shape: tuple[int, int, int], per_piece: int) -> Callable:
 
     def run(table: pa.Table) -> pa.Table:
         piece = table.column("piece")[0].as_py()
-        sums = 0
-        for part in table.column("sums"):
-            sums = sums + np.frombuffer(part.as_buffer(), float)
-        sums = sums.reshape(-1, *shape)
-        kinds, allowed = (r[piece * per_piece :][: len(sums)] for r in rules.value)
+        kinds, allowed = (r[piece * per_piece :][:per_piece] for r in rules.value)
+        sums = np.zeros((len(kinds), *shape))
+        flat = sums.reshape(-1)
+        for cells, part in zip(table.column("cells"), table.column("sums")):
+            part = np.frombuffer(part.as_buffer(), float)
+            if cells.is_valid:
+                flat[np.frombuffer(cells.as_buffer(), np.int32)] += part
+            else:
+                flat += part
         out = []
         for kind in np.unique(kinds):
             at = np.flatnonzero(kinds == kind)
@@ -355,8 +371,22 @@ def _splitter(rules, shape: tuple[int, int, int], per_piece: int) -> Callable:
     return run
 
 
+def _drawn(seed: int, numbers: Sequence[int], places: Sequence[int], subsets: Sequence[int], features: int) -> np.ndarray:
+    """Which features each node may use: those of the smallest hashes (SplitMix64) of seed, tree, place and feature."""
+
+    def mix(x: np.ndarray) -> np.ndarray:
+        x = x + np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+    tree = mix(mix(np.array([seed % 2**64], np.uint64)) ^ np.array(numbers, np.uint64))
+    hashed = mix(mix(tree ^ np.array(places, np.uint64))[:, None] ^ np.arange(features, dtype=np.uint64))
+    return hashed.argsort(1).argsort(1) < np.array(subsets)[:, None]
+
+
 def _split_nodes(blocks: Blocks, plans: Sequence[Plan], trees: Mapping, nodes: Sequence[tuple]) -> list:
-    """One pass over the rows: for each (tree number, plan, node) its best split."""
+    """One pass over the rows: for each (tree number, plan, node) what ``Tree.split`` takes, the weights and which sides are mixed."""
     sc = blocks.table.sparkSession.sparkContext
     features = blocks.shape[0]
     starts: dict[tuple, int] = {}
@@ -372,29 +402,33 @@ def _split_nodes(blocks: Blocks, plans: Sequence[Plan], trees: Mapping, nodes: S
         route = (*(np.array(x, np.int64) for x in (tree.feature, tree.cut, tree.left)), slot, len(some))
         same = tuple(x.tobytes() for x in route[:4])
         routes.setdefault(number, {}).setdefault(same, (route, []))[1].append((plans[plan].fold, starts[number, plan]))
-    allowed = np.ones((len(nodes), features), bool)
-    for slot, (number, plan, node) in enumerate(nodes):
-        if plans[plan].subset < features:
-            place = trees[number, plan].place[node]
-            drawn = np.random.default_rng([blocks.seed % 2**64, number, place]).choice(features, plans[plan].subset, replace=False)
-            allowed[slot] = np.isin(np.arange(features), drawn)
+    places = [trees[number, plan].place[node] for number, plan, node in nodes]
+    allowed = _drawn(blocks.seed, [n for n, _, _ in nodes], places, [plans[p].subset for _, p, _ in nodes], features)
     kinds = np.array([plans[plan].impurity for _, plan, _ in nodes])
     per_piece = ceil(len(nodes) / (2 * sc.defaultParallelism))
     job = sc.broadcast([(number, list(same.values())) for number, same in routes.items()])
     rules = sc.broadcast((kinds, allowed))
     sums = _level_sums(job, _bin_type(blocks.cuts), blocks.shape, blocks.seed, len(nodes), per_piece)
     found = (
-        blocks.table.mapInArrow(sums, "piece int, sums binary")
+        blocks.table.mapInArrow(sums, "piece int, cells binary, sums binary")
         .groupBy("piece")
         .applyInArrow(
             _splitter(rules, blocks.shape, per_piece),
             "slot int, feature int, cut int, gain double, left array<double>, whole array<double>",
         )
-        .collect()
+        .toArrow()
+        .sort_by("slot")
     )
     job.destroy()
     rules.destroy()
-    return sorted(found, key=lambda r: r["slot"])
+    feature, cut, gain = (found.column(c).to_pylist() for c in ("feature", "cut", "gain"))
+    left, whole = (np.array(found.column(c).to_pylist()) for c in ("left", "whole"))
+    # Which children are to be split further, left and right.
+    mixed = np.zeros((len(nodes), 2), bool)
+    for kind in set(kinds.tolist()):
+        some = kinds == kind
+        mixed[some] = np.stack([impurity_of(x[some], kind) >= PURE for x in (left, whole - left)], 1)
+    return list(zip(feature, cut, gain, left, whole, mixed.tolist(), strict=True))
 
 
 def grow(blocks: Blocks, plans: Sequence[Plan]) -> list[list[Tree]]:
@@ -407,14 +441,14 @@ def grow(blocks: Blocks, plans: Sequence[Plan]) -> list[list[Tree]]:
         for a in range(0, len(open_nodes), at_once):
             nodes = open_nodes[a : a + at_once]
             for (t, p, node), found in zip(nodes, _split_nodes(blocks, plans, trees, nodes), strict=True):
+                feature, cut, gain, left, whole, mixed = found
                 tree, depth = trees[t, p], trees[t, p].place[node].bit_length() - 1
                 if not node:
-                    tree.stats[0] = np.array(found["whole"])
-                if not (found["gain"] > 0 and depth < plans[p].depth):
-                    continue
-                for child in tree.split(node, found["feature"], found["cut"], found["gain"], np.array(found["left"])):
-                    if depth + 1 < plans[p].depth and impurity_of(tree.stats[child], plans[p].impurity) >= PURE:
-                        following.append((t, p, child))
+                    tree.stats[0] = whole
+                if gain > 0 and depth < plans[p].depth:
+                    children = tree.split(node, feature, cut, gain, left)
+                    if depth + 1 < plans[p].depth:
+                        following += [(t, p, child) for child, go_on in zip(children, mixed) if go_on]
         open_nodes = sorted(following)
     return [[trees[t, p].pruned() for t in range(plan.trees)] for p, plan in enumerate(plans)]
 

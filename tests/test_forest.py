@@ -80,15 +80,23 @@ def test_a_fitted_forest_says_what_its_trees_say(spark, noisy):
         assert np.allclose(model.predictProbability(vector).toArray(), votes / 3)
 
 
-def test_many_nodes_are_split_in_several_passes(noisy, monkeypatch):
+@pytest.mark.parametrize(("cells", "few"), [(5 * 2 * 16 * 3, 8), (1 << 23, 0), (1 << 23, 1 << 40)])
+def test_passes_and_ways_to_add_lead_to_the_same_trees(noisy, monkeypatch, cells, few):
     blocks = forest.blocks_of(noisy, ["a", "b"], "target", F.col("id").cast("int") % 2, 2, 16, 5)
-    plans = [forest.Plan(0, "gini", 1, 3, 4), forest.Plan(1, "entropy", 2, 2, 4)]
-    at_once = forest.grow(blocks, plans)
-    monkeypatch.setattr(forest, "CELLS", 5 * 2 * 16 * 3)
-    in_parts = forest.grow(blocks, plans)
-    for a, b in zip(at_once, in_parts, strict=True):
+    plans = [forest.Plan(0, "gini", 1, 3, 4), forest.Plan(1, "entropy", 2, 2, 4), forest.Plan(0, "gini", 1, 2, 2)]
+    usual = forest.grow(blocks, plans)
+    monkeypatch.setattr(forest, "CELLS", cells)
+    monkeypatch.setattr(forest, "FEW", few)
+    for a, b in zip(usual, forest.grow(blocks, plans), strict=True):
         for x, y in zip(a, b, strict=True):
             assert (x.feature, x.cut, x.place) == (y.feature, y.cut, y.place) and np.array_equal(x.stats, y.stats)
+    assert len(usual[0]) == 3 and max(x.bit_length() for t in usual[0] for x in t.place) == 5
+
+
+def test_each_node_draws_its_features():
+    drawn = forest._drawn(-3, [0] * 400 + [1] * 400, [*range(1, 401)] * 2, [2] * 800, 5)
+    assert (drawn.sum(1) == 2).all() and (np.abs(drawn.mean(0) - 0.4) < 0.08).all()
+    assert (drawn[:400] != drawn[400:]).any() and np.array_equal(drawn, forest._drawn(-3, [0] * 400 + [1] * 400, [*range(1, 401)] * 2, [2] * 800, 5))
 
 
 @pytest.mark.parametrize("kind", ["gini", "entropy"])
